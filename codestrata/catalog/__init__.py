@@ -3,6 +3,11 @@
 
 def all_queries():
     from codestrata.catalog import registry
-    from codestrata.catalog import source_queries, column_queries  # noqa: F401
+    from codestrata.catalog import (  # noqa: F401
+        column_queries,
+        record_queries,
+        relation_queries,
+        source_queries,
+    )
 
     return registry.QUERIES, registry.ORACLES
