@@ -22,28 +22,20 @@ HUB = "'web_' || CAST(60 + doc_id % 20 AS STRING)"
 
 REPO_ID = "'org/' || source"
 
-PATH = f"""
-CASE {K} % 20
-  WHEN 0 THEN 'docs_' || {ID} || '/README.md'
-  WHEN 1 THEN CASE WHEN lang = 'en' THEN 'meta_' || {ID} || '/package.json'
-                   ELSE 'meta_' || {ID} || '/pyproject.toml' END
-  WHEN 2 THEN 'pkg' || {ID} || '/__init__.py'
-  WHEN 3 THEN 'web_' || {ID} || '/index.js'
-  WHEN 4 THEN 'svc_' || {ID} || '/main.py'
-  WHEN 5 THEN 'node_modules/x/mod_' || {ID} || '.js'
-  WHEN 6 THEN {PACKAGE} || '/tests/test_' || {ID} || '.py'
-  WHEN 7 THEN 'docs/mod_' || {ID} || '.md'
-  WHEN 8 THEN 'rs/mod_' || {ID} || '.rs'
-  WHEN 9 THEN 'rb/mod_' || {ID} || '.rb'
-  WHEN 10 THEN 'java/Mod' || {ID} || '.java'
-  WHEN 11 THEN 'cmd/mod_' || {ID} || '.go'
-  WHEN 14 THEN 'src/core/mod_' || {ID} || '.ts'
-  WHEN 15 THEN 'lib/deep/er/mod_' || {ID} || '.JSX'
-  WHEN 12 THEN 'lib/mod_' || {ID} || '.js'
-  WHEN 16 THEN 'lib/mod_' || {ID} || '.js'
-  WHEN 19 THEN 'mod_' || {ID} || CASE WHEN lang = 'en' THEN '.c' ELSE '' END
-  ELSE {PACKAGE} || '/mod_' || {ID} || '.py'
-END"""
+KIND = f"CAST({K} % 20 + 1 AS INT)"
+#: what stands before and after the id in a path, by kind of file 0..19
+BEFORE = (
+    "docs_,meta_,pkg,web_,svc_,node_modules/x/mod_,PKG/tests/test_,docs/mod_,rs/mod_,rb/mod_,"
+    "java/Mod,cmd/mod_,lib/mod_,PKG/mod_,src/core/mod_,lib/deep/er/mod_,lib/mod_,PKG/mod_,PKG/mod_,mod_"
+)
+AFTER = (
+    "/README.md,/MANIFEST,/__init__.py,/index.js,/main.py,.js,.py,.md,.rs,.rb,"
+    ".java,.go,.js,.py,.ts,.JSX,.js,.py,.py,SUFFIX"
+)
+PATH = f"""replace(split_part('{BEFORE}', ',', {KIND}), 'PKG', {PACKAGE}) || {ID} ||
+  replace(replace(split_part('{AFTER}', ',', {KIND}),
+    'MANIFEST', CASE WHEN lang = 'en' THEN 'package.json' ELSE 'pyproject.toml' END),
+    'SUFFIX', CASE WHEN lang = 'en' THEN '.c' ELSE '' END)"""
 
 NL = " || chr(10) || "
 

@@ -205,7 +205,7 @@ def latest_commit(spark, sf):
 
 @query("SELECT repo_id, path, nth AS rank, author_name, n AS n_commits FROM authors WHERE nth <= 3")
 def top_contributors(spark, sf):
-    return H.ranked_contributors(recent(spark, sf)[0]).drop("commit_sha")
+    return H.ranked_contributors(H.author_activity(*recent(spark, sf))).drop("commit_sha")
 
 
 @query("""SELECT repo_id, rank, path, n AS commit_frequency_30d FROM (SELECT repo_id, path, coalesce(n30, 0) AS n,

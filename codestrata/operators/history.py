@@ -54,34 +54,43 @@ def commit_frequency(commits: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def ranked_contributors(commits: DataFrame, n: int = C.TOP_CONTRIBUTORS) -> DataFrame:
-    """The ``n`` authors with most commits per file; ties go to the one seen first."""
-    by_author = commits.groupBy(*FILE, "author_name").agg(
-        F.count(F.lit(1)).alias("n_commits"), F.min(commit_order()).alias("first_seen")
+def author_activity(commits: DataFrame, as_of: Column) -> DataFrame:
+    """Commits per file and author: all counts, and the author's most recent commit.  Far
+    smaller than the commits, and enough for every commit field."""
+    row = F.struct("sha", "committed_at", "timestamp_raw", "author_name", "message")
+    recent = F.col("committed_at") >= minus_days(as_of, C.RECENT_DAYS)
+    return commits.groupBy(*FILE, "author_name").agg(
+        F.count(F.lit(1)).alias("n_commits"),
+        F.count_if(recent).alias("n_recent"),
+        F.min(commit_order()).alias("first_seen"),
+        F.min_by(row, commit_order()).alias("latest"),
     )
+
+
+def ranked_contributors(activity: DataFrame, n: int = C.TOP_CONTRIBUTORS) -> DataFrame:
+    """The ``n`` authors with most commits per file; ties go to the one seen first."""
     order = [F.col("n_commits").desc(), F.col("first_seen").asc()]
-    return first_rows(by_author, FILE, order, n).select(*FILE, "rank", "author_name", "n_commits")
+    rows = activity.select(*FILE, "author_name", "n_commits", "first_seen")
+    return first_rows(rows, FILE, order, n).drop("first_seen")
 
 
-def top_contributors(commits: DataFrame, n: int = C.TOP_CONTRIBUTORS) -> DataFrame:
+def top_contributors(activity: DataFrame, n: int = C.TOP_CONTRIBUTORS) -> DataFrame:
     """Contributor names, most commits first, as one short array per file."""
-    ranked = ranked_contributors(commits, n)
+    ranked = ranked_contributors(activity, n)
     pairs = F.array_sort(F.collect_list(F.struct("rank", "author_name")))
     return ranked.groupBy(*FILE).agg(
         F.transform(pairs, lambda p: p["author_name"]).alias("top_contributors")
     )
 
 
-def file_history(commits: DataFrame, as_of: Column) -> DataFrame:
-    """All commit fields per file, from commits already cut to the horizon."""
-    row = F.struct("sha", "committed_at", "timestamp_raw", "author_name", "message")
-    recent = F.col("committed_at") >= minus_days(as_of, C.RECENT_DAYS)
-    one_pass = commits.groupBy(*FILE).agg(
-        F.min_by(row, commit_order()).alias("latest"),
-        F.count(F.lit(1)).alias("commit_frequency_90d"),
-        F.count_if(recent).alias("commit_frequency_30d"),
+def file_history(activity: DataFrame, as_of: Column) -> DataFrame:
+    """All commit fields per file, from :func:`author_activity`."""
+    totals = activity.groupBy(*FILE).agg(
+        F.min_by("latest", "first_seen").alias("latest"),
+        F.sum("n_commits").alias("commit_frequency_90d"),
+        F.sum("n_recent").alias("commit_frequency_30d"),
     )
-    return one_pass.join(top_contributors(commits), FILE, "left").select(
+    return totals.join(top_contributors(activity), FILE, "left").select(
         *FILE,
         F.col("latest.sha").alias("most_recent_commit_sha"),
         F.col("latest.committed_at").alias("most_recent_commit_timestamp"),

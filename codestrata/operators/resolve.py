@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from codestrata.functions import constants as C
 from codestrata.functions.paths import import_base, is_path_import
 from codestrata.functions.text import contains_any
-from codestrata.operators.skew import HOT_ROWS, INLINE_LIMIT, collect_bounded, join_hot
+from codestrata.operators.skew import HOT_ROWS, INLINE_LIMIT, collect_bounded, join_hot, row_counts
 from codestrata.schemas import FILE, KEY
 
 BASE = [*KEY, "base", "is_path"]
@@ -44,7 +44,7 @@ def resolve_imports(files: DataFrame, tree: DataFrame, floor: int = HOT_ROWS) ->
     """Edges ``(key, path, import, target)``.  ``tree`` holds the paths that count as
     existing: all of them, or the fetched ones only."""
     requests = import_requests(files)
-    bases = requests.groupBy(*BASE).agg(F.count(F.lit(1)).alias("n"))
+    bases = row_counts(requests, BASE)
     targets = probe(bases, tree)
     joined = join_hot(requests, targets, BASE, "inner", counts=bases, floor=floor)
     return joined.select(*FILE, "import", "target")

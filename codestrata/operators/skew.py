@@ -4,10 +4,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: a key is hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE
-#: hot keys whatever the data: that is the bound on what gets broadcast
-HOT_SHARE = 1024
-#: and never below this many rows
+#: at most this many keys count as hot.  They are the largest ones, so a key that is not among
+#: them holds at most 1/HOT_KEYS of all rows; and the list is short whatever the data
+HOT_KEYS = 1000
+#: and no key below this many rows is hot
 HOT_ROWS = 100_000
 #: longest list built as one array value; longer ones stay in long form
 INLINE_LIMIT = 100_000
@@ -15,10 +15,16 @@ INLINE_LIMIT = 100_000
 EARLY_LIMIT = 1000
 
 
-def hot_keys(counts: DataFrame, share: int = HOT_SHARE, floor: int = HOT_ROWS) -> DataFrame:
-    """Rows of ``counts`` (keys + ``n``) that are hot; fewer than ``share`` of them."""
-    limit = counts.agg(F.sum("n") / share).scalar()
-    return counts.where((F.col("n") > floor) & (F.col("n") > limit))
+def row_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def hot_keys(counts: DataFrame, keys: list[str], floor: int = HOT_ROWS) -> DataFrame | None:
+    """The largest keys of ``counts`` (keys + ``n``) above ``floor`` rows, or None.  At most
+    ``HOT_KEYS`` rows come to the driver and go out again as a literal table."""
+    top = counts.where(F.col("n") > floor).orderBy(F.desc("n")).limit(HOT_KEYS).select(*keys, "n")
+    found = top.collect()
+    return counts.sparkSession.createDataFrame(found, top.schema) if found else None
 
 
 def join_hot(
@@ -31,46 +37,44 @@ def join_hot(
 ) -> DataFrame:
     """Join many rows to a table with one row per key.  Rows of hot keys are dealt out over
     salts, and only the matching rows of ``right`` are repeated, once per salt.  ``counts``
-    (keys + ``n``) may be given if the caller has them already."""
-    if counts is None:
-        counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-    salts = F.least(F.ceil(F.col("n") / floor), F.lit(HOT_SHARE)).cast("int")
-    hot = hot_keys(counts, floor=floor).select(*on, salts.alias("_salts"))
+    (keys + ``n``) may be given if the caller has them, or larger ones, already."""
+    hot = hot_keys(row_counts(left, on) if counts is None else counts, on, floor)
+    if hot is None:
+        return left.join(right, on, how)
+    hot = hot.select(*on, F.ceil(F.col("n") / floor).cast("int").alias("_salts"))
     # a hash of the row, not a random number: a re-run task deals its rows out the same way
     seed = F.xxhash64(*[c for c, t in left.dtypes if not t.startswith("map")])
-    salted_left = left.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt",
-        F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
-            F.pmod(seed, F.col("_salts")).cast("int")
-        ),
-    )
-    copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
-    salted_right = (
-        right.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.explode(copies))
-        .drop("_salts")
+    salt = F.coalesce(F.pmod(seed, F.col("_salts")), F.lit(0)).cast("int")
+    salted_left = left.join(F.broadcast(hot), on, "left").withColumn("_salt", salt)
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    salted_right = right.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(copies))
+    return (
+        salted_left.drop("_salts")
+        .join(salted_right.drop("_salts"), [*on, "_salt"], how)
+        .drop("_salt")
     )
-    return salted_left.drop("_salts").join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
 def collect_bounded(
     rows: DataFrame, keys: list[str], value: str, name: str, limit: int = INLINE_LIMIT
 ) -> DataFrame:
     """Per key the number of rows ``n_<name>`` and, where that is at most ``limit``, the sorted
-    list ``<name>`` (else null: the rows themselves are the whole list).  Hot groups are left
-    out before the shuffle, so no task ever holds an unbounded group."""
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    too_long = hot_keys(counts, floor=limit).select(*keys)
-    # what is left has at most 1/HOT_SHARE of the rows per key; still cut at the limit
-    rest = rows.join(F.broadcast(too_long), keys, "left_anti")
+    list ``<name>`` (else null: the rows themselves are the whole list).  Groups that are
+    too long never reach a list, and hot ones leave before the shuffle."""
+    counts = row_counts(rows, keys)
+    count, listed = f"n_{name}", F.array_sort(F.collect_list(value)).alias(name)
+    hot = hot_keys(counts, keys, floor=limit)
+    if hot is None:  # every group fits
+        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count), listed)
     short = counts.where(F.col("n") <= limit).select(*keys)
     lists = (
-        rest.select(*keys, value)
+        rows.select(*keys, value)
+        .join(F.broadcast(hot.select(*keys)), keys, "left_anti")
         .join(short, keys, "left_semi")
         .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(value)).alias(name))
+        .agg(listed)
     )
-    return counts.withColumnRenamed("n", f"n_{name}").join(lists, keys, "left")
+    return counts.withColumnRenamed("n", count).join(lists, keys, "left")
 
 
 def first_rows(

@@ -28,7 +28,7 @@ class Collection:
     repos: DataFrame  # repository records
     runs: DataFrame  # one manifest row per snapshot
     edges: DataFrame  # (key, path, import, target)
-    skipped: DataFrame  # (key, skip_reason, n_files)
+    entries: DataFrame  # (key, kind, entry): every list and map of the repository records
     errors: DataFrame  # (key, error)
 
 
@@ -67,7 +67,9 @@ def collect_snapshots(
     if targets is not None:
         # few files: drop the other histories first (a full run joins only the aggregates)
         commits = join_hot(commits, fetched.select(*FILE), FILE, "left_semi")
-    history = H.file_history(H.commit_horizon(commits, as_of, newest=newest), as_of)
+    horizon = H.commit_horizon(commits, as_of, newest=newest)
+    activity = materialize(H.author_activity(horizon, as_of), "activity")
+    history = H.file_history(activity, as_of)
     records = materialize(B.file_facts(fetched, edges, history, as_of), "records")
 
     skip_rows = skipped.select(*KEY, "skip_reason")
@@ -82,11 +84,12 @@ def collect_snapshots(
     errors = rejects.select(*KEY, V.failure_text().alias("error"))
     skip_counts = skip_rows.groupBy(*KEY, "skip_reason").agg(F.count(F.lit(1)).alias("n_files"))
 
-    repos = B.repo_facts(snapshots, tree, parsed, files, skip_counts, errors, as_of)
+    entries = materialize(B.repo_entries(tree, files, skip_counts, errors), "entries")
+    repos = materialize(B.repo_facts(snapshots, tree, parsed, files, entries, as_of), "repos")
     attempted = fetched.groupBy(*KEY).agg(F.count(F.lit(1)).alias("files_attempted"))
     run_mode = "full" if targets is None else "incremental"
     runs = run_records(repos, attempted, as_of, run_mode)
-    return Collection(files, rejects, repos, runs, edges, skip_counts, errors)
+    return Collection(files, rejects, repos, runs, edges, entries, errors)
 
 
 def running_records(snapshots: DataFrame, attempted: DataFrame, as_of: Column, run_mode: str) -> DataFrame:

@@ -11,7 +11,7 @@ from codestrata.operators import history as H
 from codestrata.operators import resolve as R
 from codestrata.operators import structure as S
 from codestrata.operators import validate as V
-from codestrata.operators.skew import collect_bounded, join_hot
+from codestrata.operators.skew import collect_bounded, first_rows, join_hot, row_counts
 from codestrata.schemas import FILE, KEY
 
 
@@ -20,7 +20,9 @@ def classified(fetched: DataFrame, tree: DataFrame, mode: str) -> DataFrame:
     repository's own package are internal; only Python rows need to know that package."""
     own = F.lit(None).cast("string")
     if mode == "local":
-        fetched = join_hot(fetched, S.top_level_package(tree), KEY, "left")
+        # tree rows per repository are at least as many: no need to count the joined rows
+        counts = row_counts(tree, KEY)
+        fetched = join_hot(fetched, S.top_level_package(tree), KEY, "left", counts)
         own = F.col("package")
     else:
         fetched = fetched.withColumn("package", own)
@@ -114,33 +116,88 @@ def with_content(files: DataFrame, contents: DataFrame) -> DataFrame:
     return files.join(texts, [*KEY, "file_path"], "left")
 
 
-def _small_map(counts: DataFrame, label: str, name: str) -> DataFrame:
-    """Label counts -> one map per snapshot; labels come from a fixed list, so maps are short."""
-    pairs = F.array_sort(F.collect_list(F.struct(label, "n_files")))
-    return counts.groupBy(*KEY).agg(F.map_from_entries(pairs).alias(name))
+def tree_facts(tree: DataFrame) -> DataFrame:
+    """Size, first README and first manifest of each tree, in one pass."""
+    path = F.col("path")
+    order = S.tree_order(tree)
+    first = lambda value, test: F.min_by(F.when(test, value), F.when(test, order))
+    return tree.groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("total_file_count"),
+        first(path, P.is_readme(path)).alias("readme_path"),
+        first(P.manifest_type(path), P.manifest_type(path).isNotNull()).alias("manifest_type"),
+    )
 
 
-def _ranked_list(ranked: DataFrame, name: str) -> DataFrame:
-    pairs = F.array_sort(F.collect_list(F.struct("rank", "path")))
-    return ranked.groupBy(*KEY).agg(F.transform(pairs, lambda p: p["path"]).alias(name))
+def repo_entries(
+    tree: DataFrame, files: DataFrame, skipped: DataFrame, errors: DataFrame
+) -> DataFrame:
+    """All lists and maps of the repository records as one long table
+    ``(key, kind, entry)``, ``entry`` being ``(position, value, n)``.  Entries sort as they are listed."""
 
+    def entry(rows: DataFrame, kind: str, value: str, n="0", position="0") -> DataFrame:
+        parts = F.struct(
+            F.expr(position).cast("bigint").alias("position"),
+            F.col(value).alias("value"),
+            F.expr(n).cast("bigint").alias("n"),
+        )
+        return rows.select(*KEY, F.lit(kind).alias("kind"), parts.alias("entry"))
 
-def directory_map(counts: DataFrame) -> DataFrame:
-    """``directory_structure`` as one key-sorted map per snapshot, null where a repository has too
-    many directories for one value (the counts themselves are the whole table)."""
-    entries = counts.select(*KEY, F.struct("directory", "n_files").alias("entry"))
-    lists = collect_bounded(entries, KEY, "entry", "directories")
-    return lists.select(*KEY, F.map_from_entries("directories").alias("directory_structure"),
-                        "n_directories")
+    paths = files.select(*KEY, F.col("file_path").alias("path"), "language", "line_count",
+                         "commit_frequency_30d")
+    # both rankings in one window: each file stands once per measure
+    measures = F.explode(
+        F.array(
+            F.struct(F.lit("most_active_files").alias("kind"),
+                     F.col("commit_frequency_30d").alias("size")),
+            F.struct(F.lit("largest_files").alias("kind"),
+                     F.col("line_count").cast("bigint").alias("size")),
+        )
+    ).alias("m")
+    measured = paths.select(*KEY, "path", measures).select(*KEY, "path", "m.kind", "m.size")
+    order = [F.col("size").desc(), F.col("path").asc()]
+    ranked = first_rows(measured, [*KEY, "kind"], order, C.TOP_FILES)
+    places = F.struct(F.col("rank").cast("bigint").alias("position"), F.col("path").alias("value"),
+                      F.lit(0).cast("bigint").alias("n"))
+    tables = [
+        entry(S.language_distribution(paths), "language_distribution", "language", "n_files"),
+        entry(S.directory_structure(paths), "directory_structure", "directory", "n_files"),
+        entry(skipped, "skip_reasons", "skip_reason", "n_files"),
+        entry(S.test_directories(tree), "test_directories", "test_directory"),
+        entry(S.entry_point_candidates(paths), "entry_point_candidates", "path"),
+        entry(errors, "collection_errors", "error"),
+    ]
+    stacked = ranked.select(*KEY, "kind", places.alias("entry"))
+    for table in tables:
+        stacked = stacked.unionByName(table)
+    return stacked
 
 
-def readme_facts(tree: DataFrame, parsed: DataFrame) -> DataFrame:
-    """Length and headers of each snapshot's first README."""
-    texts = parsed.select(
-        *KEY, F.col("path").alias("readme_path"), F.col("char_count").alias("readme_length_chars"),
-        "readme_headers",
+ENTRY_LISTS = [
+    "test_directories", "entry_point_candidates", "collection_errors", "most_active_files",
+    "largest_files",
+]
+ENTRY_MAPS = ["language_distribution", "directory_structure", "skip_reasons"]
+
+
+def repo_lists(entries: DataFrame) -> DataFrame:
+    """Long entries -> one row per snapshot with every list and map, and their lengths."""
+    lists = collect_bounded(entries, [*KEY, "kind"], "entry", "entries")
+    pick = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
+    one_row = lists.groupBy(*KEY).agg(
+        *[pick(k, "n_entries").alias(f"n_{k}") for k in ENTRY_LISTS + ENTRY_MAPS],
+        *[F.max_by("entries", F.when(F.col("kind") == k, F.lit(1))).alias(k)
+          for k in ENTRY_LISTS + ENTRY_MAPS],
+    )
+    values = lambda k: F.transform(k, lambda e: e["value"])
+    pairs = lambda k: F.map_from_entries(
+        F.transform(k, lambda e: F.struct(e["value"], e["n"]))
+    )
+    return one_row.select(
+        *KEY,
+        *[f"n_{k}" for k in ENTRY_LISTS + ENTRY_MAPS],
+        *[values(k).alias(k) for k in ENTRY_LISTS],
+        *[pairs(k).alias(k) for k in ENTRY_MAPS],
     )
-    return S.first_readme(tree).join(texts, [*KEY, "readme_path"], "left")
 
 
 def repo_facts(
@@ -148,52 +205,40 @@ def repo_facts(
     tree: DataFrame,
     parsed: DataFrame,
     files: DataFrame,
-    skipped: DataFrame,
-    errors: DataFrame,
+    entries: DataFrame,
     as_of: Column,
 ) -> DataFrame:
     """The repository record plus the true lengths ``n_*`` of its open-ended lists.
 
-    ``files`` are valid file records, ``skipped`` counts per ``skip_reason``, ``errors`` rows of
-    ``error``.  Each part is aggregated to one row per snapshot before it is joined."""
-    rows = files.select(
-        *KEY, F.col("file_path").alias("path"), "language", "line_count", "commit_frequency_30d",
-        "relative_depth",
-    )
-    totals = rows.groupBy(*KEY).agg(
+    ``files`` are valid file records, ``entries`` come from :func:`repo_entries`.  Each part
+    is aggregated to one row per snapshot before it is joined."""
+    file_totals = files.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("files_collected"),
         F.max("relative_depth").alias("max_directory_depth"),
         F.sum("commit_frequency_30d").alias("commit_frequency_30d"),
         F.count_if(F.col("commit_frequency_30d") > 0).alias("active_files"),
     )
-    parts = [
-        tree.groupBy(*KEY).agg(F.count(F.lit(1)).alias("total_file_count")),
-        totals,
-        _small_map(S.language_distribution(rows), "language", "language_distribution"),
-        directory_map(S.directory_structure(rows)),
-        readme_facts(tree, parsed),
-        S.first_manifest(tree),
-        collect_bounded(S.test_directories(tree), KEY, "test_directory", "test_directories"),
-        collect_bounded(
-            S.entry_point_candidates(rows), KEY, "path", "entry_point_candidates"
-        ),
-        _ranked_list(S.most_active_files(rows), "most_active_files"),
-        _ranked_list(S.largest_files(rows), "largest_files"),
-        skipped.groupBy(*KEY).agg(F.sum("n_files").alias("files_skipped")),
-        _small_map(skipped, "skip_reason", "skip_reasons"),
-        collect_bounded(errors, KEY, "error", "collection_errors"),
-    ]
-    joined = snapshots.select(*KEY, "branch")
-    for part in parts:
-        joined = joined.join(part, KEY, "left")
-
+    skip_rows = entries.where(F.col("kind") == "skip_reasons")
+    skip_totals = skip_rows.groupBy(*KEY).agg(F.sum("entry.n").alias("files_skipped"))
+    readmes = parsed.where(P.is_readme(F.col("path"))).select(
+        *KEY,
+        F.col("path").alias("readme_path"),
+        F.col("char_count").alias("readme_length_chars"),
+        "readme_headers",
+    )
+    joined = (
+        snapshots.select(*KEY, "branch")
+        .join(tree_facts(tree), KEY, "left")
+        .join(readmes, [*KEY, "readme_path"], "left")
+        .join(file_totals, KEY, "left")
+        .join(skip_totals, KEY, "left")
+        .join(repo_lists(entries), KEY, "left")
+    )
     number = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    no_counts = F.create_map().cast("map<string,bigint>")
-
-    def listed(name: str, empty: Column = None) -> Column:
-        n = F.coalesce(F.col(f"n_{name}"), F.lit(0))
-        return F.when(n == 0, empty_strings()).otherwise(F.col(name)).alias(name)
-
+    # no entries: empty; entries but no value: too long for one value, see the long table
+    whole = lambda c, empty: F.when(F.col(f"n_{c}").isNull(), empty).otherwise(F.col(c)).alias(c)
+    listed = lambda c: whole(c, empty_strings())
+    mapped = lambda c: whole(c, F.create_map().cast("map<string,bigint>"))
     record = joined.select(
         *KEY,
         "branch",
@@ -201,30 +246,28 @@ def repo_facts(
         F.lit(C.SCHEMA_VERSION).alias("schema_version"),
         number("total_file_count"),
         F.coalesce("files_collected", F.lit(0)).alias("source_file_count"),
-        F.coalesce("language_distribution", no_counts).alias("language_distribution"),
-        F.when(F.col("n_directories").isNull(), no_counts)
-        .otherwise(F.col("directory_structure"))
-        .alias("directory_structure"),
+        mapped("language_distribution"),
+        mapped("directory_structure"),
         number("max_directory_depth"),
         (F.coalesce("readme_length_chars", F.lit(0)) > 0).alias("has_readme"),
         number("readme_length_chars"),
         F.coalesce("readme_headers", empty_strings()).alias("readme_headers"),
         F.col("manifest_type").isNotNull().alias("has_package_manifest"),
         "manifest_type",
-        (F.coalesce("n_test_directories", F.lit(0)) > 0).alias("has_test_directory"),
+        F.col("n_test_directories").isNotNull().alias("has_test_directory"),
         listed("test_directories"),
         listed("entry_point_candidates"),
-        F.coalesce("most_active_files", empty_strings()).alias("most_active_files"),
-        F.coalesce("largest_files", empty_strings()).alias("largest_files"),
+        listed("most_active_files"),
+        listed("largest_files"),
         number("commit_frequency_30d"),
         number("files_collected"),
         number("files_skipped"),
-        F.coalesce("skip_reasons", no_counts).alias("skip_reasons"),
+        mapped("skip_reasons"),
         listed("collection_errors"),
         number("active_files"),
         F.coalesce("n_entry_point_candidates", F.lit(0)).alias("n_entry_points"),
-        F.coalesce("n_collection_errors", F.lit(0)).alias("n_collection_errors"),
-        F.coalesce("n_directories", F.lit(0)).alias("n_directories"),
-        F.coalesce("n_test_directories", F.lit(0)).alias("n_test_directories"),
+        number("n_collection_errors"),
+        F.coalesce("n_directory_structure", F.lit(0)).alias("n_directories"),
+        number("n_test_directories"),
     )
     return record.withColumn("determined_by", V.repo_determined_by())
