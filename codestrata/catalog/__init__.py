@@ -8,6 +8,7 @@ def all_queries():
         record_queries,
         relation_queries,
         source_queries,
+        stream_queries,
     )
 
     return registry.QUERIES, registry.ORACLES

@@ -12,8 +12,6 @@ from codestrata.operators import structure as R
 from codestrata.plans.facts import classified
 from codestrata.plans.parse import readme_rows, with_imports, with_raw_imports
 
-PATH = F.col("path")
-
 
 def per_path(spark, sf, **columns):
     return X.tree(spark, sf).select("repo_id", "path", *[c.alias(n) for n, c in columns.items()])
@@ -21,17 +19,17 @@ def per_path(spark, sf, **columns):
 
 @query("SELECT repo_id, path, ext AS extension FROM flags")
 def file_extension(spark, sf):
-    return per_path(spark, sf, extension=P.extension(PATH))
+    return per_path(spark, sf, extension=P.extension(F.col("path")))
 
 
 @query("SELECT repo_id, path, language FROM flags")
 def detect_language(spark, sf):
-    return per_path(spark, sf, language=P.language(PATH))
+    return per_path(spark, sf, language=P.language(F.col("path")))
 
 
 @query("SELECT repo_id, path, skip_reason FROM flags")
 def skip_reason(spark, sf):
-    return per_path(spark, sf, skip_reason=P.skip_reason(PATH, F.col("size")))
+    return per_path(spark, sf, skip_reason=P.skip_reason(F.col("path"), F.col("size")))
 
 
 @query("SELECT repo_id, path, sha, size FROM sources")
@@ -41,7 +39,7 @@ def source_files(spark, sf):
 
 @query("SELECT repo_id, path, coalesce(skip_reason, 'too_large') = 'too_large' AS collectable FROM flags")
 def collectable_path(spark, sf):
-    return per_path(spark, sf, collectable=P.is_collectable(PATH))
+    return per_path(spark, sf, collectable=P.is_collectable(F.col("path")))
 
 
 @query("""SELECT repo_id, path FROM (SELECT *, row_number() OVER (PARTITION BY repo_id ORDER BY path) AS nth FROM sources)
@@ -57,27 +55,27 @@ def empty_file_filter(spark, sf):
 
 @query("SELECT repo_id, path, stem IN ('index', 'main', 'app', 'server') AND depth <= 1 AS is_entry_point FROM flags")
 def is_entry_point(spark, sf):
-    return per_path(spark, sf, is_entry_point=P.is_entry_point(PATH))
+    return per_path(spark, sf, is_entry_point=P.is_entry_point(F.col("path")))
 
 
 @query("SELECT repo_id, path, regexp_matches(path, '(^|/)(tests?|__tests__|spec)/') AS is_in_test_dir FROM files")
 def is_in_test_dir(spark, sf):
-    return per_path(spark, sf, is_in_test_dir=P.is_in_test_directory(PATH))
+    return per_path(spark, sf, is_in_test_dir=P.is_in_test_directory(F.col("path")))
 
 
 @query("SELECT repo_id, path, CAST(length(path) - length(replace(path, '/', '')) AS INTEGER) AS path_depth FROM files")
 def path_depth(spark, sf):
-    return per_path(spark, sf, path_depth=P.depth(PATH))
+    return per_path(spark, sf, path_depth=P.depth(F.col("path")))
 
 
 @query("SELECT repo_id, path, left(sha256(path), 12) AS path_hash FROM files")
 def path_hash(spark, sf):
-    return per_path(spark, sf, path_hash=P.path_hash(PATH))
+    return per_path(spark, sf, path_hash=P.path_hash(F.col("path")))
 
 
 @query("SELECT repo_id, path, replace(replace(path, '/', '__'), '.', '_') || '.json' AS artifact_name FROM files")
 def artifact_name(spark, sf):
-    return per_path(spark, sf, artifact_name=P.artifact_name(PATH))
+    return per_path(spark, sf, artifact_name=P.artifact_name(F.col("path")))
 
 
 @query("SELECT DISTINCT repo_id, replace(repo_id, '/', '__') || '__main__' || left(commit_sha, 7) AS run_name FROM files")
@@ -126,7 +124,7 @@ def iso_timestamps(spark, sf):
 
 def _imports_of(spark, sf, languages):
     """Per file the three lists of one language family."""
-    rows = with_imports(X.contents(spark, sf).where(P.language(PATH).isin(languages)))
+    rows = with_imports(X.contents(spark, sf).where(P.language(F.col("path")).isin(languages)))
     return plain(
         rows.select("repo_id", "path", "imports.raw", "imports.internal", "imports.external")
     )

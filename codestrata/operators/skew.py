@@ -11,6 +11,8 @@ HOT_KEYS = 1000
 HOT_ROWS = 100_000
 #: longest list built as one array value; longer ones stay in long form
 INLINE_LIMIT = 100_000
+#: a table of short rows (ids, names) up to this long is sent to every task: a few dozen MB
+BROADCAST_ROWS = 200_000
 #: window limits up to this value are applied by Spark before the shuffle
 EARLY_LIMIT = 1000
 
@@ -55,6 +57,16 @@ def join_hot(
     )
 
 
+def join_listed(
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Join to a stored table of short rows, one per key, whose number is checked: up to ``limit``
+    it is sent to every task, beyond that :func:`join_hot` takes over."""
+    if right.count() <= limit:
+        return left.join(F.broadcast(right), on, how)
+    return join_hot(left, right, on, how)
+
+
 def collect_bounded(
     rows: DataFrame, keys: list[str], value: str, name: str, limit: int = INLINE_LIMIT
 ) -> DataFrame:

@@ -10,8 +10,9 @@ from codestrata.functions import paths as P
 from codestrata.operators import history as H
 from codestrata.operators import resolve as R
 from codestrata.operators import selection as L
+from codestrata.operators import structure as S
 from codestrata.operators import validate as V
-from codestrata.operators.skew import join_hot
+from codestrata.operators.skew import BROADCAST_ROWS, join_hot
 from codestrata.plans import facts as B
 from codestrata.plans.parse import parse_contents
 from codestrata.schemas import FILE, KEY
@@ -42,6 +43,18 @@ def select_files(
     return L.cap_files(chosen, max_files), skipped
 
 
+def restrict_contents(
+    contents: DataFrame, wanted: DataFrame, limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Contents of the wanted files, without ever shuffling content: a short list of names is
+    sent to every task, and with a long one all contents are parsed where they lie (the narrow
+    rows are matched later in any case)."""
+    names = materialize(wanted.select(*FILE).distinct(), "wanted")
+    if names.count() > limit:
+        return contents
+    return contents.join(F.broadcast(names), FILE, "left_semi")
+
+
 def collect_snapshots(
     snapshots: DataFrame,
     tree: DataFrame,
@@ -55,7 +68,12 @@ def collect_snapshots(
     """``mode='api'``: resolution among the fetched files, own package unknown, empty files
     fail validation.  ``mode='local'``: resolution over the whole tree, own package known,
     empty files are skipped, histories hold at most 50 commits.  With ``targets`` (changed names)
-    only those files are collected, in the context of the whole tree."""
+    only those files are collected, in the context of the whole tree.  ``snapshots`` may carry
+    the ``mode`` to note on each run."""
+    if targets is not None:
+        readmes = S.first_readme(tree).withColumnRenamed("readme_path", "path")
+        wanted = targets.select(*FILE).unionByName(readmes.select(*FILE))
+        contents = restrict_contents(contents, wanted)
     # content is read once, without a shuffle; everything below uses the narrow rows
     parsed = materialize(parse_contents(contents), "parsed")
     selected, skipped = select_files(tree, targets, max_files)
@@ -89,6 +107,8 @@ def collect_snapshots(
     attempted = fetched.groupBy(*KEY).agg(F.count(F.lit(1)).alias("files_attempted"))
     run_mode = "full" if targets is None else "incremental"
     runs = run_records(repos, attempted, as_of, run_mode)
+    if "mode" in snapshots.columns:
+        runs = runs.drop("mode").join(snapshots.select(*KEY, "mode"), KEY, "left")
     return Collection(files, rejects, repos, runs, edges, entries, errors)
 
 

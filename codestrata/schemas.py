@@ -7,59 +7,64 @@ KEY = ["repo_id", "commit_sha"]
 #: identity of one file in one snapshot
 FILE = ["repo_id", "commit_sha", "path"]
 
+TEXT = T.StringType()
+INT = T.IntegerType()
+LONG = T.LongType()
+FLAG = T.BooleanType()
+TIME = T.TimestampType()
+TEXTS = T.ArrayType(TEXT)
+COUNTS = T.MapType(TEXT, LONG)
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
 
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
-SNAPSHOTS = _struct("repo_id string, branch string, commit_sha string, committed_at timestamp")
-TREE = _struct("repo_id string, commit_sha string, path string, sha string, size bigint")
-CONTENTS = _struct("repo_id string, commit_sha string, path string, content string, blob_sha string")
-COMMITS = _struct(
-    "repo_id string, commit_sha string, path string, sha string, author_name string, "
-    "message string, timestamp_raw string, committed_at timestamp, ordinal bigint"
+
+SNAPSHOTS = struct(repo_id=TEXT, branch=TEXT, commit_sha=TEXT, committed_at=TIME)
+TREE = struct(repo_id=TEXT, commit_sha=TEXT, path=TEXT, sha=TEXT, size=LONG)
+CONTENTS = struct(repo_id=TEXT, commit_sha=TEXT, path=TEXT, content=TEXT, blob_sha=TEXT)
+COMMITS = struct(
+    repo_id=TEXT, commit_sha=TEXT, path=TEXT, sha=TEXT, author_name=TEXT, message=TEXT,
+    timestamp_raw=TEXT, committed_at=TIME, ordinal=LONG,
 )
 
 # landed API responses, one JSON document per line
-TREE_RESPONSE = _struct(
-    "repo_id string, commit_sha string, truncated boolean, "
-    "tree array<struct<path: string, type: string, sha: string, size: bigint>>"
-)
-CONTENT_RESPONSE = _struct(
-    "repo_id string, commit_sha string, path string, sha string, content string"
-)
-COMMIT_PAGE = _struct(
-    "repo_id string, commit_sha string, path string, page bigint, "
-    "commits array<struct<sha: string, commit: struct<message: string, "
-    "author: struct<name: string, date: string>>>>"
+TREE_RESPONSE = struct(
+    repo_id=TEXT, commit_sha=TEXT, truncated=FLAG,
+    tree=T.ArrayType(struct(path=TEXT, type=TEXT, sha=TEXT, size=LONG)),
 )
-COMMIT_TRIGGER = _struct(
-    "repo_id string, branch string, commit_sha string, parent_sha string, committed_at timestamp"
+CONTENT_RESPONSE = struct(repo_id=TEXT, commit_sha=TEXT, path=TEXT, sha=TEXT, content=TEXT)
+COMMIT_PAGE = struct(
+    repo_id=TEXT, commit_sha=TEXT, path=TEXT, page=LONG,
+    commits=T.ArrayType(
+        struct(sha=TEXT, commit=struct(message=TEXT, author=struct(name=TEXT, date=TEXT)))
+    ),
 )
+COMMIT_LOG = struct(repo_id=TEXT, commit_sha=TEXT, path=TEXT, log=TEXT)
+COMMIT_TRIGGER = struct(repo_id=TEXT, branch=TEXT, commit_sha=TEXT, parent_sha=TEXT, committed_at=TIME)
 
 #: the file record
-FILE_RECORD = _struct(
-    "repo_id string, commit_sha string, file_path string, blob_sha string, file_path_hash string, "
-    "schema_version string, fetched_at timestamp, language string, raw_content string, "
-    "line_count int, char_count int, size_bytes bigint, imports_raw array<string>, "
-    "imports_internal array<string>, imports_external array<string>, "
-    "imports_unresolved array<string>, dependents array<string>, most_recent_commit_sha string, "
-    "most_recent_commit_timestamp timestamp, most_recent_commit_author string, "
-    "most_recent_commit_message string, commit_frequency_30d bigint, commit_frequency_90d bigint, "
-    "days_since_last_change int, top_contributors array<string>, is_entry_point_candidate boolean, "
-    "is_in_test_directory boolean, relative_depth int, determined_by array<string>, "
-    "parse_warnings array<string>, could_not_determine array<string>"
+FILE_RECORD = struct(
+    repo_id=TEXT, commit_sha=TEXT, file_path=TEXT, blob_sha=TEXT, file_path_hash=TEXT,
+    schema_version=TEXT, fetched_at=TIME,
+    language=TEXT, raw_content=TEXT, line_count=INT, char_count=INT, size_bytes=LONG,
+    imports_raw=TEXTS, imports_internal=TEXTS, imports_external=TEXTS, imports_unresolved=TEXTS,
+    dependents=TEXTS,
+    most_recent_commit_sha=TEXT, most_recent_commit_timestamp=TIME, most_recent_commit_author=TEXT,
+    most_recent_commit_message=TEXT, commit_frequency_30d=LONG, commit_frequency_90d=LONG,
+    days_since_last_change=INT, top_contributors=TEXTS,
+    is_entry_point_candidate=FLAG, is_in_test_directory=FLAG, relative_depth=INT,
+    determined_by=TEXTS, parse_warnings=TEXTS, could_not_determine=TEXTS,
 )
 
 #: the repository record
-REPO_RECORD = _struct(
-    "repo_id string, commit_sha string, branch string, fetched_at timestamp, schema_version string, "
-    "total_file_count bigint, source_file_count bigint, language_distribution map<string,bigint>, "
-    "directory_structure map<string,bigint>, max_directory_depth int, has_readme boolean, "
-    "readme_length_chars int, readme_headers array<string>, has_package_manifest boolean, "
-    "manifest_type string, has_test_directory boolean, test_directories array<string>, "
-    "entry_point_candidates array<string>, most_active_files array<string>, "
-    "largest_files array<string>, commit_frequency_30d bigint, files_collected bigint, "
-    "files_skipped bigint, skip_reasons map<string,bigint>, collection_errors array<string>, "
-    "determined_by array<string>"
+REPO_RECORD = struct(
+    repo_id=TEXT, commit_sha=TEXT, branch=TEXT, fetched_at=TIME, schema_version=TEXT,
+    total_file_count=LONG, source_file_count=LONG, language_distribution=COUNTS,
+    directory_structure=COUNTS, max_directory_depth=INT,
+    has_readme=FLAG, readme_length_chars=INT, readme_headers=TEXTS, has_package_manifest=FLAG,
+    manifest_type=TEXT, has_test_directory=FLAG, test_directories=TEXTS, entry_point_candidates=TEXTS,
+    most_active_files=TEXTS, largest_files=TEXTS, commit_frequency_30d=LONG,
+    files_collected=LONG, files_skipped=LONG, skip_reasons=COUNTS, collection_errors=TEXTS,
+    determined_by=TEXTS,
 )

@@ -6,9 +6,6 @@ from pyspark.sql import functions as F
 from codestrata import schemas as S
 from codestrata.functions.times import iso_text
 
-SPREAD = 32
-
-
 def record_json(record: DataFrame, schema) -> DataFrame:
     """One JSON text per record, nulls kept, times as ISO text.  A latest-commit time is
     written as its source wrote it where that text is at hand."""
@@ -52,15 +49,12 @@ def parse_record_json(rows: DataFrame, schema, column: str = "json") -> DataFram
 
 
 def write_json_artifacts(records: DataFrame, schema, path: str) -> None:
-    """JSON lines, one folder per repository and commit.  Rows of one run are dealt over a few
-    files, so a large run is no single task."""
-    lines = record_json(records, schema)
-    name = "file_path" if "file_path" in records.columns else "repo_id"
-    spread = F.pmod(F.xxhash64(name), F.lit(SPREAD))
+    """JSON lines, one folder per repository and commit.  Small runs end in one file each, and the
+    rows of a large one are split over several tasks."""
     (
-        lines.select("repo_id", "commit_sha", "json", spread.alias("_part"))
-        .repartition("repo_id", "commit_sha", "_part")
-        .drop("_part")
+        record_json(records, schema)
+        .select("repo_id", "commit_sha", "json")
+        .hint("rebalance", "repo_id", "commit_sha")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("repo_id", "commit_sha")

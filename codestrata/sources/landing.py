@@ -165,9 +165,7 @@ def parse_commit_log(lines: DataFrame) -> DataFrame:
 def read_commit_log(spark: SparkSession, path: str) -> DataFrame:
     """Landed logs as JSON lines ``{repo_id, commit_sha, path, log}``, ``log`` being the whole log
     text of one file; a file's log is at most 50 lines long by how it is taken."""
-    logs = spark.read.schema(
-        "repo_id string, commit_sha string, path string, log string"
-    ).option("mode", "FAILFAST").json(path)
+    logs = spark.read.schema(S.COMMIT_LOG).option("mode", "FAILFAST").json(path)
     return parse_commit_log(
         logs.select(*S.FILE, F.posexplode(F.split("log", "\n")).alias("ordinal", "value"))
     )
