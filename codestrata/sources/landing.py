@@ -91,7 +91,9 @@ def parse_content_json(responses: DataFrame) -> DataFrame:
 
 
 def read_snapshot_files(spark: SparkSession, path: str) -> DataFrame:
-    """Checked-out files under ``repo_id=.../commit_sha=.../<path>``, read as bytes."""
+    """Checked-out files under ``repo_id=.../commit_sha=.../<path>``, read as bytes.  Spark's file
+    scan passes over files of no bytes; a file without a content row has an empty text and the tree's
+    id, which is what an empty file has anyway."""
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     )
