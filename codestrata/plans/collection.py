@@ -1,6 +1,6 @@
 """Full and incremental collection over many snapshots at once."""
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,18 +19,65 @@ from codestrata.schemas import FILE, KEY
 from codestrata.session import materialize
 
 
-@dataclass
 class Collection:
-    """Result tables.  The long tables are always whole; the lists inside the records
-    are null only where a list is too long for one value."""
-
-    files: DataFrame  # valid file records
-    rejects: DataFrame  # files that failed validation, with issues
-    repos: DataFrame  # repository records
-    runs: DataFrame  # one manifest row per snapshot
-    edges: DataFrame  # (key, path, import, target)
-    entries: DataFrame  # (key, kind, entry): every list and map of the repository records
-    errors: DataFrame  # (key, error)
+    """Result tables of one collection.  The long tables are always whole; lists inside the
+    records are null only where a list is too long for one value.  Repository records
+    are put together when they are first asked for."""
+
+    def __init__(self, snapshots, tree, parsed, fetched, edges, records, skipped, as_of, mode, run_mode):
+        self._snapshots, self._tree, self._parsed, self._fetched = snapshots, tree, parsed, fetched
+        self._skipped, self._as_of, self._run_mode = skipped, as_of, run_mode
+        self._emptied = None
+        if mode == "local":
+            empty = F.col("content_bytes") < C.MIN_FILE_BYTES
+            self._emptied = records.where(empty)
+            records = records.where(~empty)
+        checked = V.validate_files(records)
+        #: (key, path, import, target)
+        self.edges: DataFrame = edges
+        #: valid file records
+        self.files: DataFrame = checked.where(F.col("is_valid")).drop(
+            "issues", "is_valid", "content_bytes"
+        )
+        #: files that failed validation, with their issues
+        self.rejects: DataFrame = checked.where(~F.col("is_valid"))
+        #: (key, error)
+        self.errors: DataFrame = self.rejects.select(*KEY, V.failure_text().alias("error"))
+
+    @cached_property
+    def entries(self) -> DataFrame:
+        """(key, kind, entry): every list and map of the repository records, in long form."""
+        skipped = self._skipped.select(*KEY, "skip_reason")
+        if self._emptied is not None:
+            reason = F.lit("empty_file").alias("skip_reason")
+            skipped = skipped.unionByName(self._emptied.select(*KEY, reason))
+        counts = S.skip_reason_counts(skipped)
+        return materialize(B.repo_entries(self._tree, self.files, counts, self.errors), "entries")
+
+    @cached_property
+    def repos(self) -> DataFrame:
+        """Repository records."""
+        record = B.repo_facts(
+            self._snapshots, self._tree, self._parsed, self.files, self.entries, self._as_of
+        )
+        return materialize(record, "repos")
+
+    @cached_property
+    def attempted(self) -> DataFrame:
+        return self._fetched.groupBy(*KEY).agg(F.count(F.lit(1)).alias("files_attempted"))
+
+    @cached_property
+    def runs(self) -> DataFrame:
+        """One manifest row per snapshot."""
+        runs = run_records(self.repos, self.attempted, self._as_of, self._run_mode)
+        if "mode" in self._snapshots.columns:
+            runs = runs.drop("mode").join(self._snapshots.select(*KEY, "mode"), KEY, "left")
+        return runs
+
+    @cached_property
+    def running(self) -> DataFrame:
+        """The manifest rows while the run is under way."""
+        return running_records(self._snapshots, self.attempted, self._as_of, self._run_mode)
 
 
 def select_files(
@@ -89,27 +136,10 @@ def collect_snapshots(
     activity = materialize(H.author_activity(horizon, as_of), "activity")
     history = H.file_history(activity, as_of)
     records = materialize(B.file_facts(fetched, edges, history, as_of), "records")
-
-    skip_rows = skipped.select(*KEY, "skip_reason")
-    if mode == "local":
-        empty = F.col("content_bytes") < C.MIN_FILE_BYTES
-        emptied = records.where(empty).select(*KEY, F.lit("empty_file").alias("skip_reason"))
-        skip_rows = skip_rows.unionByName(emptied)
-        records = records.where(~empty)
-    checked = V.validate_files(records)
-    files = checked.where(F.col("is_valid")).drop("issues", "is_valid", "content_bytes")
-    rejects = checked.where(~F.col("is_valid"))
-    errors = rejects.select(*KEY, V.failure_text().alias("error"))
-    skip_counts = skip_rows.groupBy(*KEY, "skip_reason").agg(F.count(F.lit(1)).alias("n_files"))
-
-    entries = materialize(B.repo_entries(tree, files, skip_counts, errors), "entries")
-    repos = materialize(B.repo_facts(snapshots, tree, parsed, files, entries, as_of), "repos")
-    attempted = fetched.groupBy(*KEY).agg(F.count(F.lit(1)).alias("files_attempted"))
     run_mode = "full" if targets is None else "incremental"
-    runs = run_records(repos, attempted, as_of, run_mode)
-    if "mode" in snapshots.columns:
-        runs = runs.drop("mode").join(snapshots.select(*KEY, "mode"), KEY, "left")
-    return Collection(files, rejects, repos, runs, edges, entries, errors)
+    return Collection(
+        snapshots, tree, parsed, fetched, edges, records, skipped, as_of, mode, run_mode
+    )
 
 
 def running_records(snapshots: DataFrame, attempted: DataFrame, as_of: Column, run_mode: str) -> DataFrame:

@@ -106,6 +106,8 @@ def test_local_repo(local):
     run = local.runs.first()
     assert (run.status, run.mode, run.files_attempted, run.files_succeeded, run.files_failed) == ("complete", "full", 8, 5, 0)
     assert run.run_name == "o__r__main__c1"
+    before = local.running.first()
+    assert (before.status, before.completed_at, before.files_attempted, before.files_succeeded) == ("running", None, 8, 0)
 
 
 def test_api_mode(api):

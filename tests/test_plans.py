@@ -82,10 +82,11 @@ def test_each_step_of_a_collection(spark, monkeypatch):
         return session.materialize(df, name)
 
     monkeypatch.setattr(C, "materialize", spy)
-    C.full_collection(
+    result = C.full_collection(
         X.snapshots(spark, SF_DIR), X.tree(spark, SF_DIR), X.contents(spark, SF_DIR),
         X.commits(spark, SF_DIR), instant(X.AS_OF_30),
     )
+    assert result.repos.count() == 20
     assert set(steps) == {"parsed", "fetched", "edges", "activity", "records", "entries", "repos"}
     for name, plan in steps.items():
         assert [f for f in FORBIDDEN if f in plan] == [], name
