@@ -59,7 +59,7 @@ def repo_determined_by(spark, sf):
 def validate_files(spark, sf):
     """All records the API mode rejects, and all the local mode keeps."""
     local = V.validate_files(collect(spark, sf).files)
-    empty = collect(spark, sf, "api").rejects
+    empty = collect(spark, sf, "api").rejects.where("char_count = 0")
     names = ["repo_id", "file_path", "issues", "is_valid"]
     return plain(local.select(names).unionByName(empty.select(names)))
 

@@ -35,11 +35,20 @@ def days_between(earlier: Column, later: Column) -> Column:
     return F.round((gap - F.pmod(gap, F.lit(MICROS_PER_DAY))) / F.lit(MICROS_PER_DAY)).cast("int")
 
 
-def iso_text(moment: Column) -> Column:
-    """``2024-01-31T10:00:00[.ffffff]+00:00``; the fraction only where there is one."""
+def iso_text(moment: Column, source: Column | None = None) -> Column:
+    """``2024-01-31T10:00:00[.ffffff]+00:00``; the fraction only where there is one.  With the
+    ``source`` text the moment was read from, in the offset of that text."""
+    offset = F.lit("")
+    if source is not None:
+        offset = F.coalesce(F.regexp_extract(source, r"([+-]\d\d:?\d\d)$", 1), F.lit(""))
+    minutes = F.concat(F.substring(offset, 1, 1), F.right(offset, F.lit(2))).try_cast("int")
+    hours = F.substring(offset, 1, 3).try_cast("int")
+    seconds = F.coalesce(hours * 3600 + minutes * 60, F.lit(0))
+    local = F.timestamp_micros(F.unix_micros(moment) + seconds.cast("bigint") * 1_000_000)
     fraction = F.when(
-        F.pmod(F.unix_micros(moment), F.lit(1_000_000)) != 0, F.date_format(moment, ".SSSSSS")
+        F.pmod(F.unix_micros(moment), F.lit(1_000_000)) != 0, F.date_format(local, ".SSSSSS")
     ).otherwise(F.lit(""))
-    return F.concat(
-        F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.date_format(moment, "xxx")
+    shown = F.when(offset == "", F.lit("+00:00")).otherwise(
+        F.concat(F.substring(offset, 1, 3), F.lit(":"), F.right(offset, F.lit(2)))
     )
+    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), fraction, shown)

@@ -20,8 +20,10 @@ def commit_horizon(
     commits: DataFrame, as_of: Column, days: int = C.HISTORY_DAYS, newest: int | None = None
 ) -> DataFrame:
     """Commits of the last ``days`` days; with ``newest``, at most that many per file (what a
-    local log returns)."""
-    kept = commits.where(F.col("committed_at") >= minus_days(as_of, days))
+    local log returns).  A commit whose time cannot be read stays: its source listed it, and it
+    makes the file fail later on."""
+    moment = F.col("committed_at")
+    kept = commits.where(moment.isNull() | (moment >= minus_days(as_of, days)))
     if newest is None:
         return kept
     order = [F.col("ordinal").asc(), F.col("sha").asc()]
@@ -59,11 +61,13 @@ def author_activity(commits: DataFrame, as_of: Column) -> DataFrame:
     smaller than the commits, and enough for every commit field."""
     row = F.struct("sha", "committed_at", "timestamp_raw", "author_name", "message")
     recent = F.col("committed_at") >= minus_days(as_of, C.RECENT_DAYS)
+    unreadable = F.when(F.col("committed_at").isNull(), F.struct("ordinal", "timestamp_raw"))
     return commits.groupBy(*FILE, "author_name").agg(
         F.count(F.lit(1)).alias("n_commits"),
         F.count_if(recent).alias("n_recent"),
         F.min(commit_order()).alias("first_seen"),
         F.min_by(row, commit_order()).alias("latest"),
+        F.min(unreadable).alias("unreadable"),
     )
 
 
@@ -89,6 +93,7 @@ def file_history(activity: DataFrame, as_of: Column) -> DataFrame:
         F.min_by("latest", "first_seen").alias("latest"),
         F.sum("n_commits").alias("commit_frequency_90d"),
         F.sum("n_recent").alias("commit_frequency_30d"),
+        F.min("unreadable").alias("unreadable"),
     )
     return totals.join(top_contributors(activity), FILE, "left").select(
         *FILE,
@@ -101,4 +106,5 @@ def file_history(activity: DataFrame, as_of: Column) -> DataFrame:
         "commit_frequency_30d",
         days_between(F.col("latest.committed_at"), as_of).alias("days_since_last_change"),
         "top_contributors",
+        F.col("unreadable.timestamp_raw").alias("unreadable_commit_time"),
     )

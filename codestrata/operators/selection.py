@@ -18,6 +18,11 @@ def source_files(tree: DataFrame) -> DataFrame:
     return tree.where(P.skip_reason(F.col("path"), F.col("size")).isNull())
 
 
+def source_paths(tree: DataFrame) -> DataFrame:
+    """Collectable paths, sorted within each snapshot."""
+    return source_files(tree).select(*FILE).orderBy(*FILE)
+
+
 def cap_files(sources: DataFrame, max_files: int | None) -> DataFrame:
     """The first ``max_files`` source rows per snapshot in listing order."""
     if max_files is None:
@@ -36,7 +41,7 @@ def target_files(changed: DataFrame, tree: DataFrame) -> DataFrame:
     """Changed names looked up in the tree: names without an entry are ``not_in_tree``, the
     rest still pass the source-file test."""
     entries = tree.select(*FILE, "sha", "size", F.lit(True).alias("_found"))
-    joined = changed.select(*FILE).join(entries, FILE, "left")
+    joined = changed.select(*FILE).distinct().join(entries, FILE, "left")
     reason = F.when(F.col("_found").isNull(), F.lit("not_in_tree")).otherwise(
         P.skip_reason(F.col("path"), F.col("size"))
     )

@@ -109,6 +109,12 @@ def validate_repos(repos: DataFrame) -> DataFrame:
     return repos.withColumn("issues", repo_issues()).withColumn("is_valid", is_valid(F.col("issues")))
 
 
+def unreadable_time_text(raw: Column) -> Column:
+    """Error line of a file with a commit time that is no ISO text."""
+    shown = F.replace(raw, F.lit("Z"), F.lit("+00:00"))
+    return F.concat(F.lit("Invalid isoformat string: '"), shown, F.lit("'"))
+
+
 def failure_text() -> Column:
     """Error line of a rejected file."""
     hard = F.filter("issues", lambda i: i.startswith("hard:"))

@@ -32,17 +32,21 @@ class Collection:
             empty = F.col("content_bytes") < C.MIN_FILE_BYTES
             self._emptied = records.where(empty)
             records = records.where(~empty)
-        checked = V.validate_files(records)
+        # one unreadable commit time fails the file, before it is validated
+        unread = F.col("unreadable_commit_time")
+        broken = records.where(unread.isNotNull()).select("*", V.unreadable_time_text(unread).alias("error"))
+        checked = V.validate_files(records.where(unread.isNull()))
+        invalid = checked.where(~F.col("is_valid")).withColumn("error", V.failure_text())
+        hard = broken.select("*", F.array("error").alias("issues"), F.lit(False).alias("is_valid"))
+        inner = ["content_bytes", "unreadable_commit_time"]
         #: (key, path, import, target)
         self.edges: DataFrame = edges
         #: valid file records
-        self.files: DataFrame = checked.where(F.col("is_valid")).drop(
-            "issues", "is_valid", "content_bytes"
-        )
-        #: files that failed validation, with their issues
-        self.rejects: DataFrame = checked.where(~F.col("is_valid"))
+        self.files: DataFrame = checked.where(F.col("is_valid")).drop("issues", "is_valid", *inner)
+        #: files that failed, with their issues and the error line
+        self.rejects: DataFrame = invalid.unionByName(hard).drop(*inner)
         #: (key, error)
-        self.errors: DataFrame = self.rejects.select(*KEY, V.failure_text().alias("error"))
+        self.errors: DataFrame = self.rejects.select(*KEY, "error")
 
     @cached_property
     def entries(self) -> DataFrame:

@@ -55,8 +55,9 @@ def fetch(selected: DataFrame, parsed: DataFrame) -> DataFrame:
 def file_facts(
     fetched: DataFrame, edges: DataFrame, history: DataFrame, as_of: Column
 ) -> DataFrame:
-    """The file record without its content (see :func:`with_content`), plus ``n_dependents`` and
-    the source text of the latest commit time.
+    """The file record without its content (see :func:`with_content`), plus ``n_dependents``,
+    ``content_bytes``, the source text of the latest commit time, and the first commit time that
+    could not be read.
 
     ``fetched`` carries ``internal``/``external``; ``edges`` come from the resolution;
     ``history`` from :func:`codestrata.operators.history.file_history`.  All joins are on the
@@ -101,6 +102,7 @@ def file_facts(
         P.is_in_test_directory(path).alias("is_in_test_directory"),
         P.depth(path).alias("relative_depth"),
         warnings(F.col("char_count"), F.col("language")).alias("parse_warnings"),
+        "unreadable_commit_time",
     )
     return record.withColumns(
         {"determined_by": V.file_determined_by(), "could_not_determine": V.could_not_determine()}

@@ -4,21 +4,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codestrata import schemas as S
+from codestrata.functions.paths import artifact_name
 from codestrata.functions.times import iso_text
 
 def record_json(record: DataFrame, schema) -> DataFrame:
-    """One JSON text per record, nulls kept, times as ISO text.  A latest-commit time is
-    written as its source wrote it where that text is at hand."""
+    """One JSON text per record, nulls kept, times as ISO text.  A latest-commit time keeps the
+    offset of its source where that text is at hand."""
     names = [f.name for f in schema.fields]
     raw = "most_recent_commit_timestamp_raw"
 
     def field(name: str) -> Column:
         if record.schema[name].dataType.typeName() != "timestamp":
             return F.col(name)
-        text = iso_text(F.col(name))
-        if name == "most_recent_commit_timestamp" and raw in record.columns:
-            text = F.coalesce(F.regexp_replace(raw, "Z$", "+00:00"), text)
-        return text.alias(name)
+        kept = name == "most_recent_commit_timestamp" and raw in record.columns
+        return iso_text(F.col(name), F.col(raw) if kept else None).alias(name)
 
     present = [n for n in names if n in record.columns]
     body = F.to_json(F.struct(*[field(n) for n in present]), {"ignoreNullFields": "false"})
@@ -83,6 +82,14 @@ def require_run(records: DataFrame, repo_id: str, commit_sha: str) -> DataFrame:
     return run
 
 
+def load_collection(
+    files: DataFrame, repos: DataFrame, repo_id: str, commit_sha: str
+) -> tuple[DataFrame, DataFrame]:
+    """Repository record and file records of one run, files in the order of their artifact names."""
+    named = load_run(files, repo_id, commit_sha).orderBy(artifact_name(F.col("file_path")))
+    return require_run(repos, repo_id, commit_sha), named
+
+
 def save_contents(contents: DataFrame, table: str, buckets: int) -> None:
     """Contents as a table bucketed by file: joins on the file then leave it in place."""
     contents.write.mode("overwrite").bucketBy(buckets, *S.FILE).sortBy(*S.FILE).saveAsTable(table)

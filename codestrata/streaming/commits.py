@@ -51,9 +51,13 @@ def read_triggers(spark: SparkSession, path: str, files_per_batch: int | None =
     return reader.json(path)
 
 
-def with_mode(heads: DataFrame, earlier_runs: DataFrame | None) -> DataFrame:
+def with_mode(
+    heads: DataFrame, earlier_runs: DataFrame | None, force_full: bool = False
+) -> DataFrame:
     """``full`` for a commit without a parent and for the oldest commit of a repository seen
     for the first time, else ``incremental``.  Order is commit time, not arrival."""
+    if force_full:
+        return heads.withColumn("mode", F.lit("full"))
     known = heads.select("repo_id").where("false") if earlier_runs is None else earlier_runs
     by_time = F.struct("committed_at", "commit_sha")
     oldest = heads.groupBy("repo_id").agg(F.min_by("commit_sha", by_time).alias("commit_sha"))
@@ -76,13 +80,17 @@ def targets_of(heads: DataFrame, tree: DataFrame) -> tuple[DataFrame, DataFrame]
 
 
 def collect_batch(
-    triggers: DataFrame, tables: Tables, earlier_runs: DataFrame | None, as_of: Column | None = None
+    triggers: DataFrame,
+    tables: Tables,
+    earlier_runs: DataFrame | None,
+    as_of: Column | None = None,
+    force_full: bool = False,
 ) -> Collection | None:
     """One collection over all commits of a batch, or None if no source file changed."""
     heads = triggers.dropDuplicates(KEY)
     if earlier_runs is not None:
         heads = heads.join(earlier_runs.select(*KEY), KEY, "left_anti")
-    heads = materialize(with_mode(heads, earlier_runs), "heads")
+    heads = materialize(with_mode(heads, earlier_runs, force_full), "heads")
     head_tree, targets = targets_of(heads, tables.tree)
     targets = materialize(targets, "targets")
     busy = heads.join(targets.select(*KEY).distinct(), KEY, "left_semi")
@@ -124,9 +132,11 @@ def start_collection_stream(
     as_of: Column | None = None,
     latest_path: str | None = None,
     available_now: bool = True,
+    force_full: bool = False,
 ) -> StreamingQuery:
     """Collects each arriving commit into the tables under ``path``; with ``latest_path``
-    the newest record of every file is kept there as well."""
+    the newest record of every file is kept there as well.  ``force_full`` collects whole trees
+    whatever changed."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -137,7 +147,7 @@ def start_collection_stream(
         usable, unusable = L.split_heads(batch)
         if not unusable.isEmpty():  # a trigger without a commit stops nobody else's
             write_batch(unusable, f"{path}/rejected_triggers", batch_id)
-        result = collect_batch(usable, tables, done, as_of)
+        result = collect_batch(usable, tables, done, as_of, force_full)
         if result is None:
             return
         # the run table goes last: a run that stands there has all its records

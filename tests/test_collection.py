@@ -125,6 +125,19 @@ def test_api_mode(api):
     assert broken.blob_sha == "tree-pkg/broken.py"
 
 
+def test_unreadable_commit_time_fails_the_file(spark):
+    heads, tree, contents, commits = tables(spark)
+    odd = commits.where("sha = 's5'").withColumns(
+        {"sha": F.lit("s0"), "timestamp_raw": F.lit("b"), "ordinal": F.lit(9).cast("bigint"),
+         "committed_at": F.lit(None).cast("timestamp")}
+    )
+    result = C.full_collection(heads, tree, contents, commits.unionByName(odd), instant(AS_OF))
+    assert "index.js" not in by_path(result.files)
+    assert [r.error for r in result.errors.collect()] == ["Invalid isoformat string: 'b'"]
+    # its imports still count: the file was read, only its record failed
+    assert by_path(result.files)["lib/a.js"].dependents == ["index.js", "lib/a.js"]
+
+
 def test_api_scope_and_cap(spark):
     result = C.full_collection(*tables(spark), instant(AS_OF), mode="api", max_files=2)
     got = by_path(result.files)
@@ -247,6 +260,17 @@ def test_stream_result_equals_batch(spark):
     assert streamed.runs.first().mode == "full"
 
 
+def test_forced_full_run(spark):
+    heads, tree, contents, commits = tables(spark)
+    both = tree.unionByName(tree.withColumn("commit_sha", F.lit("c0")))
+    triggers = heads.withColumn("parent_sha", F.lit("c0"))
+    known = spark.createDataFrame([("o/r", "c0")], "repo_id string, commit_sha string")
+    result = T.collect_batch(
+        triggers, T.Tables(both, contents, commits), known, instant(AS_OF), force_full=True
+    )
+    assert (result.runs.first().mode, result.files.count()) == ("full", 5)
+
+
 def test_batch_without_changes_is_a_no_op(spark):
     heads, tree, contents, commits = tables(spark)
     same = tree.unionByName(tree.withColumn("commit_sha", F.lit("c0")))

@@ -131,6 +131,13 @@ def test_times(spark):
          "2024-01-31T10:00:00.25Z": "2024-01-31T10:00:00.250000+00:00"},
         lambda v: D.iso_text(D.parse_commit_time(v)),
     )
+    check(
+        spark,
+        {"2024-01-31T10:00:00Z": "2024-01-31T10:00:00+00:00",
+         "2024-01-31 10:00:00 -0530": "2024-01-31T10:00:00-05:30",
+         "2024-01-31T10:00:00.5+02:00": "2024-01-31T10:00:00.500000+02:00"},
+        lambda v: D.iso_text(D.parse_commit_time(v), v),
+    )
 
 
 def test_identity(spark):
