@@ -12,6 +12,7 @@ from codestrata.functions.paths import import_base, is_path_import
 from codestrata.functions.text import contains_any
 from codestrata.operators.skew import HOT_ROWS, INLINE_LIMIT, collect_bounded, join_hot, row_counts
 from codestrata.schemas import FILE, KEY
+from codestrata.session import materialize
 
 BASE = [*KEY, "base", "is_path"]
 
@@ -42,9 +43,10 @@ def probe(bases: DataFrame, tree: DataFrame) -> DataFrame:
 
 def resolve_imports(files: DataFrame, tree: DataFrame, floor: int = HOT_ROWS) -> DataFrame:
     """Edges ``(key, path, import, target)``.  ``tree`` holds the paths that count as
-    existing: all of them, or the fetched ones only."""
-    requests = import_requests(files)
-    bases = row_counts(requests, BASE)
+    existing: all of them, or the fetched ones only.  Requests and their distinct bases are each
+    read several times and costly to derive, so both are written."""
+    requests = materialize(import_requests(files), "requests")
+    bases = materialize(row_counts(requests, BASE), "bases")
     targets = probe(bases, tree)
     joined = join_hot(requests, targets, BASE, "inner", counts=bases, floor=floor)
     return joined.select(*FILE, "import", "target")

@@ -8,6 +8,7 @@ import __spark_entry__ as entry_point
 from codestrata import session
 from codestrata.catalog import fixtures as X
 from codestrata.functions.times import instant
+from codestrata.operators import resolve as R
 from codestrata.plans import collection as C
 from codestrata.plans.parse import parse_contents
 from conftest import SF_DIR
@@ -82,12 +83,15 @@ def test_each_step_of_a_collection(spark, monkeypatch):
         return session.materialize(df, name)
 
     monkeypatch.setattr(C, "materialize", spy)
+    monkeypatch.setattr(R, "materialize", spy)
     result = C.full_collection(
         X.snapshots(spark, SF_DIR), X.tree(spark, SF_DIR), X.contents(spark, SF_DIR),
         X.commits(spark, SF_DIR), instant(X.AS_OF_30),
     )
     assert result.repos.count() == 20
-    assert set(steps) == {"parsed", "fetched", "edges", "activity", "records", "entries", "repos"}
+    assert set(steps) == {
+        "parsed", "fetched", "requests", "bases", "edges", "activity", "records", "entries", "repos"
+    }
     for name, plan in steps.items():
         assert [f for f in FORBIDDEN if f in plan] == [], name
         for columns in shuffled_columns(plan):
