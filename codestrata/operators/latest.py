@@ -18,6 +18,20 @@ def latest_artifact_per_file(records: DataFrame, deleted: DataFrame | None = Non
     return newest.join(deleted.select("repo_id", "file_path"), ["repo_id", "file_path"], "left_anti")
 
 
+def latest_edges(edges: DataFrame, newest: DataFrame) -> DataFrame:
+    """Import edges of the newest record of each file: the edges of a whole repository, put
+    together from several runs."""
+    current = newest.select("repo_id", "commit_sha", F.col("file_path").alias("path"))
+    return edges.join(current, ["repo_id", "commit_sha", "path"], "left_semi")
+
+
+def repo_dependents(edges: DataFrame, newest: DataFrame) -> DataFrame:
+    """Dependents over all files of a repository, also those the last run did not touch."""
+    return latest_edges(edges, newest).select(
+        "repo_id", F.col("target").alias("path"), F.col("path").alias("dependent")
+    )
+
+
 def latest_repo_header(repos: DataFrame) -> DataFrame:
     """The newest run's repository record."""
     order = [F.col("run_at").desc(), F.col("commit_sha").desc()]

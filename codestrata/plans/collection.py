@@ -201,10 +201,6 @@ def full_collection(snapshots, tree, contents, commits, as_of, mode="local", max
 
 def incremental_collection(snapshots, tree, contents, commits, targets, as_of):
     """Changed files only.  Repository record and dependents cover the changed files, as
-    each run describes what it collected; see :func:`repo_scope_dependents` for all."""
+    each run describes what it collected; see ``operators.latest.repo_dependents`` for all."""
     return collect_snapshots(snapshots, tree, contents, commits, as_of, "local", targets)
 
-
-def repo_scope_dependents(latest_edges: DataFrame) -> DataFrame:
-    """Dependents over the latest edges of every file of a repository, not just the changed ones."""
-    return R.dependents(latest_edges)

@@ -36,6 +36,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     a lost executor costs a re-read and not a second pass over file contents;
     Parquet keeps column pruning and real sizes for later joins."""
     spark = df.sparkSession
-    path = f"{workspace(spark)}/codestrata/{name}-{uuid.uuid4().hex}"
+    run = spark.sparkContext.applicationId  # one folder per application, to be removed after it
+    path = f"{workspace(spark)}/codestrata/{run}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,25 +1,45 @@
 """Landed responses, listings and logs -> the tables of :mod:`codestrata.schemas`.
 
 Each source has a ``read_*`` function over files and a ``parse_*`` transform over the landed
-rows, so rows that arrive in another table can be parsed as well.  A row that cannot be
-read turns into an empty value or is left out; it never fails the job."""
+rows, so rows that arrive in another table can be parsed as well.  Nothing landed fails the
+job: undecodable content is an empty text, and a broken JSON line is found in
+:func:`unreadable_lines`."""
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from codestrata import schemas as S
 from codestrata.functions.text import git_blob_sha, strip
 from codestrata.functions.times import parse_commit_time
 
+#: column that takes a landed line that is no JSON of the expected shape
+CORRUPT = "_corrupt_line"
 #: commits of one page of a landed commit response; orders pages before positions
 PAGE_STRIDE = 1_000_000
 
 
+def _json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return spark.read.schema(wide).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Landed JSON lines of a known shape; see :func:`unreadable_lines` for the others."""
+    return _json_lines(spark, path, schema).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def unreadable_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The lines :func:`read_json_lines` leaves out, with their file."""
+    lines = _json_lines(spark, path, schema).where(F.col(CORRUPT).isNotNull())
+    return lines.select("repo_id", F.input_file_name().alias("file"), F.col(CORRUPT).alias("line"))
+
+
 # tree ---------------------------------------------------------------------------------------
 
 
 def read_tree_json(spark: SparkSession, path: str) -> DataFrame:
-    return parse_tree_json(spark.read.schema(S.TREE_RESPONSE).option("mode", "FAILFAST").json(path))
+    return parse_tree_json(read_json_lines(spark, path, S.TREE_RESPONSE))
 
 
 def parse_tree_json(responses: DataFrame) -> DataFrame:
@@ -77,9 +97,7 @@ def _utf8_or_empty(data: Column) -> Column:
 
 
 def read_content_json(spark: SparkSession, path: str) -> DataFrame:
-    return parse_content_json(
-        spark.read.schema(S.CONTENT_RESPONSE).option("mode", "FAILFAST").json(path)
-    )
+    return parse_content_json(read_json_lines(spark, path, S.CONTENT_RESPONSE))
 
 
 def parse_content_json(responses: DataFrame) -> DataFrame:
@@ -125,9 +143,7 @@ def parse_snapshot_files(files: DataFrame) -> DataFrame:
 
 
 def read_commit_pages(spark: SparkSession, path: str) -> DataFrame:
-    return parse_commit_pages(
-        spark.read.schema(S.COMMIT_PAGE).option("mode", "FAILFAST").json(path)
-    )
+    return parse_commit_pages(read_json_lines(spark, path, S.COMMIT_PAGE))
 
 
 def parse_commit_pages(pages: DataFrame) -> DataFrame:
@@ -167,7 +183,7 @@ def parse_commit_log(lines: DataFrame) -> DataFrame:
 def read_commit_log(spark: SparkSession, path: str) -> DataFrame:
     """Landed logs as JSON lines ``{repo_id, commit_sha, path, log}``, ``log`` being the whole log
     text of one file; a file's log is at most 50 lines long by how it is taken."""
-    logs = spark.read.schema(S.COMMIT_LOG).option("mode", "FAILFAST").json(path)
+    logs = read_json_lines(spark, path, S.COMMIT_LOG)
     return parse_commit_log(
         logs.select(*S.FILE, F.posexplode(F.split("log", "\n")).alias("ordinal", "value"))
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from codestrata import schemas as S
 from codestrata.functions.times import instant
 from codestrata.operators import validate as V
+from codestrata.operators.latest import latest_artifact_per_file, repo_dependents
 from codestrata.plans import collection as C
 from codestrata.streaming import commits as T
 
@@ -236,6 +237,11 @@ def test_stream(spark, tmp_path):
         ("o/r", "pkg/main.py"): "c1", ("o/r", "index.js"): "c1", ("o/r", "src/x.kt"): "c1",
         ("o/r", "lib/a.js"): "c1", ("o/r", "pkg/util.py"): "c2", ("o/r", "pkg/new.py"): "c2", ("o/q", "a.py"): "d1",
     }
+    # over the whole repository, from the newest record of each file
+    of = {(r.path, r.dependent) for r in repo_dependents(
+        read("edges"), latest_artifact_per_file(read("files"))).where("repo_id = 'o/r'").collect()}
+    assert of == {("pkg/main.py", "pkg/util.py"), ("pkg/util.py", "pkg/main.py"), ("pkg/util.py", "pkg/new.py"),
+                  ("lib/a.js", "index.js"), ("index.js", "lib/a.js"), ("lib/a.js", "lib/a.js")}
     # a batch that is played again overwrites itself
     before = sorted(map(str, read("files").collect()))
     done = read("runs").where("batch_id < 1")

@@ -1,5 +1,7 @@
 """Paths, hashes, times, import extraction and README structure on single values."""
 
+import posixpath
+import random
 import re
 import unicodedata
 
@@ -92,6 +94,21 @@ def test_normalize(spark):
     )
 
 
+def test_paths_agree_with_the_standard_library(spark):
+    """Paths put together at random, against ``posixpath``."""
+    rng = random.Random(7)
+    pieces = ["a", "b.c", "..", ".", "", ".d", "e.", "x.Y", "...", "tests", "é"]
+    paths = sorted({"/".join(rng.choices(pieces, k=rng.randint(1, 7))) for _ in range(3000)})
+    paths = [p for p in paths if not p.startswith("/")]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    p = F.col("p")
+    got = df.select(p, P.normalize(p).alias("n"), P.extension(p).alias("e"), P.basename(p).alias("b"), P.stem(p).alias("s"))
+    for r in got.collect():
+        assert r.n == posixpath.normpath(r.p), r.p
+        assert r.e == posixpath.splitext(r.p)[1].lower(), r.p
+        assert (r.b, r.s) == (posixpath.basename(r.p), posixpath.splitext(posixpath.basename(r.p))[0].lower()), r.p
+
+
 def test_character_classes_agree_with_unicode_text_methods(spark):
     """All code points known since Unicode 3.2, against ``str.isalnum`` and ``str.isspace``."""
     old = unicodedata.ucd_3_2_0

@@ -41,6 +41,16 @@ def test_tree_json(spark, tmp_path):
     assert [r.repo_id for r in D.truncated_trees(responses).collect()] == ["o/r"]
 
 
+def test_broken_lines_fail_nothing(spark, tmp_path):
+    path = jsonl(tmp_path / "b", [{"repo_id": "o/r", "commit_sha": "c", "path": "p", "content": "YQ==", "sha": "s"}])
+    with open(f"{path}/more.json", "w") as f:
+        f.write('{"repo_id": "o/q", "com\n[1, 2]\n')
+    assert [r.content for r in D.read_content_json(spark, path).collect()] == ["a"]
+    bad = D.unreadable_lines(spark, path, S.CONTENT_RESPONSE).collect()
+    assert sorted(r.line for r in bad) == ["[1, 2]", '{"repo_id": "o/q", "com']
+    assert all(r.file.endswith("more.json") for r in bad)
+
+
 def test_tree_listing(spark, tmp_path):
     folder = tmp_path / "repo_id=o%2Fr" / "commit_sha=c"
     folder.mkdir(parents=True)
