@@ -5,5 +5,5 @@ from conftest import ROOT
 
 
 def test_entry_point_imports_without_a_session():
-    code = "import __spark_entry__ as e; assert len(e.queries()) == len(e.oracle_sql()) > 80"
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries()); assert len(e.oracle_sql()) > 80"
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)

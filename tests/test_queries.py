@@ -4,10 +4,10 @@ import pytest
 
 import __spark_entry__ as entry_point
 import compare
+from codestrata.catalog import all_queries
 from conftest import SF_DIR
 
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES, ORACLES = all_queries()
 
 
 @pytest.fixture(scope="module")
