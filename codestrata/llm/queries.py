@@ -27,6 +27,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from codestrata.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from codestrata.llm import quality
+
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op3_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     from codestrata.llm import token_ids
@@ -36,9 +52,37 @@ def op3_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.digest(spark, folder)
 
 
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from codestrata.llm.relative_lz import without_repeats
+
+    return without_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from codestrata.llm.suffix_levels import without_shared
+
+    return without_shared(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from codestrata.llm.mixing import Mix
+
+    return Mix(table(spark, sf_dir, "documents")).report()
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from codestrata.llm import token_counts
 
     counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+@query
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from codestrata.llm.neighbours import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
