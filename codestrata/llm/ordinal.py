@@ -51,8 +51,8 @@ def screened(features: Sequence[set], grades: np.ndarray, min_rows: int, most: i
 
 
 def fit(
-    features: Sequence[set], grades: Sequence[int], min_rows: int = 5, most: int = 4_096, z: float = 5.0,
-    decay: float = 1e-5, steps: int = 400, rate: float = 0.1,
+    features: Sequence[set], grades: Sequence[int], min_rows: int = 8, most: int = 512, z: float = 8.0,
+    decay: float = 1e-5, steps: int = 800, rate: float = 0.1,
 ) -> Ordinal:
     """Maximum likelihood with weight decay by full-batch Adam; the same sample gives the same model."""
     y = np.asarray(grades, np.int64)

@@ -1,11 +1,12 @@
 """Toxicity: severity grades by cumulative-link ordinal regression on the words and word beginnings of a text (operator 1).
 
 Ratings may be grades already (0: none).  Where they are only yes or no, `severities` grades the toxic rows of
-the sample: 2 where the share of words that go with the toxic label is at least the toxic rows' median, else 1."""
+the sample: 2 where it has more different words that go with the toxic label than the toxic rows' median, else 1."""
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -39,7 +40,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, columns: Sequence[str],
     )
     texts = docs.select("doc_id", "text").where(F.length("text") <= longest)
     found = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", *columns)
-    return sorted(found.toArrow().to_pylist(), key=lambda r: (r["doc_id"], r["text"], *(r[c] for c in columns)))[: 2 * rows]
+    return one_of_each(sorted(found.toArrow().to_pylist(), key=lambda r: (r["doc_id"], r["text"], *(r[c] for c in columns))))
+
+
+def one_of_each(sample: list[dict]) -> list[dict]:
+    """The sample without further copies: a row goes if its smallest five-word hash, under one of three hashes, was
+    seen.  Else the chance words of a text with many copies would look like signs of its grade."""
+    seen: set[tuple[int, int]] = set()
+    out = []
+    for row in sample:
+        found = words(row["text"])
+        grams = [" ".join(found[i : i + 5]).encode() for i in range(max(1, len(found) - 4))]
+        marks = {(k, min(zlib.crc32(g, k) for g in grams)) for k in range(3)}
+        if seen.isdisjoint(marks):
+            out.append(row)
+        seen |= marks
+    return out
 
 
 def severities(texts: Sequence[list[str]], toxic: Sequence[int]) -> list[int]:
@@ -51,10 +67,9 @@ def severities(texts: Sequence[list[str]], toxic: Sequence[int]) -> list[int]:
         rows[min(1, label)].update(features(found))
     sizes = {c: sum(min(1, t) == c for t in toxic) for c in rows}
     marks = {w for w, n in rows[1].items() if n >= 3 and n / sizes[1] > 10 * (rows[0][w] + 0.5) / (sizes[0] + 1)}
-    share = [sum(not marks.isdisjoint(features([w])) for w in found) / max(1, len(found)) for found in texts]
-    of_toxic = [s for s, t in zip(share, toxic) if t]
-    middle = float(np.median(of_toxic)) if of_toxic else 0.0
-    return [0 if not t else 2 if s >= middle and s > 0 else 1 for s, t in zip(share, toxic)]
+    counts = [sum(not marks.isdisjoint(features([w])) for w in set(found)) for found in texts]
+    middle = float(np.median([c for c, t in zip(counts, toxic) if t] or [0]))
+    return [0 if not t else 2 if c > middle else 1 for c, t in zip(counts, toxic)]
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = 6_000, longest: int = 20_000) -> Ordinal:
@@ -63,7 +78,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = 6_000, longest: int =
     return fit([features(t) for t in texts], severities(texts, [r["toxic"] for r in sample]))
 
 
-def score(docs: DataFrame, model: Ordinal, reject_at: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: Ordinal, reject_at: float = 0.25) -> DataFrame:
     """``doc_id, expected_severity, p_toxic, severity, toxic`` of every whole text; toxic where
     ``P(severity > 0) >= reject_at``.
 
@@ -91,7 +106,7 @@ def score(docs: DataFrame, model: Ordinal, reject_at: float = 0.5) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(grade, f"doc_id {kind}, expected_severity double, p_toxic double, severity int, toxic boolean")
 
 
-def without_toxic(docs: DataFrame, model: Ordinal, reject_at: float = 0.5) -> DataFrame:
+def without_toxic(docs: DataFrame, model: Ordinal, reject_at: float = 0.25) -> DataFrame:
     """The rows of ``docs``, all columns as they were, whose text `score` would not call toxic."""
     spark = docs.sparkSession
     small_batches(spark)
