@@ -69,7 +69,7 @@ def repeats(p: dict[str, np.ndarray], length: int) -> Iterator[tuple[int, int, i
             waiting = -1
 
 
-def repeated_runs(docs: DataFrame, text: str = "text", length: int = 20, gram: int = 10) -> DataFrame:
+def repeated_runs(docs: DataFrame, text: str = "text", length: int = 20, gram: int = 4) -> DataFrame:
     """``__id, __key, start, n``: runs of windows of ``length`` words that also start earlier."""
     # a word is in 1 + 2 * length / (windows an anchor is the smallest of) pieces on average
     buckets = spans.buckets_for(docs, text, copied=1 + 2 * length / (length - gram + 2))

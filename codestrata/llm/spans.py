@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from codestrata.llm.common import shuffle_partitions, small_batches, text_key
 
 NO_ID = -(1 << 63)
-PLACE = 23  # bits for a position in a chunk
-CHUNK = 4 << 20  # bytes worked on at a time; longer texts are cut, with an overlap
-HELD = 16 << 20  # bytes of text whose pieces go out together
+PLACE = 24  # bits for a position in a chunk
+CHUNK = 2_000_000  # bytes worked on at a time; longer texts are cut, with an overlap
+HELD = 12 << 20  # bytes of text whose pieces go out together
 
 BASE = 0x9E3779B97F4A7C15
 _POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
@@ -127,15 +127,16 @@ def cut(texts: list[tuple[int, int, int, bytes]], words: bool, length: int, gram
 
 
 def segments(rows: Iterable[tuple[int, int, bytes]], words: bool, length: int) -> Iterator[tuple[int, int, int, bytes]]:
-    """Texts as ``(id, key, first unit, text)`` of at most about a chunk; those of one text overlap so that every window is whole in one."""
+    """Texts as ``(id, key, first unit, text)`` of at most about a chunk; those of one text overlap so that every window is whole
+    in one.  A text without a window gives none."""
     for key_id, key, text in rows:
         if not words:
-            for at in range(0, max(1, len(text) - length + 1), CHUNK):
+            for at in range(0, len(text) - length + 1, CHUNK):
                 yield key_id, key, at, text[at : at + CHUNK + length - 1]
             continue
         found = text.split()
         step = CHUNK // 8
-        for at in range(0, max(1, len(found) - length + 1), step):
+        for at in range(0, len(found) - length + 1, step):
             yield key_id, key, at, b" ".join(found[at : at + step + length - 1])
 
 
@@ -159,7 +160,7 @@ def packed(parts: list[tuple[Pieces, np.ndarray, np.ndarray]], buckets: int, set
     """One row a bucket of the pieces picked from each chunk, their texts compressed together; the first row takes the settled runs."""
     import zstandard
 
-    squeeze = zstandard.ZstdCompressor(level=3).compress
+    squeeze = zstandard.ZstdCompressor(level=7).compress
     texts = [np.array([p.data[b:e] for b, e in zip(p.begin[i].tolist(), p.end[i].tolist())], object) for p, i, _ in parts]
     columns = {c: np.concatenate([getattr(p, c)[i] for p, i, _ in parts]) for c in ("anchor", "ids", "keys", "start", "count")}
     columns["many"] = np.concatenate([m for _, _, m in parts])
@@ -198,7 +199,7 @@ def keyed(docs: DataFrame, text: str) -> DataFrame:
     return docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__key": text_key(text)})
 
 
-def buckets_for(docs: DataFrame, text: str, copied: float, bucket_bytes: int = 24 << 20) -> int:
+def buckets_for(docs: DataFrame, text: str, copied: float, bucket_bytes: int = 16 << 20) -> int:
     """So many that a bucket's pieces, ``copied`` times the text, stay below ``bucket_bytes``; with some to spare for
     an even load."""
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
