@@ -52,6 +52,13 @@ def op3_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.digest(spark, folder)
 
 
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from codestrata.llm.decontamination import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+
+
 @query
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from codestrata.llm.relative_lz import without_repeats
