@@ -80,6 +80,13 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Mix(table(spark, sf_dir, "documents")).report()
 
 
+@query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from codestrata.llm.jaccard_join import groups
+
+    return groups(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from codestrata.llm import token_counts
