@@ -85,6 +85,7 @@ class Mix:
             rows.append((r[SOURCE], r.n, goal, passes, goal - passes * r.n, n_blocks))
         schema = f"{SOURCE} string, source_size long, target double, __passes int, __need double, __blocks int"
         self.plan = spark.createDataFrame(rows, schema)  # one row a source
+        self.most_blocks = sum(r[-1] for r in rows)
         self.blocks = self.scratch.keep(self._blocks(), "blocks")
         self.shards = shards
         self.taken_in_part = self.scratch.keep(self._part(), "part")
@@ -142,7 +143,9 @@ class Mix:
     def drawn(self, rows: DataFrame) -> DataFrame:
         """``rows`` with ``__passes``, ``__more`` (whether taken once more), their block's rank and the plan."""
         part = self.taken_in_part.select(SOURCE, F.col("doc_id").alias("__id"), F.col(KEY).alias("__k"), F.lit(True).alias("__picked"))
-        inner = self.placed(rows).join(self.blocks, [SOURCE, BLOCK])
+        # one row a block: broadcast while all sources' blocks together are few
+        blocks = F.broadcast(self.blocks) if self.most_blocks <= 200_000 else self.blocks
+        inner = self.placed(rows).join(blocks, [SOURCE, BLOCK])
         some = F.col("__rest").isNotNull()
         picked = inner.where(some).join(part.withColumnRenamed(SOURCE, "__s"), (F.col(SOURCE) == F.col("__s")) & F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col(KEY) == F.col("__k")), "left")
         picked = picked.withColumn("__more", F.coalesce("__picked", F.lit(False))).drop("__s", "__id", "__k", "__picked")
