@@ -6,7 +6,7 @@ the boxes' larger corners, so a search passes over boxes and points whose bound
 
 The tree is rooted in regions: a region is a shingle, and holds the nodes that have it among their first ones in an order of all
 shingles, rare ones first; linked nodes always share a region (they would else differ in too many shingles).  In a
-region nodes are put into leaves, whose boxes are joined pairwise.  Links to a region's smallest node are verified first, and the leaves are
+region nodes are put into leaves, whose boxes are joined pairwise.  Links to a region's pivot are verified first, and the leaves are
 searched for pairs of nodes that these have not joined yet: only components are asked for, so a family of copies costs one link a
 node and not one a pair, and no link between different components is lost.
 """
@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from codestrata.llm import spans
 from codestrata.llm.common import Scratch, shuffle_partitions, small_batches
@@ -28,6 +29,8 @@ GROUPS = 64
 CELLS = 1 << 20  # counters of the shingles' frequency, over all documents; four MB, whatever their number
 SLICES = 64
 LEAF = 512
+#: Links that are tried for a node before the search.
+PIVOTS = 4
 #: Nodes of a region that are looked at in one place; larger regions are dealt out to several.
 REGION = 4096
 #: Candidate nodes up to this number (eight bytes each) are broadcast to the scan that fetches their sets.
@@ -73,6 +76,20 @@ def point(shingles: np.ndarray) -> np.ndarray:
     return np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
 
 
+def finer(shingles: np.ndarray) -> bytes:
+    """The counts in more groups, about one for eight shingles: few groups tell long texts apart badly."""
+    bits = max(6, min(16, (len(shingles) // 8).bit_length()))
+    return np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype("<i4").tobytes()
+
+
+def in_common(a: bytes, b: bytes) -> int:
+    """The bound of two nodes' finer points; the finer one is folded to the other's groups."""
+    a, b = np.frombuffer(a, "<i4"), np.frombuffer(b, "<i4")
+    if len(a) > len(b):
+        a, b = b, a
+    return int(np.minimum(a, b.reshape(len(a), -1).sum(axis=1)).sum())
+
+
 def region_keys(shingles: np.ndarray, cells: np.ndarray, least: int) -> np.ndarray:
     """The first shingles, rarest first, of which linked sets share one."""
     n = len(shingles)
@@ -85,7 +102,7 @@ def scanned(docs: DataFrame, text: str, size: int) -> DataFrame:
     """One row a document (``doc_id, n, node, point``), and slices of each task's shingle counts (``slice, counts``)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     id_type = {"bigint": pa.int64(), "int": pa.int32()}[kind]
-    schema = pa.schema([("doc_id", id_type), ("n", pa.int64()), ("node", pa.int64()), ("point", pa.list_(pa.int32())), ("slice", pa.int32()), ("counts", pa.binary())])
+    schema = pa.schema([("doc_id", id_type), ("n", pa.int64()), ("node", pa.int64()), ("point", pa.list_(pa.int32())), ("fine", pa.binary()), ("slice", pa.int32()), ("counts", pa.binary())])
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, np.int64)
@@ -97,16 +114,16 @@ def scanned(docs: DataFrame, text: str, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([point(s) for s in sets], pa.list_(pa.int32())), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
+                    pa.array([point(s) for s in sets], pa.list_(pa.int32())), pa.array([finer(s) for s in sets], pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
                 ],
                 schema=schema,
             )
         if cells.any():
             parts = [p.astype("<u4").tobytes() for p in np.minimum(cells, 0xFFFFFFFF).reshape(SLICES, -1)]
-            empty = [pa.nulls(SLICES, schema.field(i).type) for i in range(4)]
+            empty = [pa.nulls(SLICES, schema.field(i).type) for i in range(5)]
             yield pa.RecordBatch.from_arrays([*empty, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], schema=schema)
 
-    return docs.select("doc_id", text).mapInArrow(scan, f"doc_id {kind}, n long, node long, point array<int>, slice int, counts binary")
+    return docs.select("doc_id", text).mapInArrow(scan, f"doc_id {kind}, n long, node long, point array<int>, fine binary, slice int, counts binary")
 
 
 def summed_cells(rows: DataFrame) -> np.ndarray:
@@ -179,8 +196,8 @@ def entries(docs: DataFrame, text: str, size: int, least: int, cells: np.ndarray
 
 
 def regions(packed: DataFrame, least: int) -> DataFrame:
-    """``region, part, node, pivot``: nodes of every region with more than one node, in parts that sizes cannot link across; the pivot is
-    the smallest node of the region's share.  Regions of the same nodes are given once a bucket."""
+    """``region, part, node``: nodes of every region with more than one node, in parts that sizes cannot link across.  Regions of
+    the same nodes are given once a bucket."""
 
     def bucket(table: pa.Table) -> pa.Table:
         import zstandard
@@ -210,10 +227,9 @@ def regions(packed: DataFrame, least: int) -> DataFrame:
         each = [b - a for a, b in out]
         part = np.repeat([int(a) if salts[a] == 0 else -1 for a, _ in out], each).astype(np.int64) if out else rows
         part = np.where(part >= 0, sizes[np.maximum(part, 0)], -1) if out else rows  # the smallest size names a part
-        pivot = np.repeat([int(nodes[a:b].min()) for a, b in out], each).astype(np.int64) if out else rows
-        return pa.Table.from_pydict({"region": keys[rows].view(np.int64), "part": part, "node": nodes[rows], "pivot": pivot})
+        return pa.Table.from_pydict({"region": keys[rows].view(np.int64), "part": part, "node": nodes[rows]})
 
-    return packed.groupBy("bucket").applyInArrow(bucket, "region long, part long, node long, pivot long")
+    return packed.groupBy("bucket").applyInArrow(bucket, "region long, part long, node long")
 
 
 def bounded(low: np.ndarray, high: np.ndarray, low_n: np.ndarray, high_n: np.ndarray, least: int) -> np.ndarray:
@@ -233,6 +249,7 @@ def searched(a: dict, b: dict, least: int, fan: int = 32) -> Iterator[tuple[int,
         order = np.lexsort((p[:, 0], n, np.array(leaf["label"], np.int64)))
         at = np.arange(0, len(n), fan)
         trees.append((np.array(leaf["node"], np.int64)[order], np.array(leaf["label"], np.int64)[order], n[order], p[order], at))
+    fine = {n: f for leaf in (a, b) for n, f in zip(leaf["node"], leaf["fine"])}
     (na, la, sa, pa_, ata), (nb, lb, sb, pb, atb) = trees
     boxes = bounded(np.maximum.reduceat(pa_, ata), np.maximum.reduceat(pb, atb), np.minimum.reduceat(sa, ata), np.minimum.reduceat(sb, atb), least)
     for i, j in zip(*(x.tolist() for x in np.nonzero(boxes))):
@@ -240,17 +257,21 @@ def searched(a: dict, b: dict, least: int, fan: int = 32) -> Iterator[tuple[int,
         other = la[s][:, None] != lb[t][None, :]
         if other.any():
             for x, y in zip(*np.nonzero(other & bounded(pa_[s], pb[t], sa[s], sb[t], least))):
-                yield int(na[s][x]), int(nb[t][y])
+                one, two = int(na[s][x]), int(nb[t][y])
+                if (100 + least) * in_common(fine[one], fine[two]) >= least * int(sa[s][x] + sb[t][y]):
+                    yield one, two
 
 
 def unjoined_pairs(members: DataFrame, nodes: DataFrame, joined: DataFrame, least: int, scratch: Scratch, name: str) -> DataFrame:
     """``x, y``: pairs of nodes of one region in different components whose bound suffices."""
     named = members.select("region", "part", "node").join(joined, "node", "left").withColumn("label", F.coalesce("label", "node"))
     named = scratch.keep(named, f"{name}-named")
-    mixed = named.groupBy("region", "part").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("rows"))
-    left = named.join(mixed.where("a <> b").select("region", "part", "rows"), ["region", "part"])
-    points = left.join(nodes.select("node", "n", "point"), "node").withColumn("leaf", F.expr(f"cast(pmod(xxhash64(node), div(rows, {LEAF}) + 1) as int)"))
-    row = F.struct("node", "label", "n", "point")
+    marks = [F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"h{i}") for i in (0, 1)]
+    mixed = named.groupBy("region", "part").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("rows"), *marks)
+    once = mixed.where("a <> b").groupBy("rows", "h0", "h1").agg(F.min(F.struct("region", "part")).alias("r"))  # regions of the same nodes
+    left = named.join(once.select("r.region", "r.part", "rows"), ["region", "part"])
+    points = left.join(nodes.select("node", "n", "point", "fine"), "node").withColumn("leaf", F.expr(f"cast(pmod(xxhash64(node), div(rows, {LEAF}) + 1) as int)"))
+    row = F.struct("node", "label", "n", "point", "fine")
     leaves = points.groupBy("region", "part", "leaf").agg(F.collect_list(row).alias("rows"))  # some LEAF rows each
     corner = F.expr(f"transform(sequence(0, {GROUPS - 1}), g -> array_max(transform(rows, r -> r.point[g])))")
     leaves = scratch.keep(
@@ -266,7 +287,7 @@ def unjoined_pairs(members: DataFrame, nodes: DataFrame, joined: DataFrame, leas
     pairs = boxes.join(rows, ["region", "part", "leaf"]).join(rows.select("region", "part", F.col("leaf").alias("leaf2"), F.col("rows").alias("rows2")), ["region", "part", "leaf2"])
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unzip = lambda rows: {c: [r[c] for r in rows] for c in ("node", "label", "n", "point")}
+        unzip = lambda rows: {c: [r[c] for r in rows] for c in ("node", "label", "n", "point", "fine")}
         for batch in batches:
             found: set[tuple[int, int]] = set()
             for r1, r2 in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -329,17 +350,20 @@ def groups(docs: DataFrame, text: str = "text", size: int = 5, least: int = 80)
     small_batches(spark)
     scratch = Scratch(spark, "jaccard")
     rows = scratch.keep(scanned(docs, text, size), "scanned")
-    found = rows.where("slice IS NULL").select("doc_id", "n", "node", "point")
+    found = rows.where("slice IS NULL").select("doc_id", "n", "node", "point", "fine")
     cells = summed_cells(rows)
-    nodes = scratch.keep(found.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("root"), F.first("n").alias("n"), F.first("point").alias("point")), "nodes")
+    nodes = scratch.keep(found.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("root"), F.first("n").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine")), "nodes")
     packed = entries(docs, text, size, least, cells, 4 * shuffle_partitions(spark))
     members = scratch.keep(regions(packed, least), "regions")
-    # the smallest node of a region's share with each of the share, and the shares' smallest ones with the region's
-    pivots = members.groupBy("region", "part").agg(F.min("pivot").alias("first"))
-    shares = members.where("part < 0").select("region", "part", "pivot").distinct().join(pivots, ["region", "part"])
-    star = members.select(F.col("pivot").alias("x"), F.col("node").alias("y")).union(shares.select(F.col("first").alias("x"), F.col("pivot").alias("y")))
+    # a region's pivot is its node with the most regions: copies are nearest to what they were copied from, which has fewest shingles of its own
+    known = members.groupBy("node").agg(F.count("*").alias("degree"))
+    pivots = members.join(known, "node").groupBy("region", "part").agg(F.max(F.struct("degree", "node")).alias("pivot"))
+    star = members.join(pivots, ["region", "part"]).select(F.col("pivot.node").alias("x"), F.col("node").alias("y")).where("x <> y")
     point = nodes.select("node", "n", "point")
-    pairs = star.where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    # of a node's pivots those it shares most regions with: the likeliest links; the others are searched for below
+    often = F.row_number().over(Window.partitionBy("y").orderBy(F.desc("count"), "x"))
+    pairs = star.groupBy("x", "y").count().withColumn("often", often).where(F.col("often") <= PIVOTS).select("x", "y")
+    pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     pairs = pairs.join(point.select(F.col("node").alias("x"), F.col("n").alias("n1"), F.col("point").alias("p1")), "x").join(point.select(F.col("node").alias("y"), F.col("n").alias("n2"), F.col("point").alias("p2")), "y")
     bound = F.expr("aggregate(zip_with(p1, p2, (p, q) -> cast(least(p, q) as long)), 0L, (s, x) -> s + x)")
     pairs = scratch.keep(pairs.where((100 + least) * bound >= least * (F.col("n1") + F.col("n2"))).select("x", "y"), "star")
