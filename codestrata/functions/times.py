@@ -20,9 +20,17 @@ def instant(value: str | dt.datetime | Column) -> Column:
     return F.timestamp_micros(F.lit(since_epoch // dt.timedelta(microseconds=1)))
 
 
+#: A full date, a time, and ``Z`` or an offset.  Spark alone would also take a bare date, a bare time (of today), or a zone's name.
+BASIC = r"^(\d{4})(\d\d)(\d\d)T(\d\d)(\d\d)(\d\d)(\.\d+)?(Z|[+-]\d\d:?\d\d)$"
+EXTENDED = r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d(:\d\d(\.\d+)?)? ?(Z|[+-]\d\d:?\d\d)$"
+
+
 def parse_commit_time(text: Column) -> Column:
-    """ISO 8601 with ``Z`` or an offset, or ``YYYY-MM-DD HH:MM:SS +HHMM``; null if neither."""
-    return F.try_to_timestamp(text)
+    """ISO 8601, extended or basic, with ``Z`` or an offset, or ``YYYY-MM-DD HH:MM:SS +HHMM``; null if neither.  A
+    text without date, time or offset is null and never filled up from the clock."""
+    full = F.regexp_replace(text, BASIC, "$1-$2-$3T$4:$5:$6$7$8")
+    full = F.when(full.rlike(EXTENDED), full)
+    return F.try_to_timestamp(F.regexp_replace(full, r"^(.{10}[T ]\d\d:\d\d)( ?[Z+-])", "$1:00$2"))
 
 
 def minus_days(moment: Column, days: int) -> Column:

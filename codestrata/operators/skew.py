@@ -39,7 +39,10 @@ def join_hot(
 ) -> DataFrame:
     """Join many rows to a table with one row per key.  Rows of hot keys are dealt out over
     salts, and only the matching rows of ``right`` are repeated, once per salt.  ``counts``
-    (keys + ``n``) may be given if the caller has them, or larger ones, already."""
+    (keys + ``n``) may be given if the caller has them, or larger ones, already.  ``right`` and ``full``
+    joins are refused: a repeated row without a match would come out once per salt."""
+    if how not in ("left", "inner", "left_semi", "left_anti"):
+        raise ValueError(f"join_hot cannot do a {how} join")
     hot = hot_keys(row_counts(left, on) if counts is None else counts, on, floor)
     if hot is None:
         return left.join(right, on, how)

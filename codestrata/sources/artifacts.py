@@ -67,18 +67,20 @@ def read_json_artifacts(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def load_run(records: DataFrame, repo_id: str, commit_sha: str) -> DataFrame:
-    """Records of one run: exact repository, first seven characters of the commit.  On a table
+    """Records of one run: exact repository, commits that start with the whole text given.  On a table
     partitioned by both, this prunes to the run's folder."""
-    return records.where(
-        (F.col("repo_id") == repo_id) & F.startswith("commit_sha", F.lit(commit_sha[:7]))
-    )
+    return records.where((F.col("repo_id") == repo_id) & F.startswith("commit_sha", F.lit(commit_sha)))
 
 
 def require_run(records: DataFrame, repo_id: str, commit_sha: str) -> DataFrame:
-    """:func:`load_run`, or ``FileNotFoundError`` if there is none."""
+    """:func:`load_run`, or ``FileNotFoundError`` if there is none and ``ValueError`` if the text
+    names more than one commit."""
     run = load_run(records, repo_id, commit_sha)
-    if run.select("repo_id").isEmpty():
-        raise FileNotFoundError(f"no records for {repo_id} @ {commit_sha[:7]}")
+    found = run.select("commit_sha").distinct().limit(2).collect()
+    if not found:
+        raise FileNotFoundError(f"no records for {repo_id} @ {commit_sha}")
+    if len(found) > 1:
+        raise ValueError(f"several commits of {repo_id} start with {commit_sha}")
     return run
 
 

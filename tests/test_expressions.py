@@ -130,7 +130,9 @@ def test_times(spark):
         spark,
         {"2024-01-01T00:00:00Z": 1704067200000000, "2024-01-01T02:00:00+02:00": 1704067200000000,
          "2024-01-01 02:00:00 +0200": 1704067200000000, "2024-01-01T00:00:00.000001Z": 1704067200000001,
-         "nonsense": None},
+         "20240101T000000Z": 1704067200000000, "2024-01-01T00:00+00:00": 1704067200000000,
+         "12:30:00": None, "T12:30": None, "2024": None, "2024-01": None, "2024-01-01": None,
+         "2024-01-01T00:00:00": None, "2024-01-01 00:00:00 Europe/Berlin": None, "nonsense": None},
         micros,
     )
     as_of = D.instant("2024-01-31T00:00:00Z")

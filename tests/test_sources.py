@@ -241,7 +241,10 @@ def test_load_run(spark):
         S.FILE_RECORD,
     )
     assert A.require_run(df, "o/r", "a" * 40).count() == 1
-    assert A.require_run(df, "o/r", "a" * 9 + "b").count() == 1
+    with pytest.raises(FileNotFoundError):
+        A.require_run(df, "o/r", "a" * 9 + "b")
+    with pytest.raises(ValueError):
+        A.require_run(df, "o/r", "")
     repo, files = A.load_collection(df, df, "o/r", "a" * 7)
     assert (repo.count(), files.count()) == (1, 1)
     with pytest.raises(FileNotFoundError):
