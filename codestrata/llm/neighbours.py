@@ -1,14 +1,15 @@
 """Approximate nearest neighbours by randomly rotated one-bit codes (operator 10).
 
-Each unit vector is rotated by one random orthogonal matrix and kept as the signs of its coordinates (a packed bit each) with two
-correction scalars.  The signs, as a unit vector ``s``, give the estimate ``<s, q> / <s, o>`` of the inner product of ``o`` and a
-query ``q``; its error is at most ``bound * sqrt((1 - <s, o>^2) (1 - <s, q>^2) / (D - 1)) / <s, o>`` but for a probability that falls
-with ``bound`` as a normal tail (four: some 1 in 10,000).  A vector is reranked by its own cosine unless its upper limit is below the
-lower limits of as many others as are asked for.
+Each unit vector is padded with zeros to several times its length, rotated by one random orthogonal matrix and kept as the signs of its
+coordinates (a packed bit each) with a correction scalar.  The signs, as a unit vector ``s``, give the estimate ``<s, q> / <s, o>`` of the
+inner product of ``o`` and a query ``q``; its error is at most ``bound * sqrt((1 - <s, o>^2) (1 - <s, q>^2) / (D - 1)) / <s, o>`` but for a
+probability that falls with ``bound`` as a normal tail (three: some 1 in 700), and padding makes ``D`` larger.  A vector is reranked by its
+own cosine unless its upper limit is below the cosines of as many others as are asked for.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -17,16 +18,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from codestrata.llm.common import Scratch, small_batches
+from codestrata.llm.common import Scratch, shuffle_partitions, small_batches
 
-CODES = "dim int, ids binary, codes binary, scale binary"
-FOUND = "query long, candidate long, low float, high float"
+CODES = "dim int, ids binary, codes binary, scale binary, vectors binary"
+QUERIES = "dim int, qids binary, q binary, qvectors binary"
+FOUND = "query long, candidate long, score double"
+#: Query blocks whose results a task holds before it gives them out.
+HELD_BLOCKS = 64
 
 
-def rotation(dim: int, seed: int) -> np.ndarray:
-    """A random orthogonal matrix, the same in every worker."""
-    q, r = np.linalg.qr(np.random.default_rng([seed, dim]).standard_normal((dim, dim)))
-    return q * np.sign(np.diag(r))
+@functools.lru_cache(maxsize=4)
+def rotation(dim: int, bits: int, seed: int) -> np.ndarray:
+    """The first ``dim`` rows of a random orthogonal matrix of ``bits``, the same in every worker."""
+    q, r = np.linalg.qr(np.random.default_rng([seed, dim, bits]).standard_normal((bits, dim)))
+    return (q * np.sign(np.diag(r))).T
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -40,14 +45,50 @@ def encode(x: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.packbits(o >= 0, axis=1), (np.abs(o).sum(axis=1) / np.sqrt(o.shape[1])).astype("f4")
 
 
-def estimate(codes: np.ndarray, scale: np.ndarray, queries: np.ndarray, dim: int, bound: float) -> tuple[np.ndarray, np.ndarray]:
-    """Lower and upper limits of the inner products, ``[query, code]``."""
-    signs = (np.unpackbits(codes, axis=1, count=dim).astype("f4") * 2 - 1) / np.float32(np.sqrt(dim))
-    inner = queries.astype("f4") @ signs.T
-    spread = np.sqrt(np.maximum(1 - scale**2, 0) / max(1, dim - 1)) / scale
-    error = bound * np.sqrt(np.maximum(1 - inner**2, 0)) * spread + 1e-5
+def estimate(codes: np.ndarray, scale: np.ndarray, queries: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
+    """Estimates of the inner products and their upper limits, ``[query, code]``; ``queries`` are rotated."""
+    bits = queries.shape[1]
+    signs = (np.unpackbits(codes, axis=1, count=bits).astype("f4") * 2 - 1) / np.float32(np.sqrt(bits))
+    inner = queries @ signs.T
+    spread = np.sqrt(np.maximum(1 - scale**2, 0) / max(1, bits - 1)) / scale
     middle = inner / scale
-    return middle - error, middle + error
+    return middle, middle + bound * np.sqrt(np.maximum(1 - inner**2, 0)) * spread + 1e-5
+
+
+def best_of(query: np.ndarray, ids: np.ndarray, score: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` largest scores of each of ``n`` queries in falling order, ties to the smaller id, as ``[query, k]`` scores and
+    ids; missing ones have the score minus infinity."""
+    order = np.lexsort((ids, -score.round(12), query))
+    query, ids, score = query[order], ids[order], score[order]
+    rank = np.arange(len(query)) - np.searchsorted(query, query)
+    top, names = np.full((n, k), -np.inf), np.zeros((n, k), np.int64)
+    few = rank < k
+    top[query[few], rank[few]], names[query[few], rank[few]] = score[few], ids[few]
+    return top, names
+
+
+def reranked(row: dict, known: tuple[np.ndarray, np.ndarray], k: int, bound: float, strip: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """``known`` (the ``k`` best of each query so far) after one block of codes: those within the limits are compared by their vectors."""
+    dim, ids = row["dim"], np.frombuffer(row["ids"], "<i8")
+    codes, scale = np.frombuffer(row["codes"], np.uint8).reshape(len(ids), -1), np.frombuffer(row["scale"], "<f4")
+    vectors, asked = np.frombuffer(row["vectors"], "<f8").reshape(-1, dim), np.frombuffer(row["qvectors"], "<f8").reshape(-1, dim)
+    turned = np.frombuffer(row["q"], "<f4").reshape(len(asked), -1)
+    top, names = (a.copy() for a in known)
+    n = min(k, len(ids))
+    for at in range(0, len(asked), strip):
+        own = slice(at, at + strip)
+        middle, high = estimate(codes, scale, turned[own], bound)
+        likely = np.argpartition(middle, len(ids) - n, axis=1)[:, len(ids) - n :]
+        sure = np.einsum("qcd,qd->qc", vectors[likely], asked[own])
+        floor = np.maximum(top[own, -1], sure.min(axis=1) if n == k else -np.inf)
+        near = high >= floor[:, None] - 1e-9
+        np.put_along_axis(near, likely, True, axis=1)
+        q, c = np.nonzero(near)
+        score = np.concatenate([np.einsum("cd,cd->c", vectors[c[i : i + 65_536]], asked[own][q[i : i + 65_536]]) for i in range(0, len(q), 65_536)])
+        old_q, old_c = np.nonzero(top[own] > -np.inf)
+        found = np.concatenate([q, old_q]), np.concatenate([ids[c], names[own][old_q, old_c]]), np.concatenate([score, top[own][old_q, old_c]])
+        top[own], names[own] = best_of(*found, len(middle), k)
+    return top, names
 
 
 def usable(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
@@ -75,7 +116,7 @@ def _by_dim(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray
 
 def nearest(
     vectors: DataFrame, queries: Column, k: int = 5, id_column: str = "vec_id", column: str = "embedding",
-    bound: float = 4.0, query_block: int = 512, code_block: int = 4096, seed: int = 7,
+    bound: float = 3.0, padding: int = 4, query_block: int = 1024, code_block: int = 4096, seed: int = 7,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row where ``queries`` holds (an expression on ``vec_id``) the ``k`` rows of
     the largest cosine but itself, nearest first, ties to the smaller id; all of them where there are fewer.
@@ -83,10 +124,10 @@ def nearest(
     Rows without an id, and vectors that are null, zero, or hold null or non-finite components take no part.  Vectors are only
     compared with those of their length.  Rows of one id and vector are one row.  Equal vectors are searched once, as one class with its ``k + 1``
     smallest ids, so a vector in a third of all rows costs what one does.  Every vector is indexed and every candidate above the limits is reranked.
-    Queries meet codes in blocks: a code is a fraction of the vector, and block pairs are spread over all tasks.
+    Queries meet codes in blocks: blocks of codes are dealt to strips, one or more for a task, and every block of queries goes to each strip.
+    ``padding`` is the number of code bits for a component.
     """
     spark = vectors.sparkSession
-    small_batches(spark, code_block)
     scratch = Scratch(spark, "neighbours")
     same = ["h1", "h2"]
     rows = usable(vectors, id_column, column).withColumns({"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(seed), "v")})
@@ -103,40 +144,58 @@ def nearest(
     def coded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for dim, ids, x in _by_dim(batch):
-                codes, scale = encode(x, rotation(dim, seed))
+                codes, scale = encode(x, rotation(dim, padding * dim, seed))
                 yield pa.RecordBatch.from_pydict(
-                    {"dim": pa.array([dim], pa.int32()), "ids": [ids.astype("<i8").tobytes()], "codes": [codes.tobytes()], "scale": [scale.tobytes()]}
+                    {"dim": pa.array([dim], pa.int32()), "ids": [ids.astype("<i8").tobytes()], "codes": [codes.tobytes()], "scale": [scale.tobytes()], "vectors": [unit(x).tobytes()]}
                 )
 
     def turned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for dim, ids, x in _by_dim(batch):
-                q = (unit(x) @ rotation(dim, seed)).astype("f4")
-                for at in range(0, len(ids), query_block):
-                    yield pa.RecordBatch.from_pydict(
-                        {"dim": pa.array([dim], pa.int32()), "qids": [ids[at : at + query_block].astype("<i8").tobytes()], "q": [q[at : at + query_block].tobytes()]}
-                    )
+                x = unit(x)
+                q = (x @ rotation(dim, padding * dim, seed)).astype("<f4")
+                yield pa.RecordBatch.from_pydict(
+                    {"dim": pa.array([dim], pa.int32()), "qids": [ids.astype("<i8").tobytes()], "q": [q.tobytes()], "qvectors": [x.tobytes()]}
+                )
+
+    def packed(rows: DataFrame, block: int) -> tuple[DataFrame, int]:
+        """``rows`` in full blocks, whatever tasks they came from."""
+        parts = -(-rows.count() // block) or 1
+        small_batches(spark, block)
+        return rows.select("id", "v").repartition(parts), parts
 
-    codes = scratch.keep(classes.select("id", "v").mapInArrow(coded, CODES), "codes")
-    blocks = scratch.keep(wanted.mapInArrow(turned, "dim int, qids binary, q binary").withColumn("block", F.monotonically_increasing_id()), "blocks")
+    rows, strips = packed(classes, code_block)
+    strips = min(strips, shuffle_partitions(spark))
+    codes = scratch.keep(rows.mapInArrow(coded, CODES).withColumn("strip", F.expr(f"pmod(spark_partition_id(), {strips})")), "codes")
+    rows, _ = packed(wanted, query_block)
+    blocks = scratch.keep(rows.mapInArrow(turned, QUERIES).withColumn("block", F.monotonically_increasing_id()), "blocks")
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, np.ndarray] = {}  # the k + 1 largest lower limits that this task has seen, by query block
+        best: dict[int, tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for qids, (top, names) in best.values():
+                q, c = np.nonzero(top > -np.inf)
+                yield pa.RecordBatch.from_pydict({"query": qids[q], "candidate": names[q, c], "score": top[q, c]})
+            best.clear()
+
         for batch in batches:
             for row in batch.to_pylist():
-                dim, ids, qids = row["dim"], np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["qids"], "<i8")
-                signs = np.frombuffer(row["codes"], np.uint8).reshape(len(ids), -1)
-                low, high = estimate(signs, np.frombuffer(row["scale"], "f4"), np.frombuffer(row["q"], "f4").reshape(len(qids), dim), dim, bound)
-                known = best.get(row["block"], np.full((len(qids), k + 1), -np.inf, "f4"))
-                best[row["block"]] = known = np.sort(np.concatenate([known, low], axis=1), axis=1)[:, -(k + 1) :]
-                q, c = np.nonzero(high >= known[:, :1])
-                yield pa.RecordBatch.from_pydict({"query": qids[q], "candidate": ids[c], "low": low[q, c].astype("f4"), "high": high[q, c].astype("f4")})
-
-    pairs = codes.join(blocks, "dim").repartition(F.xxhash64("codes", "block"))
+                qids = np.frombuffer(row["qids"], "<i8")
+                none = np.full((len(qids), k + 1), -np.inf), np.zeros((len(qids), k + 1), np.int64)
+                known = best[row["block"]][1] if row["block"] in best else none
+                best[row["block"]] = qids, reranked(row, known, k + 1, bound)
+                if len(best) > HELD_BLOCKS:
+                    yield from out()
+        yield from out()
+
+    small_batches(spark, 8)  # rows are whole blocks now
+    everywhere = blocks.withColumn("strip", F.explode(F.sequence(F.lit(0), F.lit(strips - 1))))
+    pairs = codes.hint("merge").join(everywhere, ["dim", "strip"]).select("dim", "ids", "codes", "scale", "vectors", "block", "qids", "q", "qvectors")
     found = scratch.keep(pairs.mapInArrow(search, FOUND), "found")
-    from_top = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("low")))
-    floor = found.select("query", "low").withColumn("n", from_top).where(F.col("n") == k + 1).select("query", F.col("low").alias("floor"))
-    kept = found.join(floor, "query", "left").where(F.col("floor").isNull() | (F.col("high") >= F.col("floor"))).select("query", "candidate")
+    small_batches(spark)
+    from_top = F.row_number().over(Window.partitionBy("query").orderBy(F.round("score", 12).desc(), "candidate"))
+    kept = found.withColumn("n", from_top).where(F.col("n") <= k + 1).select("query", "candidate")
 
     pair = kept.join(classes.select(F.col("id").alias("candidate"), "ids", "v"), "candidate")
     pair = pair.join(wanted.select(F.col("id").alias("query"), F.col("v").alias("w")), "query")
