@@ -29,6 +29,7 @@ GROUPS = 64
 CELLS = 1 << 20  # counters of the shingles' frequency, over all documents; four MB, whatever their number
 SLICES = 64
 LEAF = 512
+TOGETHER = 100_000  # bytes of short texts that are hashed at a time
 #: Links that are tried for a node before the search.
 PIVOTS = 4
 #: Nodes of a region that are looked at in one place; larger regions are dealt out to several.
@@ -46,7 +47,7 @@ def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     at = 0
     while at < len(split):  # some texts at a time
         to, total = at, 0
-        while to < len(split) and (to == at or total < spans.CHUNK):
+        while to < len(split) and (to == at or total < TOGETHER):
             total += sum(map(len, split[to])) + len(split[to])
             to += 1
         some = [i for i in range(at, to) if split[i]]
@@ -72,19 +73,25 @@ def node_of(shingles: np.ndarray) -> int:
     return int(spans.mixed(seed + spans.mixed(shingles * np.uint64(spans.BASE)).sum(dtype=np.uint64)).view(np.int64)[0])
 
 
-def point(shingles: np.ndarray) -> np.ndarray:
-    return np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
+def point(fine: np.ndarray) -> np.ndarray:
+    return fine.reshape(GROUPS, -1).sum(axis=1)
 
 
-def finer(shingles: np.ndarray) -> bytes:
+def finer(shingles: np.ndarray) -> np.ndarray:
     """The counts in more groups, about one for eight shingles: few groups tell long texts apart badly."""
     bits = max(6, min(16, (len(shingles) // 8).bit_length()))
-    return np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype("<i4").tobytes()
+    return np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype("<i4")
 
 
-def in_common(a: bytes, b: bytes) -> int:
+def unpacked(fine: list[bytes]) -> list[np.ndarray]:
+    import zstandard
+
+    restore = zstandard.ZstdDecompressor().decompress
+    return [np.frombuffer(restore(f), "<i4") for f in fine]
+
+
+def in_common(a: np.ndarray, b: np.ndarray) -> int:
     """The bound of two nodes' finer points; the finer one is folded to the other's groups."""
-    a, b = np.frombuffer(a, "<i4"), np.frombuffer(b, "<i4")
     if len(a) > len(b):
         a, b = b, a
     return int(np.minimum(a, b.reshape(len(a), -1).sum(axis=1)).sum())
@@ -99,12 +106,15 @@ def region_keys(shingles: np.ndarray, cells: np.ndarray, least: int) -> np.ndarr
 
 
 def scanned(docs: DataFrame, text: str, size: int) -> DataFrame:
-    """One row a document (``doc_id, n, node, point``), and slices of each task's shingle counts (``slice, counts``)."""
+    """One row a document (``doc_id, n, node, fine``), and slices of each task's shingle counts (``slice, counts``)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     id_type = {"bigint": pa.int64(), "int": pa.int32()}[kind]
-    schema = pa.schema([("doc_id", id_type), ("n", pa.int64()), ("node", pa.int64()), ("point", pa.list_(pa.int32())), ("fine", pa.binary()), ("slice", pa.int32()), ("counts", pa.binary())])
+    schema = pa.schema([("doc_id", id_type), ("n", pa.int64()), ("node", pa.int64()), ("fine", pa.binary()), ("slice", pa.int32()), ("counts", pa.binary())])
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         cells = np.zeros(CELLS, np.int64)
         for batch in batches:
             sets = shingle_sets(batch.column(1).to_pylist(), size)
@@ -114,16 +124,16 @@ def scanned(docs: DataFrame, text: str, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([point(s) for s in sets], pa.list_(pa.int32())), pa.array([finer(s) for s in sets], pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
+                    pa.array([squeeze(finer(s).tobytes()) for s in sets], pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
                 ],
                 schema=schema,
             )
         if cells.any():
             parts = [p.astype("<u4").tobytes() for p in np.minimum(cells, 0xFFFFFFFF).reshape(SLICES, -1)]
-            empty = [pa.nulls(SLICES, schema.field(i).type) for i in range(5)]
+            empty = [pa.nulls(SLICES, schema.field(i).type) for i in range(4)]
             yield pa.RecordBatch.from_arrays([*empty, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], schema=schema)
 
-    return docs.select("doc_id", text).mapInArrow(scan, f"doc_id {kind}, n long, node long, point array<int>, fine binary, slice int, counts binary")
+    return docs.select("doc_id", text).mapInArrow(scan, f"doc_id {kind}, n long, node long, fine binary, slice int, counts binary")
 
 
 def summed_cells(rows: DataFrame) -> np.ndarray:
@@ -249,7 +259,9 @@ def searched(a: dict, b: dict, least: int, fan: int = 32) -> Iterator[tuple[int,
         order = np.lexsort((p[:, 0], n, np.array(leaf["label"], np.int64)))
         at = np.arange(0, len(n), fan)
         trees.append((np.array(leaf["node"], np.int64)[order], np.array(leaf["label"], np.int64)[order], n[order], p[order], at))
-    fine = {n: f for leaf in (a, b) for n, f in zip(leaf["node"], leaf["fine"])}
+    fine: dict[int, np.ndarray] = {}
+    for leaf in (a, b):
+        fine.update(zip(leaf["node"], unpacked(leaf["fine"])))
     (na, la, sa, pa_, ata), (nb, lb, sb, pb, atb) = trees
     boxes = bounded(np.maximum.reduceat(pa_, ata), np.maximum.reduceat(pb, atb), np.minimum.reduceat(sa, ata), np.minimum.reduceat(sb, atb), least)
     for i, j in zip(*(x.tolist() for x in np.nonzero(boxes))):
@@ -262,6 +274,32 @@ def searched(a: dict, b: dict, least: int, fan: int = 32) -> Iterator[tuple[int,
                     yield one, two
 
 
+def with_points(rows: DataFrame) -> DataFrame:
+    """``rows`` and the coarse ``point`` of each, folded from its finer one."""
+    columns = [c for c in rows.columns if c != "fine"]
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("point", pa.array([point(f) for f in unpacked(batch.column("fine").to_pylist())], pa.list_(pa.int32())))
+
+    rows = rows.select(*columns, "fine")
+    return rows.mapInArrow(add, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", point array<int>")
+
+
+def likely(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
+    """The ``pairs`` whose finer points' bound suffices."""
+    side = lambda x, n, f: nodes.select(F.col("node").alias(x), F.col("n").alias(n), F.col("fine").alias(f))
+    both = pairs.join(side("x", "n1", "f1"), "x").join(side("y", "n2", "f2"), "y").where(f"100 * least(n1, n2) >= {least} * greatest(n1, n2)")
+
+    def bound(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = np.add(batch.column(2).to_numpy(), batch.column(3).to_numpy()).tolist()
+            most = [in_common(a, b) for a, b in zip(unpacked(batch.column(4).to_pylist()), unpacked(batch.column(5).to_pylist()))]
+            yield batch.select([0, 1]).filter(pa.array([(100 + least) * m >= least * k for m, k in zip(most, n)], pa.bool_()))
+
+    return both.select("x", "y", "n1", "n2", "f1", "f2").mapInArrow(bound, "x long, y long")
+
+
 def unjoined_pairs(members: DataFrame, nodes: DataFrame, joined: DataFrame, least: int, scratch: Scratch, name: str) -> DataFrame:
     """``x, y``: pairs of nodes of one region in different components whose bound suffices."""
     named = members.select("region", "part", "node").join(joined, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -270,7 +308,7 @@ def unjoined_pairs(members: DataFrame, nodes: DataFrame, joined: DataFrame, leas
     mixed = named.groupBy("region", "part").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("rows"), *marks)
     once = mixed.where("a <> b").groupBy("rows", "h0", "h1").agg(F.min(F.struct("region", "part")).alias("r"))  # regions of the same nodes
     left = named.join(once.select("r.region", "r.part", "rows"), ["region", "part"])
-    points = left.join(nodes.select("node", "n", "point", "fine"), "node").withColumn("leaf", F.expr(f"cast(pmod(xxhash64(node), div(rows, {LEAF}) + 1) as int)"))
+    points = with_points(left.join(nodes.select("node", "n", "fine"), "node")).withColumn("leaf", F.expr(f"cast(pmod(xxhash64(node), div(rows, {LEAF}) + 1) as int)"))
     row = F.struct("node", "label", "n", "point", "fine")
     leaves = points.groupBy("region", "part", "leaf").agg(F.collect_list(row).alias("rows"))  # some LEAF rows each
     corner = F.expr(f"transform(sequence(0, {GROUPS - 1}), g -> array_max(transform(rows, r -> r.point[g])))")
@@ -298,32 +336,31 @@ def unjoined_pairs(members: DataFrame, nodes: DataFrame, joined: DataFrame, leas
 
 
 def fetched(docs: DataFrame, text: str, size: int, wanted: DataFrame) -> DataFrame:
-    """``node, shingles`` of the ``wanted`` nodes, from the texts."""
-    spark = docs.sparkSession
+    """``node, shingles`` of the ``wanted`` nodes (``node, root``), from the texts of the documents they are named after.  A row
+    comes once a task; a document that is repeated in several tasks gives it several times."""
     few = wanted.count() <= BROADCAST_NODES
-    names = spark.sparkContext.broadcast(np.sort(np.array(wanted.toArrow().column(0).to_numpy(), np.int64)).tobytes() if few else b"")
+    if few:  # only these texts get to Python
+        docs = docs.join(F.broadcast(wanted.select("root").distinct()), F.col("doc_id").eqNullSafe(F.col("root")), "left_semi")
 
     def fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.frombuffer(names.value, np.int64)
         seen: set[int] = set()
         for batch in batches:
             rows = []
             for s in shingle_sets(batch.column(0).to_pylist(), size):
-                if not len(s) or (node := node_of(s)) in seen:
-                    continue
-                at = np.searchsorted(known, node)
-                if not few or at < len(known) and known[at] == node:
+                if len(s) and (node := node_of(s)) not in seen:
                     rows.append((node, s.astype(U8).tobytes()))
                     if len(seen) < 1_000_000:  # only spares copies within a task
                         seen.add(node)
             yield pa.RecordBatch.from_pydict({"node": pa.array([r[0] for r in rows], pa.int64()), "shingles": pa.array([r[1] for r in rows], pa.binary())})
 
     found = docs.select(text).mapInArrow(fetch, "node long, shingles binary")
-    return (found if few else found.join(wanted, "node", "left_semi")).dropDuplicates(["node"])
+    names = wanted.select("node")
+    return found.join(F.broadcast(names) if few else names, "node", "left_semi")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     """The ``pairs`` whose sets are similar enough."""
+    sets = sets.dropDuplicates(["node"])  # both sides read this one exchange
     both = pairs.join(sets.select(F.col("node").alias("x"), F.col("shingles").alias("a")), "x").join(sets.select(F.col("node").alias("y"), F.col("shingles").alias("b")), "y")
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,35 +387,40 @@ def groups(docs: DataFrame, text: str = "text", size: int = 5, least: int = 80)
     small_batches(spark)
     scratch = Scratch(spark, "jaccard")
     rows = scratch.keep(scanned(docs, text, size), "scanned")
-    found = rows.where("slice IS NULL").select("doc_id", "n", "node", "point", "fine")
+    found = rows.where("slice IS NULL").select("doc_id", "n", "node", "fine")
     cells = summed_cells(rows)
-    nodes = scratch.keep(found.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("root"), F.first("n").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine")), "nodes")
+    nodes = scratch.keep(found.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("root"), F.first("n").alias("n"), F.first("fine").alias("fine")), "nodes")
     packed = entries(docs, text, size, least, cells, 4 * shuffle_partitions(spark))
     members = scratch.keep(regions(packed, least), "regions")
     # a region's pivot is its node with the most regions: copies are nearest to what they were copied from, which has fewest shingles of its own
     known = members.groupBy("node").agg(F.count("*").alias("degree"))
     pivots = members.join(known, "node").groupBy("region", "part").agg(F.max(F.struct("degree", "node")).alias("pivot"))
     star = members.join(pivots, ["region", "part"]).select(F.col("pivot.node").alias("x"), F.col("node").alias("y")).where("x <> y")
-    point = nodes.select("node", "n", "point")
     # of a node's pivots those it shares most regions with: the likeliest links; the others are searched for below
     often = F.row_number().over(Window.partitionBy("y").orderBy(F.desc("count"), "x"))
     pairs = star.groupBy("x", "y").count().withColumn("often", often).where(F.col("often") <= PIVOTS).select("x", "y")
     pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    pairs = pairs.join(point.select(F.col("node").alias("x"), F.col("n").alias("n1"), F.col("point").alias("p1")), "x").join(point.select(F.col("node").alias("y"), F.col("n").alias("n2"), F.col("point").alias("p2")), "y")
-    bound = F.expr("aggregate(zip_with(p1, p2, (p, q) -> cast(least(p, q) as long)), 0L, (s, x) -> s + x)")
-    pairs = scratch.keep(pairs.where((100 + least) * bound >= least * (F.col("n1") + F.col("n2"))).select("x", "y"), "star")
+    pairs = scratch.keep(likely(pairs, nodes, least), "star")
 
-    wanted = lambda p: p.select(F.col("x").alias("node")).union(p.select(F.col("y").alias("node"))).distinct()
-    sets = scratch.keep(fetched(docs, text, size, scratch.keep(wanted(pairs), "wanted")), "sets")
+    names = nodes.select("node", "root")
+    ends = lambda p: p.select(F.col("x").alias("node")).union(p.select(F.col("y").alias("node"))).distinct()
+    wanted = scratch.keep(ends(pairs).join(names, "node"), "wanted")
+    sets = scratch.keep(fetched(docs, text, size, wanted), "sets")
     links = scratch.keep(verified(pairs, sets, least), "links")
     joined = scratch.keep(labels(links, scratch, "first"), "joined")
     more = unjoined_pairs(members, nodes, joined, least, scratch, "rest")
-    missing = scratch.keep(wanted(more).join(sets, "node", "left_anti"), "missing")
+    scratch.drop("regions")
+    missing = scratch.keep(ends(more).join(wanted, "node", "left_anti").join(names, "node"), "missing")
     sets2 = scratch.keep(fetched(docs, text, size, missing), "sets2")
     links2 = scratch.keep(verified(more, sets.union(sets2), least), "links2")
-    if not links2.isEmpty():
-        joined = scratch.keep(labels(links.union(links2), scratch, "second"), "joined2")
-    smallest = nodes.join(joined, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    for name in ("sets", "sets2", "rest-named", "rest-leaves"):
+        scratch.drop(name)
+    smallest = nodes.select("node", "root").join(joined, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    if not links2.isEmpty():  # components joined by the second links: each is one node now
+        at = lambda end: joined.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
+        between = links2.join(at("x"), "x", "left").join(at("y"), "y", "left").select(F.coalesce("x_label", "x").alias("x"), F.coalesce("y_label", "y").alias("y"))
+        again = scratch.keep(labels(between, scratch, "second"), "again").select(F.col("node").alias("label"), F.col("label").alias("other"))
+        smallest = smallest.join(again, "label", "left").withColumn("label", F.coalesce("other", "label"))
     roots = smallest.groupBy("label").agg(F.min("root").alias("component_id"))
     placed = smallest.select("node", "label").join(roots, "label").select("node", "component_id")
     full = found.where("n > 0").select("doc_id", "n", "node").join(placed, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
