@@ -129,7 +129,7 @@ def scanned(docs: DataFrame, text: str, size: int) -> DataFrame:
                 schema=schema,
             )
         if cells.any():
-            parts = [p.astype("<u4").tobytes() for p in np.minimum(cells, 0xFFFFFFFF).reshape(SLICES, -1)]
+            parts = [squeeze(p.astype("<u4").tobytes()) for p in np.minimum(cells, 0xFFFFFFFF).reshape(SLICES, -1)]
             empty = [pa.nulls(SLICES, schema.field(i).type) for i in range(4)]
             yield pa.RecordBatch.from_arrays([*empty, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], schema=schema)
 
@@ -140,10 +140,13 @@ def summed_cells(rows: DataFrame) -> np.ndarray:
     """All tasks' counts added up, slice by slice; the driver gets ``CELLS`` numbers."""
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        restore = zstandard.ZstdDecompressor().decompress
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for at, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total[at] = total.get(at, 0) + np.frombuffer(counts, "<u4").astype(np.int64)
+                total[at] = total.get(at, 0) + np.frombuffer(restore(counts), "<u4").astype(np.int64)
         for at, counts in total.items():
             yield pa.RecordBatch.from_pydict({"slice": pa.array([at], pa.int32()), "counts": [np.minimum(counts, 0xFFFFFFFF).astype("<u4").tobytes()]})
 
