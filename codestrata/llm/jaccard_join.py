@@ -74,20 +74,20 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def point(fine: np.ndarray) -> np.ndarray:
-    return fine.reshape(GROUPS, -1).sum(axis=1)
+    return fine.reshape(GROUPS, -1).sum(axis=1).astype(np.int32)
 
 
 def finer(shingles: np.ndarray) -> np.ndarray:
-    """The counts in more groups, about one for eight shingles: few groups tell long texts apart badly."""
-    bits = max(6, min(16, (len(shingles) // 8).bit_length()))
-    return np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype("<i4")
+    """The counts in one to two groups a shingle: what two texts do not share then seldom meets in a group."""
+    bits = max(6, min(20, len(shingles).bit_length()))
+    return np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype("<u4")
 
 
 def unpacked(fine: list[bytes]) -> list[np.ndarray]:
     import zstandard
 
     restore = zstandard.ZstdDecompressor().decompress
-    return [np.frombuffer(restore(f), "<i4") for f in fine]
+    return [np.frombuffer(restore(f), "<u4") for f in fine]
 
 
 def in_common(a: np.ndarray, b: np.ndarray) -> int:
