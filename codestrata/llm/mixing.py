@@ -1,7 +1,8 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree (operator 7).
 
 Every source is cut into blocks by a hash of its rows.  A source's target decides how many passes over all its
-blocks the mix makes, and which blocks, in a hashed order, it takes once more; one last block is taken in part. The block draws of all
+blocks the mix makes, and which blocks, in a hashed order, it takes once more; one last draw takes the next block in part, and rows of
+the following ones in place of those that do not fit. The block draws of all
 sources are then split among output shards: at each node of a binary tree the left half's share of every source is one
 multivariate-hypergeometric draw, so that the quotas stay exact down to the leaves.  Shards take consecutive draws of the permuted
 blocks, hence disjoint ones, and shuffle their own rows.
@@ -89,6 +90,8 @@ class Mix:
         self.blocks = self.scratch.keep(self._blocks(), "blocks")
         self.shards = shards
         self.taken_in_part = self.scratch.keep(self._part(), "part")
+        some = self.taken_in_part.select(SOURCE, BLOCK).distinct().withColumn("__some", F.lit(True))
+        self.blocks = self.scratch.keep(self.blocks.join(some, [SOURCE, BLOCK], "left").na.fill(False, ["__some"]), "marked")
 
     def marked(self, docs: DataFrame) -> DataFrame:
         return docs.withColumns(
@@ -115,30 +118,69 @@ class Mix:
         return rows.select(SOURCE, BLOCK, "__rank", whole.alias("__whole"), rest.alias("__rest"))
 
     def _part(self) -> DataFrame:
-        """The rows that are taken from a source's last block, in hashed order, each as long as it still fits."""
-        last = self.blocks.where(F.col("__rest").isNotNull()).select(SOURCE, BLOCK, "__rest")
-        rows = (
-            self.placed(self.sized).join(last, [SOURCE, BLOCK]).groupBy(SOURCE, "doc_id", KEY, DRAW, "__rest")
-            .agg(F.sum(SIZE).alias("n"))
-            .select(SOURCE, "doc_id", KEY, "n", "__rest", F.xxhash64(F.lit(self.seed + 1), DRAW).alias("__order"))
+        """The rows that a source's last draw takes: from the block taken in part on, in hashed order of the blocks and
+        in them, each as long as it still fits.  What that block leaves open is carried on to the later blocks, until no
+        row of theirs fits: a source then misses its need by less than its shortest row that is not taken.
+
+        Each round passes over the whole blocks whose fitting rows fit together, and looks at the next ones row by row,
+        twice as many as in the round before; rows longer than what is left never come back."""
+        spark = self.docs.sparkSession
+        units = (
+            self.placed(self.sized).groupBy(SOURCE, BLOCK, "doc_id", KEY, DRAW).agg(F.sum(SIZE).alias("n"))
+            .join(self.blocks.select(SOURCE, BLOCK, "__rank"), [SOURCE, BLOCK])
+            .select(SOURCE, BLOCK, "__rank", "doc_id", KEY, "n", F.xxhash64(F.lit(self.seed + 1), DRAW).alias("__order"))
         )
-        kind = rows.schema["doc_id"].dataType.simpleString()
+        state = [(r[SOURCE], r["__rest"], r["__rank"]) for r in self.blocks.where(F.col("__rest").isNotNull()).collect()]
+        schema = f"{SOURCE} string, __left double, __from int"
+        picks, ahead = spark.createDataFrame([], units.select(SOURCE, BLOCK, "doc_id", KEY, "n").schema), 1
+        while state:
+            left = F.broadcast(spark.createDataFrame(state, schema))
+            fit = units.join(left, SOURCE).where("n > 0 AND n <= __left + 0.5 AND __rank >= __from")
+            if ahead == 1:  # the block itself; its rest is known
+                taken = self._fitting(units.join(left, SOURCE).where("__rank = __from"))
+                after = {name: at + 1 for name, _, at in state}
+            else:
+                units = self.scratch.keep(fit.drop("__left", "__from"), f"fitting-{ahead}")
+                fit = units.join(left, SOURCE)
+                upto = Window.partitionBy(SOURCE).orderBy("__rank").rowsBetween(Window.unboundedPreceding, 0)
+                sums = fit.groupBy(SOURCE, "__rank", "__left").agg(F.sum("n").alias("__n")).withColumn("__after", F.sum("__n").over(upto))
+                # the first block that does not fit, and how many words the ones before it have
+                over = F.col("__after") > F.col("__left") + 0.5
+                cross = sums.groupBy(SOURCE, "__left").agg(F.min(F.when(over, F.col("__rank"))).alias("at"), F.max(F.when(~over, F.col("__after"))).alias("whole"))
+                found = {r[SOURCE]: r for r in cross.collect()}
+                if not found:
+                    break
+                marks = spark.createDataFrame([(k, r["__left"] - (r.whole or 0), r.at) for k, r in found.items()], f"{SOURCE} string, __left double, __at int")
+                near = units.join(F.broadcast(marks), SOURCE)
+                whole = near.where("__at IS NULL OR __rank < __at").select(*picks.columns)
+                taken = whole.unionByName(self._fitting(near.where(f"__rank >= __at AND __rank < __at + {ahead // 2}")))
+                after = {k: r.at + ahead // 2 for k, r in found.items() if r.at is not None}
+            taken = self.scratch.keep(taken, f"taken-{ahead}")
+            picks = picks.unionByName(taken)
+            used = {r[SOURCE]: r.n for r in taken.groupBy(SOURCE).agg(F.sum("n").alias("n")).collect()}
+            state = [(name, rest - used.get(name, 0), after[name]) for name, rest, _ in state if name in after]
+            state = [r for r in state if r[1] >= 0.5]
+            ahead *= 2
+        return picks.select(SOURCE, BLOCK, "doc_id", KEY)
+
+    def _fitting(self, rows: DataFrame) -> DataFrame:
+        """Of each source's ``rows`` in their order those that still fit in its ``__left`` words."""
+        columns = [SOURCE, BLOCK, "doc_id", KEY, "n"]
+        rows = rows.select(*columns, "__left", "__rank", "__order")
 
         def fitting(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             source, left = None, 0.0
             for batch in batches:
                 take = []
-                for name, n, rest in zip(*(batch.column(c).to_pylist() for c in (SOURCE, "n", "__rest"))):
+                for name, n, rest in zip(*(batch.column(c).to_pylist() for c in (SOURCE, "n", "__left"))):
                     if name != source:
                         source, left = name, rest
                     take.append(0 < n <= left + 0.5)
                     left -= n * take[-1]
-                yield batch.filter(pa.array(take, pa.bool_())).select([SOURCE, "doc_id", KEY])
+                yield batch.filter(pa.array(take, pa.bool_())).select(columns)
 
-        return (
-            rows.repartition(SOURCE).sortWithinPartitions(SOURCE, "__order", "doc_id", KEY)
-            .mapInArrow(fitting, f"{SOURCE} string, doc_id {kind}, {KEY} long")
-        )
+        out = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in columns)
+        return rows.repartition(SOURCE).sortWithinPartitions(SOURCE, "__rank", "__order", "doc_id", KEY).mapInArrow(fitting, out)
 
     def drawn(self, rows: DataFrame) -> DataFrame:
         """``rows`` with ``__passes``, ``__more`` (whether taken once more), their block's rank and the plan."""
@@ -146,7 +188,7 @@ class Mix:
         # one row a block: broadcast while all sources' blocks together are few
         blocks = F.broadcast(self.blocks) if self.most_blocks <= 200_000 else self.blocks
         inner = self.placed(rows).join(blocks, [SOURCE, BLOCK])
-        some = F.col("__rest").isNotNull()
+        some = F.col("__some")
         picked = inner.where(some).join(part.withColumnRenamed(SOURCE, "__s"), (F.col(SOURCE) == F.col("__s")) & F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col(KEY) == F.col("__k")), "left")
         picked = picked.withColumn("__more", F.coalesce("__picked", F.lit(False))).drop("__s", "__id", "__k", "__picked")
         return inner.where(~some).withColumn("__more", F.col("__whole")).unionByName(picked)
@@ -178,7 +220,8 @@ class Mix:
         copies = copies.join(F.broadcast(per_source), SOURCE)
         numbers = F.expr("filter(sequence(0, __passes), c -> c > 0 OR __more)")
         copies = copies.withColumn("__copy", F.explode(numbers))
-        index = F.when(F.col("__copy") == 0, F.col("__rank")).otherwise(n_more + (F.col("__copy") - 1) * F.col("__n_blocks") + F.col("__rank"))
+        # rows that the block taken in part was filled up with are in its draw, the last of those
+        index = F.when(F.col("__copy") == 0, F.least("__rank", n_more - 1)).otherwise(n_more + (F.col("__copy") - 1) * F.col("__n_blocks") + F.col("__rank"))
         copies = copies.withColumn("__index", index)
         shard = F.expr("size(filter(__bounds, b -> b <= __index))")
         position = F.xxhash64(F.lit(self.seed + 2), DRAW, "__copy")
