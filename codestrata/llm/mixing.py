@@ -226,3 +226,20 @@ class Mix:
         shard = F.expr("size(filter(__bounds, b -> b <= __index))")
         position = F.xxhash64(F.lit(self.seed + 2), DRAW, "__copy")
         return copies.select(*self.docs.columns, shard.alias("__shard"), position.alias("__position"))
+
+    def written(self) -> DataFrame:
+        """The mix with every shard's rows together and in their order, written and read again."""
+        dealt = self.rows().repartition(self.shards, "__shard").sortWithinPartitions("__shard", "__position")
+        return self.scratch.keep(dealt, "mix")
+
+    def counted(self) -> DataFrame:
+        """The columns of :meth:`report`, ``taken`` being counted in the written mix: the words of all copies there."""
+        keys = [SOURCE, "source", "doc_id", KEY]
+        mix = self.marked(self.written().select("doc_id", "source", "text"))
+        given = self.sized.select(*keys, SIZE, F.lit(1).alias("__rows"), F.lit(0).cast("long").alias("__words"))
+        both = given.unionByName(mix.select(*keys, F.lit(0).cast("long").alias(SIZE), F.lit(0).alias("__rows"), F.col(SIZE).alias("__words")))
+        units = both.groupBy(*keys).agg(F.max(SIZE).alias("size"), F.sum("__rows").alias("__rows"), F.sum("__words").alias("__words"))
+        # rows equal in id, source and text are one unit, and all taken equally often
+        rows = units.withColumn("__row", F.explode(F.sequence(F.lit(1).cast("long"), "__rows")))
+        taken = F.expr("__words div __rows")
+        return rows.join(F.broadcast(self.plan), SOURCE).select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))

@@ -77,7 +77,7 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from codestrata.llm.mixing import Mix
 
-    return Mix(table(spark, sf_dir, "documents")).report()
+    return Mix(table(spark, sf_dir, "documents")).counted()
 
 
 @query

@@ -1,5 +1,6 @@
 """Mixing with very long documents, against a pass over the rows one by one."""
 
+from conftest import SF_DIR
 from llm_tables import documents
 from pyspark.sql import functions as F
 
@@ -48,3 +49,23 @@ def test_carry_is_a_pass_over_the_rows(spark):
                 want.add(r.doc_id)
                 left -= r[mixing.SIZE]
         assert {r.doc_id for r in mix.report().collect() if r.taken} == want
+
+
+def test_query_makes_the_mix(spark, monkeypatch):
+    from codestrata.llm import queries
+
+    made = []
+    rows = mixing.Mix.rows
+    monkeypatch.setattr(mixing.Mix, "rows", lambda self: made.append(self) or rows(self))
+    got = queries.QUERIES["op7_mixing"](spark, SF_DIR)
+    assert made  # the whole mix was dealt to shards, not only planned
+    assert got.columns == ["doc_id", "source", "size", "source_size", "target", "taken"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, made[0].report().collect()))
+
+
+def test_counted_copies(spark):
+    rows = [(i, " ".join(["w"] * (1 + i * 7 % 50)), f"s{i % 4}" if i % 5 else None) for i in range(300)]
+    rows += [(900, None, "s1"), (900, None, "s1"), (901, "", None), (None, "w w", "s2"), (3, "w " * 22, "s3"), (3, "w " * 22, "s3")]
+    mix = mixing.Mix(documents(spark, rows), block_words=100, shards=4)
+    assert sorted(map(str, mix.counted().collect())) == sorted(map(str, mix.report().collect()))
+    assert mixing.Mix(documents(spark, rows).where("false")).counted().count() == 0
