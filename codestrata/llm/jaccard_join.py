@@ -7,8 +7,9 @@ the boxes' larger corners, so a search passes over boxes and points whose bound
 The tree is rooted in regions: a region is a shingle, and holds the nodes that have it among their first ones in an order of all
 shingles, rare ones first; linked nodes always share a region (they would else differ in too many shingles).  In a
 region nodes are put into leaves, whose boxes are joined pairwise.  Links to a region's pivot are verified first, and the leaves are
-searched for pairs of nodes that these have not joined yet: only components are asked for, so a family of copies costs one link a
-node and not one a pair, and no link between different components is lost.
+searched for pairs of nodes that these have not joined yet: components need no more, so a family of copies costs one link a
+node and not one a pair, and no link between different components is lost.  Links are then counted inside the components, where all of
+them are: every pair of a component's nodes is compared by its sets, leaf by leaf, and only counts leave a pair of leaves.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ GROUPS = 64
 CELLS = 1 << 20  # counters of the shingles' frequency, over all documents; four MB, whatever their number
 SLICES = 64
 LEAF = 512
+LEAF_SHINGLES = 50_000  # in a leaf whose pairs are counted, but for its last set
+COLUMNS = 4096  # shingles of two leaves that are compared at a time
 TOGETHER = 100_000  # bytes of short texts that are hashed at a time
 #: Links that are tried for a node before the search.
 PIVOTS = 4
@@ -378,13 +381,73 @@ def verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return both.select("x", "y", "a", "b").mapInArrow(verify, "x long, y long")
 
 
+def shared(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """``[i, j]``: how many shingles two sets share."""
+    names = np.unique(np.concatenate([*a, *b]))
+    sides = []
+    for sets in (a, b):
+        columns = np.searchsorted(names, np.concatenate(sets))
+        order = np.argsort(columns, kind="stable")
+        sides.append((np.repeat(np.arange(len(sets)), [len(s) for s in sets])[order], columns[order]))
+    out = np.zeros((len(a), len(b)), np.int64)
+    for at in range(0, len(names), COLUMNS):
+        has = []
+        for sets, (rows, columns) in zip((a, b), sides):
+            own = slice(*np.searchsorted(columns, [at, at + COLUMNS]))
+            table = np.zeros((len(sets), min(COLUMNS, len(names) - at)), np.float32)
+            table[rows[own], columns[own] - at] = 1
+            has.append(table)
+        out += (has[0] @ has[1].T).astype(np.int64)
+    return out
+
+
+def link_counts(members: DataFrame, sets: DataFrame, least: int, scratch: Scratch) -> DataFrame:
+    """``node, links``: with how many documents of other sets each of ``members`` (``node, n, copies, label``) is linked.  All pairs
+    of a component's nodes are compared; ``sets`` has every node of a component of several."""
+    several = members.groupBy("label").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("m > 1")
+    leaf = F.expr(f"cast(pmod(xxhash64(node), greatest(div(m, {LEAF}), div(total, {LEAF_SHINGLES})) + 1) as int)")
+    rows = members.join(several, "label").join(sets.dropDuplicates(["node"]), "node").withColumn("leaf", leaf)
+    leaves = scratch.keep(rows.groupBy("label", "leaf").agg(F.collect_list(F.struct("node", "copies", "shingles")).alias("rows")), "count-leaves")
+    other = leaves.select("label", F.col("leaf").alias("leaf2"))
+    pairs = leaves.select("label", "leaf").join(other, "label").where("leaf <= leaf2")
+    pairs = pairs.join(leaves, ["label", "leaf"]).join(leaves.select("label", F.col("leaf").alias("leaf2"), F.col("rows").alias("rows2")), ["label", "leaf2"])
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            links: dict[int, int] = {}
+            for one, r1, r2 in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                left = r1.as_py()
+                right = left if one else r2.as_py()
+                a, b = ([np.frombuffer(r["shingles"], U8) for r in side] for side in (left, right))
+                both = shared(a, b)
+                sizes = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None, :]
+                similar = (100 * both >= least * (sizes - both)).astype(np.int64)
+                if one:
+                    np.fill_diagonal(similar, 0)
+                found = [(left, similar @ np.array([r["copies"] for r in right], np.int64))]
+                if not one:
+                    found.append((right, similar.T @ np.array([r["copies"] for r in left], np.int64)))
+                for side, n in found:
+                    for r, k in zip(side, n.tolist()):
+                        links[r["node"]] = links.get(r["node"], 0) + k
+            yield pa.RecordBatch.from_pydict({"node": pa.array(list(links), pa.int64()), "links": pa.array(list(links.values()), pa.int64())})
+
+    counted = pairs.select(F.expr("leaf = leaf2"), "rows", "rows2").mapInArrow(count, "node long, links long")
+    return scratch.keep(counted.groupBy("node").agg(F.sum("links").alias("links")), "counts")
+
+
 def groups(docs: DataFrame, text: str = "text", size: int = 5, least: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row: the smallest doc_id reachable by links of a Jaccard similarity of ``least`` percent
+    """``doc_id, n_shingles, component_id`` of every row, as :func:`linked` has them; links inside components are not counted."""
+    return linked(docs, text, size, least, counts=False)
+
+
+def linked(docs: DataFrame, text: str = "text", size: int = 5, least: int = 80, counts: bool = True) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links`` of every row: with how many other rows it is linked, and the smallest doc_id reachable by links of a Jaccard similarity of ``least`` percent
     or more of sets of ``size``-word shingles (words split at ASCII white space, A-Z lower-cased).
 
     Null text and text without words: an empty set, linked with nothing, its own doc_id.  Fewer words than a shingle has: the whole sequence is one shingle.
     Repeated rows are linked as any equal sets.  Null ids are passed over for the smallest (null if there is no other).  An empty table gives
-    none; other columns are not read.  Sets are compared by 64-bit hashes of their shingles, and equal sets are told by 64 bits.
+    none; other columns are not read.  Without ``counts`` there is no ``n_links``.  Sets are compared by 64-bit hashes of their shingles, and equal sets are told by 64 bits.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -392,7 +455,7 @@ def groups(docs: DataFrame, text: str = "text", size: int = 5, least: int = 80)
     rows = scratch.keep(scanned(docs, text, size), "scanned")
     found = rows.where("slice IS NULL").select("doc_id", "n", "node", "fine")
     cells = summed_cells(rows)
-    nodes = scratch.keep(found.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("root"), F.first("n").alias("n"), F.first("fine").alias("fine")), "nodes")
+    nodes = scratch.keep(found.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("root"), F.first("n").alias("n"), F.first("fine").alias("fine"), F.count("*").alias("copies")), "nodes")
     packed = entries(docs, text, size, least, cells, 4 * shuffle_partitions(spark))
     members = scratch.keep(regions(packed, least), "regions")
     # a region's pivot is its node with the most regions: copies are nearest to what they were copied from, which has fewest shingles of its own
@@ -416,16 +479,23 @@ def groups(docs: DataFrame, text: str = "text", size: int = 5, least: int = 80)
     missing = scratch.keep(ends(more).join(wanted, "node", "left_anti").join(names, "node"), "missing")
     sets2 = scratch.keep(fetched(docs, text, size, missing), "sets2")
     links2 = scratch.keep(verified(more, sets.union(sets2), least), "links2")
-    for name in ("sets", "sets2", "rest-named", "rest-leaves"):
+    for name in ("rest-named", "rest-leaves") if counts else ("sets", "sets2", "rest-named", "rest-leaves"):
         scratch.drop(name)
-    smallest = nodes.select("node", "root").join(joined, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    smallest = nodes.select("node", "root", "n", "copies").join(joined, "node", "left").withColumn("label", F.coalesce("label", "node"))
     if not links2.isEmpty():  # components joined by the second links: each is one node now
         at = lambda end: joined.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
         between = links2.join(at("x"), "x", "left").join(at("y"), "y", "left").select(F.coalesce("x_label", "x").alias("x"), F.coalesce("y_label", "y").alias("y"))
         again = scratch.keep(labels(between, scratch, "second"), "again").select(F.col("node").alias("label"), F.col("label").alias("other"))
         smallest = smallest.join(again, "label", "left").withColumn("label", F.coalesce("other", "label"))
     roots = smallest.groupBy("label").agg(F.min("root").alias("component_id"))
-    placed = smallest.select("node", "label").join(roots, "label").select("node", "component_id")
-    full = found.where("n > 0").select("doc_id", "n", "node").join(placed, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    none = found.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    if counts:
+        smallest = smallest.join(link_counts(smallest.select("node", "n", "copies", "label"), sets.union(sets2), least, scratch), "node", "left")
+        smallest = smallest.withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("copies") - 1)
+        for name in ("sets", "sets2", "count-leaves"):
+            scratch.drop(name)
+    more = ["n_links"] if counts else []
+    placed = smallest.select("node", "label", *more).join(roots, "label").select("node", "component_id", *more)
+    full = found.where("n > 0").select("doc_id", "n", "node").join(placed, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", *more)
+    no_links = [F.lit(0).cast("long").alias(c) for c in more]
+    none = found.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), *no_links)
     return full.unionByName(none)

@@ -82,9 +82,9 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from codestrata.llm.jaccard_join import groups
+    from codestrata.llm.jaccard_join import linked
 
-    return groups(table(spark, sf_dir, "documents"))
+    return linked(table(spark, sf_dir, "documents"))
 
 
 @query
