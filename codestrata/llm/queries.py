@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codestrata.llm import check_sql
 from codestrata.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +101,28 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from codestrata.llm.neighbours import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from codestrata.llm.link_graph import judged
+
+    return judged(table(spark, sf_dir, "pages"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from codestrata.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from codestrata.llm.merkle import audit
+
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return audit(table(spark, sf_dir, "documents"), changed, n_chars=F.col("n_chars") + 1)
+
+
+ORACLES |= {"op11_url_filters": check_sql.url_filters(), "op12_collocations": check_sql.COLLOCATIONS, "op13_merkle_manifest": check_sql.merkle_manifest()}
