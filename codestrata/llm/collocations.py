@@ -4,7 +4,11 @@ Words become ids.  Lead columns give every word the three that follow it in its
 these longest windows are counted; ``ROLLUP`` then sums the windows' counts over successively shorter prefixes, which are
 the counts of all shorter phrases.
 
-Ids are ranks of the frequent words, so windows are small numbers.  That table of ranks is the only thing broadcast, and it is bounded (`LISTED`
+Windows travel sorted and compressed, a bucket's together, and are counted by bucket.  A bucket has all windows of a prefix, so it knows which
+longer phrases are too rare, and cuts those windows back to the prefix that may still matter before the rollup sees
+them.  A prefix ends with a word that is not very frequent (but has two words at least), so no bucket holds the windows of a hot pair.
+
+Ids are ranks of the frequent words.  That table of ranks is the only thing broadcast, and it is bounded (`LISTED`
 words of at most `LONGEST` bytes).  While it holds every word that is frequent enough for a phrase, any other word
 ends a window; beyond that, the other words go by hashes that are checked to be distinct.  Both give the same rows."""
 
@@ -18,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,6 +41,10 @@ LISTED, LONGEST = 500_000, 64
 HASHED = 1 << 62
 #: Different words that one task counts before it hands them on.
 HELD = 300_000
+#: Windows that one task sorts at a time, and windows that a bucket is meant to hold.
+SORTED, BUCKET = 2_000_000, 750_000
+#: A word with more occurrences is very frequent.
+FREQUENT = 500_000
 WORDS = ["w1", "w2", "w3", "w4"]
 
 
@@ -108,7 +117,11 @@ class Ids:
             lowest = s.step
         table = frequent.where(short & (step >= lowest)).toArrow()
         order = np.lexsort([table["word"].to_numpy(zero_copy_only=False), -table["n"].to_numpy()]) if len(table) else []
-        table = table.select(["lang", "word"]).take(pa.array(order, pa.int64()))
+        table = table.take(pa.array(order, pa.int64()))
+        #: ranks of the very frequent words, and buckets for all windows
+        self.frequent = int((table["n"].to_numpy() > FREQUENT).sum())
+        table = table.select(["lang", "word"])
+        self.buckets = max(1, -(-(words.agg(F.sum("n")).first()[0] or 0) // BUCKET))
         #: no frequent word is without a rank
         self.whole = len(table) == sum(s.n + s.long for s in steps)
         self.salt = 0
@@ -137,34 +150,122 @@ class Known(dict):
         return hashed_id(self.salt, self.lang, word)
 
 
-def longest_windows(rows: DataFrame, ids: Ids) -> DataFrame:
-    """``w1..w4``, one row a word with an id: the word and the three that lead it, 0 from the first that is missing on."""
-    words, ranks, whole, salt = ids.shared, ids.ranks, ids.whole, ids.salt
+def lead(codes: np.ndarray) -> np.ndarray:
+    """The four columns of the windows that begin with a word; ``codes`` ends with three that are 0."""
+    columns = [codes[:-3]]
+    for k in (1, 2, 3):
+        columns.append(np.where(columns[-1] == 0, 0, codes[k : len(codes) - 3 + k]))
+    return np.stack(columns)[:, columns[0] != 0]
+
+
+def in_order(windows: np.ndarray) -> np.ndarray:
+    if windows.shape[1] and windows.max() < 1 << 31:  # two words to a number
+        return np.lexsort([windows[2] << 32 | windows[3], windows[0] << 32 | windows[1]])
+    return np.lexsort(windows[::-1])
+
+
+def summed(windows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbouring equal windows as one."""
+    starts = np.flatnonzero(np.concatenate([[True], (windows[:, 1:] != windows[:, :-1]).any(axis=0)])) if windows.shape[1] else np.zeros(0, np.int64)
+    return windows[:, starts], np.add.reduceat(counts, starts) if len(starts) else counts
+
+
+def key_words(windows: np.ndarray, frequent: int) -> np.ndarray:
+    """How many words of each window its bucket goes by: up to the first that is not very frequent (ranks from 1 to ``frequent``),
+    but two at least."""
+    hot = (windows > 0) & (windows <= frequent)
+    return 2 + (hot[0] & hot[1]) + (hot[0] & hot[1] & hot[2])
+
+
+def bucket_of(windows: np.ndarray, frequent: int, buckets: int) -> np.ndarray:
+    words = key_words(windows, frequent)
+    mixed = np.zeros(windows.shape[1], np.uint64)
+    for k in range(4):
+        part = np.where(words > k, windows[k], 0).astype(np.uint64) + np.uint64(k + 1)
+        mixed = (mixed ^ part) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return (mixed % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+
+
+def packed(windows: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted windows and their counts, byte by byte of all numbers together; the foremost word as steps."""
+    numbers = np.stack([np.diff(windows[0], prepend=0), *windows[1:], counts])
+    return zstandard.ZstdCompressor(1).compress(numbers.view(np.uint8).reshape(-1, 8).T.tobytes())
+
 
-    def lead(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def unpacked(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(8, -1)
+    numbers = np.ascontiguousarray(planes.T).view(np.int64).reshape(5, n)
+    return np.stack([np.cumsum(numbers[0]), *numbers[1:4]]), numbers[4]
+
+
+def cut_back(windows: np.ndarray, counts: np.ndarray, frequent: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of a bucket, each once and in order, without the words that make them too rare: a prefix of which the bucket
+    has all windows is known to be so."""
+    words, out = key_words(windows, frequent), windows.copy()
+    for size in (4, 3, 2):
+        starts = np.flatnonzero(np.concatenate([[True], (windows[:size, 1:] != windows[:size, :-1]).any(axis=0)]))
+        lengths = np.diff(starts, append=windows.shape[1])
+        rare = np.repeat(np.add.reduceat(counts, starts) < least, lengths) & (words <= size)
+        out[size - 1 :, rare] = 0
+    return summed(out, counts)
+
+
+def longest_windows(rows: DataFrame, ids: Ids, least: int) -> DataFrame:
+    """``w1..w4, a``: counts of the longest windows, cut back to the prefix that can reach ``least``; windows that are cut
+    to the same prefix may come in several rows."""
+    words, ranks, whole, salt, frequent, buckets = ids.shared, ids.ranks, ids.whole, ids.salt, ids.frequent, ids.buckets
+
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, Known] = {}
+        held: list[np.ndarray] = []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if not held:
+                return
+            windows = np.concatenate(held, axis=1)
+            held.clear()
+            windows, counts = summed(windows := windows[:, in_order(windows)], np.ones(windows.shape[1], np.int64))
+            bucket = bucket_of(windows, frequent, buckets)
+            order = np.argsort(bucket, kind="stable")
+            windows, counts, bucket = windows[:, order], counts[order], bucket[order].astype(np.int64)
+            starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            ends = np.append(starts[1:], len(bucket))
+            for i in range(0, len(starts), 256):  # rows of some MB together
+                parts = list(zip(starts[i : i + 256], ends[i : i + 256]))
+                blobs = [packed(windows[:, a:b], counts[a:b]) for a, b in parts]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[starts[i : i + 256]]), pa.array([b - a for a, b in parts], pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "n", "windows"]
+                )
+
         for batch in batches:
             for lang, texts in by_lang(batch).items():
                 if lang not in known:
                     known[lang] = Known(zip(words.value.get(lang, []), ranks.value[lang].tolist() if lang in ranks.value else []), lang, salt)
                     known[lang][END] = 0
                 mine, found = known[lang], split_words(texts)
-                codes = map(mine.get, found, repeat(0)) if whole else map(mine.__getitem__, found)
-                columns = [np.concatenate([np.fromiter(codes, np.int64), np.zeros(3, np.int64)])]
-                for k in (1, 2, 3):
-                    after = np.concatenate([columns[0][k:], np.zeros(k, np.int64)])
-                    columns.append(np.where(columns[-1] == 0, 0, after))
-                start = columns[0] != 0
-                table = pa.RecordBatch.from_arrays([pa.array(c[start]) for c in columns], names=WORDS)
-                for i in range(0, table.num_rows, 50_000):
-                    yield table.slice(i, 50_000)
+                codes = np.fromiter(map(mine.get, found, repeat(0)) if whole else map(mine.__getitem__, found), np.int64)
+                codes = np.concatenate([codes, np.zeros(3, np.int64)])
+                for i in range(0, len(codes) - 3, SORTED):
+                    held.append(lead(codes[i : i + SORTED + 3]))
+                    if sum(h.shape[1] for h in held) >= SORTED:
+                        yield from out()
+        yield from out()
+
+    def count(group: pa.Table) -> pa.Table:
+        blobs = zip(group["windows"].to_pylist(), group["n"].to_pylist())
+        windows, counts = (np.concatenate(x, axis=-1) for x in zip(*(unpacked(b, n) for b, n in blobs)))
+        order = in_order(windows)
+        windows, counts = cut_back(*summed(windows[:, order], counts[order]), frequent, least)
+        return pa.table([pa.array(c) for c in (*windows, counts)], names=[*WORDS, "a"])
 
-    return rows.mapInArrow(lead, "w1 long, w2 long, w3 long, w4 long")
+    dealt = rows.mapInArrow(deal, "bucket long, n long, windows binary")
+    return dealt.groupBy("bucket").applyInArrow(count, "w1 long, w2 long, w3 long, w4 long, a long")
 
 
 def phrase_counts(windows: DataFrame, least: int) -> DataFrame:
     """``w1..w4, size, a`` of every phrase of one to four words that occurs at least ``least`` times.  ``windows`` are counted
-    longest windows (``a``): those of four words are phrases as they are, and the rollup has the sums of their prefixes."""
+    longest windows (``a``): those of four words are phrases as they are, each in one row, and the rollup has the sums of their prefixes."""
     none = F.lit(0).cast("long")
     whole = windows.where((F.col("w4") != 0) & (F.col("a") >= least)).select(*WORDS, F.lit(4).alias("size"), "a")
     sums = windows.rollup("w1", "w2", "w3").agg(F.sum("a").alias("a"), F.grouping_id().alias("cut"))
@@ -244,8 +345,7 @@ def collocations(
     words = scratch.keep(vocabulary(rows), "words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     ids = Ids(words, least, listed, scratch)
-    counted = longest_windows(rows, ids).groupBy(*WORDS).agg(F.count(F.lit(1)).alias("a"))
-    windows = scratch.keep(counted, "windows")
+    windows = scratch.keep(longest_windows(rows, ids, least), "windows")
     counts = scratch.keep(phrase_counts(windows, least), "counts")
     scratch.drop("windows")
     phrases = scratch.keep(not_covered(scored(counts), cover), "phrases")

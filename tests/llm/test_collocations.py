@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from codestrata.llm import collocations as C
@@ -53,7 +54,10 @@ def rows():
 
 
 @pytest.mark.parametrize("listed", [C.LISTED, 15, 0])
-def test_against_all_ngrams(spark, rows, listed):
+def test_against_all_ngrams(spark, rows, listed, monkeypatch):
+    monkeypatch.setattr(C, "FREQUENT", 500)  # some words are very frequent
+    monkeypatch.setattr(C, "BUCKET", 1_000)
+    monkeypatch.setattr(C, "SORTED", 700)
     got = C.collocations(table(spark, rows), least=4, keep=60, cover=80, listed=listed)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     assert sorted(map(tuple, got.collect())) == brute(rows, 4, 60, 80)
@@ -78,6 +82,37 @@ def test_hashes_equal_those_of_the_engine(spark):
 def test_longest_windows_only(spark):
     ids = C.Ids(spark.createDataFrame([("en", bytes([w]), 9) for w in b"abcd"], "lang string, word binary, n long"), 1, 10, C.Scratch(spark, "t"))
     name = {r.id: r.word for r in ids.table.collect()}
-    got = C.longest_windows(spark.createDataFrame([("en", "a b c d a. z b")], "lang string, text string"), ids)
-    windows = sorted("".join(name.get(w, "-") for w in r) for r in got.collect())
-    assert windows == sorted(["abcd", "bcda", "cda-", "da--", "a---", "b---"])
+    rows = spark.createDataFrame([("en", "a b c d a. z b"), ("en", "b c d a")], "lang string, text string")
+    show = lambda least: sorted(("".join(name.get(w, "-") for w in r[:4]), r.a) for r in C.longest_windows(rows, ids, least).collect())
+    assert show(1) == [("a---", 2), ("abcd", 1), ("b---", 1), ("bcda", 2), ("cda-", 2), ("da--", 2)]
+    assert show(2) == [("a---", 3), ("b---", 1), ("bcda", 2), ("cda-", 2), ("da--", 2)]  # one "ab": cut back
+
+
+def test_windows_survive_packing():
+    rng = np.random.default_rng(2)
+    for top in (50, 1 << 62):
+        windows = rng.integers(0, top, (4, 1000))
+        windows = windows[:, C.in_order(windows)]
+        assert windows.T.tolist() == sorted(windows.T.tolist())
+        counts = rng.integers(1, 9, 1000)
+        a, b = C.unpacked(C.packed(windows, counts), 1000)
+        assert (a == windows).all() and (b == counts).all()
+
+
+def test_prefixes_keep_their_counts():
+    """Whatever is cut, every prefix that reaches the limit keeps its count over all buckets, with and without very frequent words."""
+    rng = np.random.default_rng(4)
+    codes = np.concatenate([np.minimum(rng.zipf(1.4, 20_000) - 1, 40), np.zeros(3, np.int64)])
+    windows = C.lead(codes)
+    want = Counter(tuple(w[:k]) for w in windows.T.tolist() for k in (1, 2, 3, 4) if w[k - 1])
+    for frequent in (0, 3, 100):
+        bucket, got = C.bucket_of(windows, frequent, 7), Counter()
+        for b in range(7):
+            own = windows[:, bucket == b]
+            own = own[:, C.in_order(own)]
+            for w, a in zip(*(x.T.tolist() for x in C.cut_back(*C.summed(own, np.ones(own.shape[1], np.int64)), frequent, 30))):
+                for k in (1, 2, 3, 4):
+                    if w[k - 1]:
+                        got[tuple(w[:k])] += a
+        assert {p: a for p, a in got.items() if a >= 30} == {p: a for p, a in want.items() if a >= 30}
+        assert sum(got[p] for p in got if len(p) == 4) < sum(want[p] for p in want if len(p) == 4)
