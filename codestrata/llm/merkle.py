@@ -25,7 +25,7 @@ STEP = 12
 #: The tree over the languages' roots; a language's tree is named "=" and the language, the null language's "".
 TOP = "*"
 #: Rows that go to each stretch beside its missing nodes: marks above every level.
-SUBROOT, ROOT, UPPER = 62, 63, 64
+PLACE, SUBROOT, ROOT, UPPER = 61, 62, 63, 64
 LEAF = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -116,7 +116,7 @@ def missing(known: set[int], n: int) -> list[tuple[int, int]]:
 def multiproofs(wanted: DataFrame, nodes: DataFrame, upper: DataFrame | None = None) -> DataFrame:
     """``wanted`` (tree, at, n, node, and any others) with ``siblings``: of each level from the leaf to its tree's top the sibling, null
     where there is none.  Rows of ``upper`` (tree, level, node) go to every leaf of their tree, behind its own levels:
-    those from `UPPER` on as further siblings, `SUBROOT` and `ROOT` as columns ``subroot`` and ``root``."""
+    those from `UPPER` on as further siblings, `PLACE` (a number), `SUBROOT` and `ROOT` as columns ``place``, ``subroot`` and ``root``."""
     wanted = wanted.withColumn("stretch", F.shiftright("at", STEP))
     lacks = "tree string, stretch long, level int, at long"
 
@@ -141,7 +141,7 @@ def multiproofs(wanted: DataFrame, nodes: DataFrame, upper: DataFrame | None = N
 
     fields = [f for f in wanted.schema.fields if f.name != "stretch"]
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    added = {"siblings": pa.list_(pa.string()), "subroot": pa.string(), "root": pa.string()}
+    added = {"siblings": pa.list_(pa.string()), "place": pa.int64(), "subroot": pa.string(), "root": pa.string()}
 
     def expand(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = left.select([f.name for f in fields])
@@ -150,7 +150,8 @@ def multiproofs(wanted: DataFrame, nodes: DataFrame, upper: DataFrame | None = N
             n = rows["n"][0].as_py()
             store = dict(zip(zip(right["level"].to_pylist(), right["at"].to_pylist()), right["node"].to_pylist()))
             above = [store[k] for k in sorted(k for k in store if k[0] >= UPPER)]
-            tops = [store.get((mark, 0)) for mark in (SUBROOT, ROOT)]
+            place, *tops = [store.get((mark, 0)) for mark in (PLACE, SUBROOT, ROOT)]
+            place = None if place is None else int(place)
             places = rows["at"].to_pylist()
             known = dict(zip(places, rows["node"].to_pylist()))
             for level in range(height(n)):
@@ -158,6 +159,7 @@ def multiproofs(wanted: DataFrame, nodes: DataFrame, upper: DataFrame | None = N
                 known = {at >> 1: digest(store[level, k] for k in (at & ~1, at | 1) if (level, k) in store) for at in known}
             for at in places:
                 columns["siblings"].append([store.get((level, at >> level ^ 1)) for level in range(height(n))] + above)
+                columns["place"].append(place)
                 columns["subroot"].append(tops[0])
                 columns["root"].append(tops[1])
         for name, kind in added.items():
@@ -165,7 +167,7 @@ def multiproofs(wanted: DataFrame, nodes: DataFrame, upper: DataFrame | None = N
         return rows
 
     pairs = wanted.groupBy("tree", "stretch").cogroup(fetched.groupBy("tree", "stretch"))
-    return pairs.applyInArrow(expand, f"{out}, siblings array<string>, subroot string, root string")
+    return pairs.applyInArrow(expand, f"{out}, siblings array<string>, place long, subroot string, root string")
 
 
 class Manifest:
@@ -185,7 +187,8 @@ class Manifest:
         self.scratch.drop("sorted")
         self.nodes = tree_nodes(self.leaves.withColumnRenamed("leaf", "node"), self.scratch, "nodes")
         sizes = self.leaves.groupBy("tree").agg(F.max("n").alias("n"))
-        subroots = self.nodes.join(sizes, "tree").where((F.col("at") == 0) & (F.col("level") == top_node()))
+        foremost = self.nodes.where(F.col("at") == 0)  # one of each level
+        subroots = foremost.join(sizes, "tree").where(F.col("level") == top_node())
         named = subroots.select(F.lit(TOP).alias("tree"), F.col("tree").alias("of"), "node")
         self.subroots = keep(placed(named, ["of"], self.scratch, "tops-sorted"), "tops")
         self.tops = tree_nodes(self.subroots, self.scratch, "tops-nodes")
@@ -197,16 +200,15 @@ class Manifest:
         return self.tops.where(F.col("level") == height(n)).first().node if n else None
 
     def prove(self, wanted: DataFrame | None = None) -> DataFrame:
-        """The ``wanted`` rows of ``leaves`` (all by default) with ``siblings`` (null at levels without), ``subroot`` and ``root``."""
+        """The ``wanted`` rows of ``leaves`` (all by default) with ``siblings`` (null at levels without), ``place`` (of their tree in the upper one), ``subroot`` and ``root``."""
         root = self.root()
         paths = multiproofs(self.subroots, self.tops)
         above = paths.select(F.col("of").alias("tree"), "at", F.posexplode("siblings").alias("level", "node"))
         above = above.select("tree", (F.col("level") + UPPER).alias("level"), "node")
         own = self.subroots.select(F.col("of").alias("tree"), F.lit(SUBROOT).alias("level"), "node")
         upper = above.unionByName(own).unionByName(own.select("tree", F.lit(ROOT).alias("level"), F.lit(root).alias("node")))
+        upper = upper.unionByName(paths.select(F.col("of").alias("tree"), F.lit(PLACE).alias("level"), F.col("at").cast("string").alias("node")))
         rows = (self.leaves if wanted is None else wanted).withColumnRenamed("leaf", "node")
-        above_at = paths.select(F.col("of").alias("tree"), F.col("at").alias("top_at"))
-        rows = join_hot(rows, above_at, ["tree"], "inner")
         return multiproofs(rows, self.nodes, self.scratch.keep(upper, "upper")).withColumnRenamed("node", "leaf")
 
 
@@ -216,13 +218,13 @@ def folded(proofs: DataFrame) -> DataFrame:
 
     def fold(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
-            names = ("leaf", "held", "at", "top_at", "n", "siblings")
+            names = ("leaf", "held", "at", "place", "n", "siblings")
             proof, roots = [], []
-            for leaf, held, at, top_at, n, siblings in zip(*(batch.column(c).to_pylist() for c in names)):
+            for leaf, held, at, above, n, siblings in zip(*(batch.column(c).to_pylist() for c in names)):
                 node, levels = held or leaf, height(n)
                 for level, other in enumerate(siblings):
-                    place = at >> level if level < levels else top_at >> level - levels
-                    node = digest([node] if other is None else [other, node] if place & 1 else [node, other])
+                    here = at >> level if level < levels else above >> level - levels
+                    node = digest([node] if other is None else [other, node] if here & 1 else [node, other])
                 proof.append(digest(s for s in siblings if s is not None))
                 roots.append(node)
             same = [a == b for a, b in zip(roots, batch.column("root").to_pylist())]
@@ -232,7 +234,7 @@ def folded(proofs: DataFrame) -> DataFrame:
             )
 
     kind = proofs.schema["doc_id"].dataType.simpleString()
-    return proofs.select("doc_id", "leaf", "held", "at", "top_at", "n", "siblings", "subroot", "root").mapInArrow(
+    return proofs.select("doc_id", "leaf", "held", "at", "place", "n", "siblings", "subroot", "root").mapInArrow(
         fold, f"doc_id {kind}, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
     )
 
