@@ -33,9 +33,9 @@ class Scratch:
         self.spark = spark
         self.path = f"{shared_folder(spark)}/codestrata-llm/{name}-{uuid.uuid4().hex}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         path = f"{self.path}/{name}"
-        df.write.parquet(path)
+        df.write.option("compression", compression).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str = "") -> None:
@@ -58,6 +58,14 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """``name``, or with further underscores in front if ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_key(text: str = "text") -> Column:
     """Tells rows apart that share a doc_id.  A null text is an empty one."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))

@@ -1,9 +1,9 @@
 """Benchmark decontamination by winnowing, in DataFrame functions only (operator 4).
 
 Both sides keep, of the hashes of ``k`` consecutive words, those that are the minimum of some ``w`` consecutive ones.  With ``k + w - 1``
-words, a shared stretch holds a kept fingerprint on both sides; that length is the window length, or
-the shortest item's where an item is shorter, so no window can be missed.  Documents' fingerprints meet the distinct ones of the
-benchmark; each hit is extended to all windows around it, and those are compared word for word with the benchmark's windows.
+words, a shared stretch holds a kept fingerprint on both sides; that length is the shortest window's of a class of window lengths, so no
+window can be missed.  Documents' fingerprints meet the distinct ones of the benchmark; each hit is extended to all windows that
+it stands for, and those are compared word for word with the benchmark's windows.
 
 Lower case is A-Z only, as asked; fingerprints are of Spark's ``lower``, which makes equal all that is equal so, and more."""
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codestrata.llm.common import Scratch, text_key
+from codestrata.llm.common import Scratch, free_name, text_key
 
 #: Of text in either case; A-Z are letters of a word, as they are to be lower-cased.
 BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -23,28 +23,30 @@ BROADCAST_ROWS = 200_000
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), BREAK), lambda w: w != "")
-
-
-def winnowed(rows: DataFrame, k: int, w: int) -> DataFrame:
-    """``rows`` (with ``__words``) by kept fingerprint: ``__at`` (from 1) and ``__hash``.  Steps are columns of their own, each used
-    more than once, so that none is computed again for every word."""
-    t = k + w - 1
-    rows = rows.withColumn("__low", F.transform("__words", F.lower))
-    at = f"if(size(__low) >= {t}, sequence(1, size(__low) - {k - 1}), cast(array() as array<int>))"
-    rows = rows.withColumn("__grams", F.expr(f"transform({at}, i -> xxhash64(slice(__low, i, {k})))")).drop("__low")
-    if w > 1:
-        at = f"if(size(__grams) >= {w}, sequence(1, size(__grams) - {w - 1}), cast(array() as array<int>))"
-        rows = rows.withColumn("__least", F.expr(f"transform({at}, i -> array_min(slice(__grams, i, {w})))"))
-        first = f"greatest(1, i + 2 - {w})"
-        kept = f"transform(__grams, (h, i) -> if(h = array_max(slice(__least, {first}, least(i + 1, size(__least)) - {first} + 1)), h, null))"
-        rows = rows.withColumn("__kept", F.expr(kept)).drop("__grams", "__least")
-    else:
-        rows = rows.withColumnRenamed("__grams", "__kept")
-    others = [c for c in rows.columns if c != "__kept"]
-    # an inner explode would put a filter on the array below these steps, and with it the array's whole computation, again
-    rows = rows.select(*others, F.posexplode_outer("__kept").alias("__pos", "__hash")).where(F.col("__hash").isNotNull())
-    return rows.withColumn("__at", F.col("__pos") + 1).drop("__pos")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), BREAK), "")
+
+
+def classes(lengths: list[int]) -> list[list[int]]:
+    """Window lengths that share fingerprints: 1, 2 to 3, 4 to 7, 8 to 15, ...  So a short item makes no fingerprints of
+    longer windows shorter."""
+    out: dict[int, list[int]] = {}
+    for n in sorted(lengths):
+        out.setdefault(n.bit_length(), []).append(n)
+    return list(out.values())
+
+
+def winnowed(rows: DataFrame, shortest: int) -> DataFrame:
+    """``rows`` (with ``__words``) with ``__least``: the minimum fingerprint of every ``shortest`` consecutive words, by their first.  Every word is
+    hashed once; steps are columns of their own, each used more than once, so that none is computed again for every word."""
+    k = (shortest + 1) // 2
+    w = shortest - k + 1
+    steps = lambda array, n: f"if(size({array}) >= {n}, sequence(0, size({array}) - {n}), cast(array() as array<int>))"
+    picks = lambda array, n: ", ".join(f"get({array}, i + {j})" for j in range(n))
+    rows = rows.withColumn("__hashes", F.transform("__words", lambda x: F.xxhash64(F.lower(x))))
+    rows = rows.withColumn("__grams", F.expr(f"transform({steps('__hashes', k)}, i -> xxhash64({picks('__hashes', k)}))")).drop("__hashes")
+    if w == 1:
+        return rows.withColumnRenamed("__grams", "__least")
+    return rows.withColumn("__least", F.expr(f"transform({steps('__grams', w)}, i -> least({picks('__grams', w)}))")).drop("__grams")
 
 
 def item_windows(benchmark: DataFrame, length: int) -> DataFrame:
@@ -55,51 +57,72 @@ def item_windows(benchmark: DataFrame, length: int) -> DataFrame:
     return rows.withColumn("__all", F.array_distinct(window)).select("item", "__n", F.explode("__all").alias("__window")).distinct()
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, length: int = 10, text: str = "text") -> DataFrame:
-    """``doc_id, __key, start, n, window``: every occurrence of an item's window in a document, by word from 1."""
-    scratch = Scratch(docs.sparkSession, "decontamination")
+def fingerprints(docs: DataFrame, shortest: int, text: str) -> DataFrame:
+    """``doc_id, __key, __words, __least, __at, __hash``: a row for each kept fingerprint of each document, ``__at`` (from 0) being the
+    first of the neighbouring windows that have it; and one row without a hash for each document."""
+    source = docs.select("doc_id", text_key(text).alias("__key"), words(F.col(text)).alias("__words"))
+    rows = winnowed(source, shortest)
+    kept = F.expr("transform(__least, (h, i) -> if(i > 0 AND h = get(__least, i - 1), null, h))")
+    # the document's own row comes as a last element
+    rows = rows.withColumn("__kept", F.concat(kept, F.array(F.lit(None).cast("long"))))
+    # an inner explode would put a filter on the array below these steps, and with it the array's whole computation, again
+    rows = rows.select("doc_id", "__key", "__words", "__least", F.posexplode_outer("__kept").alias("__at", "__hash"))
+    return rows.where(F.col("__hash").isNotNull() | (F.col("__at") == F.size("__least")))
+
+
+def around(rows: DataFrame, longest: int) -> DataFrame:
+    """``doc_id, __key, __hash, __at, __run, __around`` of rows of `fingerprints`: how many neighbouring windows have this one, and the
+    words from the first of them on, as many as a window of ``longest`` words can take."""
+    other = "array_position(transform(slice(__least, __at + 1, size(__least)), h -> h <> __hash), true)"
+    rows = rows.withColumn("__run", F.expr(f"if(__hash is null, null, cast(if({other} = 0, size(__least) - __at, {other} - 1) as int))"))
+    near = F.expr(f"if(__hash is null, null, slice(__words, __at + 1, __run + {longest} - 1))")
+    return rows.withColumn("__around", near).drop("__words", "__least")
+
+
+def candidates(found: DataFrame, lengths: list[int]) -> DataFrame:
+    """``doc_id, __key, start, n, window`` of all windows that begin where a found fingerprint is the least."""
+    lower = F.split(F.translate(F.array_join("__around", " "), UPPER, LOWER), " ")
+    tried = found.withColumn("__around", lower).withColumn("n", F.explode(F.array(*map(F.lit, lengths))))
+    tried = tried.where(F.size("__around") >= F.col("n"))
+    tried = tried.withColumn("i", F.explode(F.expr("sequence(0, least(__run, size(__around) - n + 1) - 1)")))
+    window = F.expr("array_join(slice(__around, i + 1, n), ' ')")
+    return tried.select("doc_id", "__key", (F.col("__at") + F.col("i") + 1).cast("int").alias("start"), "n", window.alias("window"))
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, length: int, text: str, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, __key, start, n, window``: every occurrence of an item's window in a document, by word from 1; and
+    ``doc_id, __key, n_words`` of every document.  A document is read once for each class of window lengths, mostly the only one."""
     windows = scratch.keep(item_windows(benchmark, length), "windows")
+    found = base = None
     # at most `length` different window lengths
-    lengths = sorted(r[0] for r in windows.select("__n").distinct().collect())
-    if not lengths:
+    for lengths in classes([r[0] for r in windows.select("__n").distinct().collect()]):
+        own = windows.where(F.col("__n").isin(lengths))
+        marks = winnowed(own.select(F.split("__window", " ").alias("__words")), lengths[0])
+        marks = scratch.keep(marks.select(F.explode(F.array_distinct("__least")).alias("__hash")).distinct(), f"marks-{lengths[0]}")
+        prints = fingerprints(docs, lengths[0], text)
+        if marks.count() <= BROADCAST_ROWS:
+            marked = prints.join(F.broadcast(marks.withColumn("__mark", F.lit(True))), "__hash", "left").where("__mark OR __hash IS NULL")
+            marked = marked.withColumn("n_words", F.size("__words").cast("long"))
+            marked = scratch.keep(around(marked, lengths[-1]), f"marked-{lengths[0]}")
+            base = marked.where("__hash IS NULL").select("doc_id", "__key", "n_words")
+            marked = marked.where("__hash IS NOT NULL")
+        else:  # without the documents' own rows, which all lack a hash
+            marked = around(prints.where("__hash IS NOT NULL"), lengths[-1]).join(marks, "__hash", "left_semi")
+        real = own.select(F.col("__n").alias("n"), F.col("__window").alias("window")).distinct()
+        seen = candidates(marked, lengths).join(real, ["n", "window"], "left_semi").select("doc_id", "__key", "start", "n", "window").distinct()
+        found = seen if found is None else found.unionByName(seen)
+    if base is None:
+        n_words = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+        base = docs.select("doc_id", text_key(text).alias("__key"), n_words.alias("n_words"))
+    if found is None:
         kind = docs.schema["doc_id"].dataType
-        return docs.sparkSession.createDataFrame([], "doc_id long, __key long, start int, n int, window string").withColumn("doc_id", F.col("doc_id").cast(kind))
-    t = min(lengths)
-    k = (t + 1) // 2
-    w = t - k + 1
-    marks = winnowed(windows.select(F.split("__window", " ").alias("__words")), k, w).select("__hash").distinct()
-    marks = scratch.keep(marks, "marks")
-    source = docs.select("doc_id", text_key(text).alias("__key"), words(F.col(text)).alias("__words"))
-    # words around a fingerprint, far enough for every window that can hold it
-    longest = max(lengths)
-    around = F.slice("__words", F.greatest(F.lit(1), F.col("__at") - (longest - k)), F.least(F.col("__at"), F.lit(longest - k + 1)) + longest - 1).alias("__around")
-    first = F.greatest(F.lit(1), F.col("__at") - (longest - k)).alias("__first")
-    prints = winnowed(source, k, w)
-    if marks.count() <= BROADCAST_ROWS:
-        found = prints.join(F.broadcast(marks), "__hash", "left_semi").select("doc_id", "__key", "__at", first, around)
-    else:
-        found = prints.select("__hash", "doc_id", "__key", "__at", first, around).join(marks, "__hash", "left_semi").drop("__hash")
-    found = found.withColumn("__around", F.split(F.translate(F.array_join("__around", " "), UPPER, LOWER), " "))
-    options = F.array(*[F.lit(n) for n in lengths])
-    starts = F.flatten(
-        F.transform(
-            options,
-            lambda n: F.transform(
-                F.when(
-                    F.least(F.col("__at"), F.col("__first") + F.size("__around") - n) >= F.greatest(F.col("__first"), F.col("__at") - n + k),
-                    F.sequence(F.greatest(F.col("__first"), F.col("__at") - n + k), F.least(F.col("__at"), F.col("__first") + F.size("__around") - n)),
-                ).otherwise(F.array().cast("array<int>")),
-                lambda s: F.struct(s.alias("start"), n.alias("n")),
-            ),
-        )
-    )
-    tried = found.select("doc_id", "__key", "__first", "__around", F.explode(starts).alias("s"))
-    tried = tried.select(
-        "doc_id", "__key", F.col("s.start").alias("start"), F.col("s.n").alias("n"),
-        F.array_join(F.slice("__around", F.col("s.start") - F.col("__first") + 1, F.col("s.n")), " ").alias("window"),
-    ).distinct()
-    real = windows.select(F.col("__n").alias("n"), F.col("__window").alias("window")).distinct()
-    return tried.join(real, ["n", "window"], "left_semi").select("doc_id", "__key", "start", "n", "window")
+        found = docs.sparkSession.createDataFrame([], "doc_id long, __key long, start int, n int, window string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    return found, base
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, length: int = 10, text: str = "text") -> DataFrame:
+    """``doc_id, __key, start, n, window``: every occurrence of an item's window in a document, by word from 1."""
+    return scan(docs, benchmark, length, text, Scratch(docs.sparkSession, "decontamination"))[0]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10, text: str = "text") -> DataFrame:
@@ -111,7 +134,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10, text:
     columns are not read.  A document's hits are gathered in one row, at most one for each of its words and window lengths.
     """
     scratch = Scratch(docs.sparkSession, "contamination")
-    found = scratch.keep(hits(docs, benchmark, length, text), "hits")
+    found, base = scan(docs, benchmark, length, text, scratch)
+    found = scratch.keep(found, "hits")
     stretches = F.sort_array(F.collect_list(F.struct(F.col("start"), (F.col("start") + F.col("n")).alias("end"))))
     step = (
         "aggregate(__s, struct(0 AS reach, 0 AS total), (a, x) -> struct(greatest(a.reach, x.end) AS reach, "
@@ -123,7 +147,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10, text:
     items = pairs.groupBy("doc_id", "__key").agg(F.sort_array(F.collect_list("item")).alias("items"))
     per = hit.alias("h").join(items.alias("i"), F.col("h.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("h.__key") == F.col("i.__key")))
     per = per.select(F.col("h.doc_id").alias("__id"), F.col("h.__key").alias("__k"), "n_hit", "items")
-    base = docs.select("doc_id", text_key(text).alias("__key"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
     out = base.join(per, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__k")), "left")
     none = F.array().cast("array<string>")
     out = out.withColumns({"n_hit": F.coalesce("n_hit", F.lit(0).cast("long")), "items": F.coalesce("items", none)})
@@ -135,8 +158,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10, text:
 
 def clean(docs: DataFrame, benchmark: DataFrame, length: int = 10) -> DataFrame:
     """The rows of ``docs``, as they were, without a hit."""
+    own, key = free_name("__id", docs), free_name("__k", docs)
     found = Scratch(docs.sparkSession, "decontaminated").keep(
-        hits(docs, benchmark, length).select(F.col("doc_id").alias("__id"), F.col("__key").alias("__k")).distinct(), "hits"
+        hits(docs, benchmark, length).select(F.col("doc_id").alias(own), F.col("__key").alias(key)).distinct(), "hits"
     )
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_key() == F.col("__k"))
-    return docs.join(found, same, "left_anti")
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col(own)) & (text_key() == F.col(key)), "left_anti")
