@@ -6,11 +6,11 @@ that a long text's thousands of indifferent words add nothing to its score."""
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Hashable, Sequence
+from collections.abc import Hashable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import xxhash
 
 
 @dataclass
@@ -35,33 +35,65 @@ class Ordinal:
         return sum(t >= 0.5 for t in tails) if self.thresholds else self.constant
 
 
-def screened(features: Sequence[set], grades: np.ndarray, min_rows: int, most: int, z: float) -> list:
+class Rows:
+    """Presence features of many rows in one flat array of numbers; features that are no numbers are known by their hash."""
+
+    def __init__(self, rows: Iterable[Iterable[Hashable]] = ()):
+        parts = [self._numbers(r) for r in rows]
+        self.values = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        self.ends = np.cumsum([len(p) for p in parts], dtype=np.int64)
+
+    @staticmethod
+    def _numbers(row: Iterable[Hashable]) -> np.ndarray:
+        return np.unique(np.fromiter((number(f) for f in row), np.int64))
+
+    def __len__(self) -> int:
+        return len(self.ends)
+
+    def row(self, i: int) -> np.ndarray:
+        return self.values[self.ends[i - 1] if i else 0 : self.ends[i]]
+
+    def owners(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self), dtype=np.int32), np.diff(self.ends, prepend=0))
+
+
+def number(feature: Hashable) -> int:
+    """A number as it is, a text as 64 bits of it."""
+    return feature if isinstance(feature, int) else xxhash.xxh64_intdigest(feature) - (1 << 63)
+
+
+def screened(rows: Rows, grades: np.ndarray, min_rows: int, most: int, z: float) -> np.ndarray:
     """Features in at least ``min_rows`` rows whose mean grade is ``z`` standard errors off the mean of all;
-    the ``most`` furthest off."""
-    count: Counter = Counter()
-    total: Counter = Counter()
-    for x, y in zip(features, grades.tolist()):
-        count.update(x)
-        if y:
-            for f in x:
-                total[f] += y
-    mean, sd = grades.mean(), grades.std() or 1.0
-    found = [(abs(total[f] / n - mean) * np.sqrt(n) / sd, f) for f, n in count.items() if n >= min_rows]
-    return [f for s, f in sorted(((s, f) for s, f in found if s >= z), key=lambda x: (-x[0], str(x[1])))[:most]]
+    the ``most`` furthest off.  Both limits are lower where few rows stand for one side: a feature must be in a quarter of that side's
+    rows at most, and 0.35 times as far off as one that is in all of them and in no others."""
+    few = min(int((grades > 0).sum()), int((grades == 0).sum())) or len(grades)
+    z = min(z, 0.35 * np.sqrt(len(grades) - few))
+    min_rows = min(min_rows, max(2, few // 4))
+    found, at, n = np.unique(rows.values, return_inverse=True, return_counts=True)
+    total = np.bincount(at, grades[rows.owners()], len(found))
+    off = np.abs(total / n - grades.mean()) * np.sqrt(n) / (grades.std() or 1.0)
+    order = [i for i in np.lexsort([found, -off]) if n[i] >= min_rows and off[i] >= z]
+    return found[order[:most]]
 
 
 def fit(
-    features: Sequence[set], grades: Sequence[int], min_rows: int = 8, most: int = 512, z: float = 8.0,
+    features: Sequence[Iterable[Hashable]] | Rows, grades: Sequence[int], min_rows: int = 8, most: int = 512, z: float = 8.0,
     decay: float = 1e-5, steps: int = 800, rate: float = 0.1,
 ) -> Ordinal:
     """Maximum likelihood with weight decay by full-batch Adam; the same sample gives the same model."""
+    given = features
+    features = given if isinstance(given, Rows) else Rows(given)
     y = np.asarray(grades, np.int64)
     if len(y) == 0 or y.min() == y.max():
         return Ordinal(constant=int(y[0]) if len(y) else 0)
     names = screened(features, y, min_rows, most, z)
-    at = {f: i for i, f in enumerate(names)}
-    pairs = [(r, at[f]) for r, x in enumerate(features) for f in sorted(x & at.keys(), key=at.get)]
-    rows, cols = (np.array(v, np.int64) for v in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 2
+    by_value = np.argsort(names)
+    if len(names):  # the screened features as pairs of row and column
+        found = np.minimum(np.searchsorted(names[by_value], features.values), len(names) - 1)
+        hit = names[by_value][found] == features.values
+        rows, cols = features.owners()[hit], by_value[found[hit]]
+    else:
+        rows, cols = np.zeros(0, np.int64), np.zeros(0, np.int64)
     top = int(y.max())
     share = np.array([(y > j).mean() for j in range(top)])
     share = np.clip(share, 1e-4, 1 - 1e-4)
@@ -98,4 +130,7 @@ def fit(
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad**2
         params = params - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return Ordinal({f: float(w) for f, w in zip(names, params[:k])}, thresholds(params).tolist())
+    weights = dict(zip(names.tolist(), params[:k].tolist()))
+    if given is not features:  # under the names they were given by
+        weights = {f: weights[number(f)] for x in given for f in x if number(f) in weights}
+    return Ordinal(weights, thresholds(params).tolist())

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codestrata.llm.common import small_batches
-from codestrata.llm.ordinal import Ordinal, fit
+from codestrata.llm.ordinal import Ordinal, Rows, fit
 from codestrata.llm.toxicity import labelled_sample
 
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+")
@@ -54,7 +54,7 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = 22, rows: int = 6_000,
     else:
         rated = labels.select("doc_id", (F.col("quality") * (2 - F.col("toxic"))).alias("rating"))
     sample = labelled_sample(docs, rated, ["rating"], rows, longest)
-    return fit([hashed(r["text"], bits) for r in sample], [int(r["rating"]) for r in sample])
+    return fit(Rows(hashed(r["text"], bits) for r in sample), [int(r["rating"]) for r in sample])
 
 
 def score(docs: DataFrame, model: Ordinal, bits: int = 22, least: int = 1, keep_at: float = 0.5) -> DataFrame:

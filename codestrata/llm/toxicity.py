@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codestrata.llm.common import small_batches
-from codestrata.llm.ordinal import Ordinal, fit
+from codestrata.llm.ordinal import Ordinal, Rows, fit, number
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -58,24 +57,31 @@ def one_of_each(sample: list[dict]) -> list[dict]:
     return out
 
 
-def severities(texts: Sequence[list[str]], toxic: Sequence[int]) -> list[int]:
-    """0 for rows not toxic, else 1 or 2."""
+def severities(texts: Sequence[str], rows: Rows, toxic: Sequence[int]) -> list[int]:
+    """0 for rows not toxic, else 1 or 2.  A word is marked if it or a beginning of it goes with the toxic label."""
     if max(toxic, default=0) > 1:
         return list(toxic)
-    rows = {0: Counter(), 1: Counter()}
-    for found, label in zip(texts, toxic):
-        rows[min(1, label)].update(features(found))
-    sizes = {c: sum(min(1, t) == c for t in toxic) for c in rows}
-    marks = {w for w, n in rows[1].items() if n >= 3 and n / sizes[1] > 10 * (rows[0][w] + 0.5) / (sizes[0] + 1)}
-    counts = [sum(not marks.isdisjoint(features([w])) for w in set(found)) for found in texts]
+    is_toxic = np.asarray(toxic)[rows.owners()] > 0
+    signs, n = np.unique(rows.values[is_toxic], return_counts=True)
+    others = np.sort(rows.values[~is_toxic])
+    among = np.searchsorted(others, signs, "right") - np.searchsorted(others, signs, "left")
+    n_toxic = sum(t > 0 for t in toxic)
+    marks = set(signs[(n >= 3) & (n / max(1, n_toxic) > 10 * (among + 0.5) / (len(toxic) - n_toxic + 1))].tolist())
+    counts = [sum(not marks.isdisjoint(map(number, features([w]))) for w in set(words(text))) if t else 0 for text, t in zip(texts, toxic)]
     middle = float(np.median([c for c, t in zip(counts, toxic) if t] or [0]))
     return [0 if not t else 2 if c > middle else 1 for c, t in zip(counts, toxic)]
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = 6_000, longest: int = 20_000) -> Ordinal:
+    """From at most ``rows`` labelled texts of at most ``longest`` characters.  Texts are taken apart one after another; what is held of
+    all of them are numbers, and the names of the features that got a weight."""
     sample = labelled_sample(docs, labels, ["toxic"], rows, longest)
-    texts = [words(r["text"]) for r in sample]
-    return fit([features(t) for t in texts], severities(texts, [r["toxic"] for r in sample]))
+    texts, toxic = [r["text"] for r in sample], [r["toxic"] for r in sample]
+    found = Rows(features(words(t)) for t in texts)
+    model = fit(found, severities(texts, found, toxic))
+    names = {number(f): f for t in texts for f in features(words(t)) if number(f) in model.weights}
+    model.weights = {names[k]: w for k, w in model.weights.items()}
+    return model
 
 
 def score(docs: DataFrame, model: Ordinal, reject_at: float = 0.25) -> DataFrame:
