@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from codestrata.llm.common import Scratch, small_batches, text_key
+from codestrata.llm.common import Scratch, free_name, small_batches, text_key
 
-#: Columns added to those of the documents.
-SOURCE, KEY, SIZE, DRAW, BLOCK = "__source", "__key", "__size", "__draw", "__block"
+#: Columns beside those of the documents, which stay together in one column meanwhile and so cannot clash with these.
+SOURCE, KEY, SIZE, DRAW, BLOCK, ROW = "__source", "__key", "__size", "__draw", "__block", "__row"
+#: Bytes of text that one shard of the mix is meant to hold.
+SHARD_BYTES = 64 << 20
 
 
 def word_count(text: str = "text") -> Column:
@@ -60,21 +62,23 @@ class Mix:
 
     Null text: no words; such rows follow their block.  Rows equal in id, source and text are drawn together.  Empty
     sources get nothing; an empty table gives an empty mix.  The same rows and ``seed`` give the same mix.  The driver
-    holds one row a source and at most ``blocks`` block sums of each source stay in Spark.
+    holds one row a source and at most ``blocks`` block sums of each source stay in Spark.  Without ``shards`` there are as many
+    as make `SHARD_BYTES` of text each, so shards grow in number and not in size.  Columns may have any names.
     """
 
     def __init__(
         self, docs: DataFrame, weights: Sequence[float] = (5, 2, 1), factor: float = 1.5, cap: float = 2.0,
-        shards: int = 16, blocks: int = 1024, block_words: int = 16_384, seed: int = 7,
+        shards: int | None = None, blocks: int = 1024, block_words: int = 16_384, seed: int = 7,
     ):
         spark = docs.sparkSession
         small_batches(spark, 2_000)
         self.docs, self.seed = docs, seed
         self.scratch = Scratch(spark, "mix")
-        self.sized = self.scratch.keep(
-            self.marked(docs).select("doc_id", "source", SOURCE, KEY, SIZE, DRAW), "sized"
-        )
-        sums = self.sized.groupBy(SOURCE).agg(F.first("source").alias("source"), F.sum(SIZE).alias("n")).collect()
+        #: names of the columns that :meth:`rows` adds
+        self.shard, self.position = free_name("__shard", docs), free_name("__position", docs)
+        length = F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes")
+        self.sized = self.scratch.keep(self.marked(docs, length).drop(ROW), "sized")
+        sums = self.sized.groupBy(SOURCE).agg(F.first("source").alias("source"), F.sum(SIZE).alias("n"), F.sum("bytes").alias("bytes")).collect()
         sums.sort(key=lambda r: (r.source is None, r.source or ""))
         sizes = [r.n for r in sums]
         by_weight = [float(weights[i % len(weights)]) for i in range(len(sums))]
@@ -88,19 +92,16 @@ class Mix:
         self.plan = spark.createDataFrame(rows, schema)  # one row a source
         self.most_blocks = sum(r[-1] for r in rows)
         self.blocks = self.scratch.keep(self._blocks(), "blocks")
-        self.shards = shards
+        self.shards = shards or max(1, math.ceil(factor * sum(r.bytes for r in sums) / SHARD_BYTES))
         self.taken_in_part = self.scratch.keep(self._part(), "part")
         some = self.taken_in_part.select(SOURCE, BLOCK).distinct().withColumn("__some", F.lit(True))
         self.blocks = self.scratch.keep(self.blocks.join(some, [SOURCE, BLOCK], "left").na.fill(False, ["__some"]), "marked")
 
-    def marked(self, docs: DataFrame) -> DataFrame:
-        return docs.withColumns(
-            {
-                SOURCE: F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")),
-                KEY: text_key(),
-                SIZE: word_count(),
-                DRAW: F.xxhash64(F.lit(self.seed), "doc_id", F.coalesce("text", F.lit(""))),
-            }
+    def marked(self, docs: DataFrame, *more: Column) -> DataFrame:
+        return docs.select(
+            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW), "doc_id", "source",
+            F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias(SOURCE), text_key().alias(KEY), word_count().alias(SIZE),
+            F.xxhash64(F.lit(self.seed), "doc_id", F.coalesce("text", F.lit(""))).alias(DRAW), *more,
         )
 
     def placed(self, rows: DataFrame) -> DataFrame:
@@ -206,8 +207,8 @@ class Mix:
         counts = np.array([r.n * r["__passes"] + r.more for r in rows], np.int64)
         return [r[SOURCE] for r in rows], split(counts, self.shards, np.random.default_rng(self.seed))
 
-    def rows(self) -> DataFrame:
-        """The mix: every taken copy as a row of ``docs``' columns with ``__shard`` and ``__position`` (the order in it)."""
+    def copies(self) -> DataFrame:
+        """Every taken copy: the row in one column, its source, key and size, and its shard and place there."""
         names, counts = self.quotas()
         bounds = [(n, [int(c) for c in np.cumsum(row)]) for n, row in zip(names, counts)]
         split_at = self.docs.sparkSession.createDataFrame(
@@ -225,17 +226,21 @@ class Mix:
         copies = copies.withColumn("__index", index)
         shard = F.expr("size(filter(__bounds, b -> b <= __index))")
         position = F.xxhash64(F.lit(self.seed + 2), DRAW, "__copy")
-        return copies.select(*self.docs.columns, shard.alias("__shard"), position.alias("__position"))
+        return copies.select(ROW, "doc_id", "source", SOURCE, KEY, SIZE, shard.alias("__shard"), position.alias("__position"))
+
+    def rows(self) -> DataFrame:
+        """The mix: every taken copy as a row of ``docs``' columns with its shard and its place there."""
+        return self.copies().select(f"{ROW}.*", F.col("__shard").alias(self.shard), F.col("__position").alias(self.position))
 
     def written(self) -> DataFrame:
         """The mix with every shard's rows together and in their order, written and read again."""
-        dealt = self.rows().repartition(self.shards, "__shard").sortWithinPartitions("__shard", "__position")
-        return self.scratch.keep(dealt, "mix")
+        dealt = self.copies().repartition(self.shards, "__shard").sortWithinPartitions("__shard", "__position")
+        return self.scratch.keep(dealt, "mix", "zstd")
 
     def counted(self) -> DataFrame:
         """The columns of :meth:`report`, ``taken`` being counted in the written mix: the words of all copies there."""
         keys = [SOURCE, "source", "doc_id", KEY]
-        mix = self.marked(self.written().select("doc_id", "source", "text"))
+        mix = self.written().select(*keys, SIZE)
         given = self.sized.select(*keys, SIZE, F.lit(1).alias("__rows"), F.lit(0).cast("long").alias("__words"))
         both = given.unionByName(mix.select(*keys, F.lit(0).cast("long").alias(SIZE), F.lit(0).alias("__rows"), F.col(SIZE).alias("__words")))
         units = both.groupBy(*keys).agg(F.max(SIZE).alias("size"), F.sum("__rows").alias("__rows"), F.sum("__words").alias("__words"))
