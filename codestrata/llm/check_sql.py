@@ -101,3 +101,59 @@ def merkle_manifest() -> str:
     WHERE p.n > 1 OR NOT p.above)
 SELECT doc_id, leaf, t.node AS subroot, u.node AS root, sha256(proof) AS proof_sha256, p.node AS folded_root, p.node = u.node AS verified
 FROM paths p JOIN subroots t USING (tree), (SELECT node FROM upper WHERE n = 1) u WHERE p.above AND p.n = 1"""
+
+#: Rows of ``documents`` with a number, as ids may repeat.
+NUMBERED = "numbered AS (SELECT *, row_number() OVER () AS rid FROM documents)"
+SPACES = "[^\\x20\\x09-\\x0D]+"
+
+_WORD = "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
+DECONTAMINATION = f"""WITH {NUMBERED},
+  texts AS (SELECT rid, doc_id, regexp_extract_all({LOWERED.format("coalesce(text, '')")}, {_WORD}) AS ws FROM numbered),
+  items AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({LOWERED.format("coalesce(text, '')")}, {_WORD}) AS ws FROM benchmark WHERE item_id IS NOT NULL),
+  windows AS (SELECT DISTINCT item, n, array_to_string(ws[i:i + n - 1], ' ') AS w
+    FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS i FROM (SELECT *, least(10, len(ws)) AS n FROM items WHERE len(ws) > 0))),
+  lengths AS (SELECT DISTINCT n FROM windows),
+  spots AS (SELECT rid, n, i, array_to_string(ws[i:i + n - 1], ' ') AS w FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM texts, lengths)),
+  found AS (SELECT DISTINCT rid, n, i, w FROM spots SEMI JOIN windows USING (n, w)),
+  hit AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM found) GROUP BY rid),
+  named AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT rid, item FROM found JOIN windows USING (n, w)) GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)"""
+
+SUBSTRING_DEDUP = f"""WITH {NUMBERED},
+  texts AS (SELECT rid, doc_id, regexp_extract_all(coalesce(text, ''), '{SPACES}') AS ws FROM numbered),
+  windows AS (SELECT rid, doc_id, i, md5(array_to_string(ws[i:i + 19], ' ')) AS w FROM (SELECT *, unnest(range(1, len(ws) - 18)) AS i FROM texts)),
+  first_ones AS (SELECT w, min((doc_id, rid, i)) AS f FROM windows GROUP BY w),
+  gone AS (SELECT DISTINCT rid, unnest(range(i, i + 20)) AS p FROM windows JOIN first_ones USING (w) WHERE f <> (doc_id, rid, i)),
+  words AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM texts),
+  kept AS (SELECT rid, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (rid, p) GROUP BY rid),
+  removed AS (SELECT rid, count(*) AS n FROM gone GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (rid) LEFT JOIN removed USING (rid)"""
+
+SUFFIX_DEDUP = f"""WITH {NUMBERED},
+  texts AS (SELECT rid, doc_id, encode(coalesce(text, '')) AS b, strlen(coalesce(text, '')) AS n FROM numbered),
+  strings AS (SELECT rid, i, md5(array_slice(b, i, i + 199)) AS s FROM (SELECT rid, b, unnest(range(1, n - 198)) AS i FROM texts WHERE n >= 200)),
+  again AS (SELECT rid, i FROM strings SEMI JOIN (SELECT s FROM strings GROUP BY s HAVING count(*) > 1) USING (s)),
+  spans AS (SELECT rid, min(i) AS a, max(i) + 199 AS z FROM (SELECT *, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS run
+    FROM (SELECT *, CASE WHEN i > coalesce(lag(i) OVER (PARTITION BY rid ORDER BY i), -1000) + 200 THEN 1 ELSE 0 END AS fresh FROM again)) GROUP BY rid, run),
+  edges AS (SELECT rid, count(*) AS n_spans, sum(z - a + 1) AS n_removed, list(a ORDER BY a) AS starts, list(z ORDER BY a) AS ends FROM spans GROUP BY rid),
+  kept AS (SELECT rid, string_agg(hex(array_slice(b, f, t)), '' ORDER BY f) AS h FROM
+    (SELECT rid, b, unnest(list_concat([1], list_transform(ends, lambda e: e + 1))) AS f, unnest(list_concat(list_transform(starts, lambda s: s - 1), [n])) AS t
+      FROM texts JOIN edges USING (rid)) WHERE t >= f GROUP BY rid)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  CASE WHEN e.rid IS NULL THEN sha256(b) ELSE sha256(unhex(coalesce(h, ''))) END AS kept_sha256
+FROM texts LEFT JOIN edges e USING (rid) LEFT JOIN kept USING (rid)"""
+
+JACCARD_JOIN = f"""WITH RECURSIVE {NUMBERED},
+  texts AS (SELECT rid, doc_id, regexp_extract_all({LOWERED.format("coalesce(text, '')")}, '{SPACES}') AS ws FROM numbered),
+  sets AS MATERIALIZED (SELECT DISTINCT rid, md5(array_to_string(ws[i:i + 4], ' ')) AS s FROM (SELECT *, unnest(range(1, greatest(2, len(ws) - 3))) AS i FROM texts WHERE len(ws) > 0)),
+  sizes AS MATERIALIZED (SELECT rid, count(*) AS n FROM sets GROUP BY rid),
+  pairs AS MATERIALIZED (SELECT p, q FROM (SELECT a.rid AS p, b.rid AS q, count(*) AS shared FROM sets a JOIN sets b ON a.s = b.s AND a.rid <> b.rid GROUP BY ALL) x
+    JOIN sizes i ON i.rid = p JOIN sizes j ON j.rid = q WHERE 100 * shared >= 80 * (i.n + j.n - shared)),
+  reached AS (SELECT rid AS p, rid AS q FROM texts UNION SELECT r.p, l.q FROM reached r JOIN pairs l ON l.p = r.q),
+  groups AS (SELECT p AS rid, min(doc_id) AS component_id FROM reached JOIN texts t ON t.rid = q GROUP BY p),
+  links AS (SELECT p AS rid, count(*) AS n_links FROM pairs GROUP BY p)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM texts JOIN groups USING (rid) LEFT JOIN sizes USING (rid) LEFT JOIN links USING (rid)"""

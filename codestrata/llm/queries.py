@@ -1,7 +1,7 @@
 """The queries of the operators over the given tables, with production parameters.
 
-Where SQL can express a result on whole tables, ``ORACLES`` has DuckDB SQL for it; the others are held
-against brute force in tests/llm."""
+Where SQL can express a result exactly, ``ORACLES`` has DuckDB SQL for it; the others (trained models, tokenizers, seeded draws, sums of
+floating-point numbers) are held against brute force in tests/llm."""
 
 from __future__ import annotations
 
@@ -125,4 +125,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), changed, n_chars=F.col("n_chars") + 1)
 
 
-ORACLES |= {"op11_url_filters": check_sql.url_filters(), "op12_collocations": check_sql.COLLOCATIONS, "op13_merkle_manifest": check_sql.merkle_manifest()}
+ORACLES |= {
+    "op4_decontamination": check_sql.DECONTAMINATION, "op5_substring_dedup": check_sql.SUBSTRING_DEDUP, "op6_suffix_array_dedup": check_sql.SUFFIX_DEDUP,
+    "op8_jaccard_join": check_sql.JACCARD_JOIN, "op11_url_filters": check_sql.url_filters(), "op12_collocations": check_sql.COLLOCATIONS,
+    "op13_merkle_manifest": check_sql.merkle_manifest(),
+}
