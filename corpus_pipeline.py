@@ -1,6 +1,8 @@
 """A corpus from raw documents to stored token ids, in five stages.
 
-Every stage gets what its predecessor kept, written as Parquet; all but the last return the columns of ``documents``."""
+Every stage gets what its predecessor kept, written as Parquet; all but the last return the columns of ``documents``, whatever
+further ones there are and whatever their names.  Null and empty texts pass the first three stages; the mix takes only documents
+with words.  Null ids stay, repeated rows go in the second stage, an empty table stays empty through all of them."""
 
 from __future__ import annotations
 
@@ -9,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codestrata.llm import decontamination, jaccard_join, token_ids, toxicity
-from codestrata.llm.common import Scratch, shuffle_partitions, text_key
+from codestrata.llm.common import Scratch, free_name, text_key
 from codestrata.llm.mixing import Mix
 
 
@@ -20,9 +22,10 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document of the smallest id; rows that repeat id and text stay once."""
-    found = jaccard_join.groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    stay = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").withColumn("__key", text_key())
-    return stay.dropDuplicates(["doc_id", "__key"]).drop("__key")
+    own, key = free_name("__id", docs), free_name("__key", docs)
+    found = jaccard_join.groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(own)).distinct()
+    stay = docs.join(found, F.col("doc_id").eqNullSafe(F.col(own)), "left_semi").withColumn(key, text_key())
+    return stay.dropDuplicates(["doc_id", key]).drop(key)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +35,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of the sources: each document as often as it is taken, dealt to shards and shuffled in them."""
-    shards = shuffle_partitions(spark)
-    rows = Mix(docs, shards=shards).rows()
-    return rows.repartition(shards, "__shard").sortWithinPartitions("__shard", "__position").drop("__shard", "__position")
+    mix = Mix(docs)
+    rows = mix.rows().repartition(mix.shards, mix.shard).sortWithinPartitions(mix.shard, mix.position)
+    return rows.drop(mix.shard, mix.position)
 
 
 def stored(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +55,8 @@ STAGES = [
     ("token ids", stored),
 ]
 
-#: Trained models, components and seeded draws are not SQL; tests/llm/test_pipeline.py holds each stage against brute force.
+#: Trained models, components and seeded draws are not SQL; tests/llm/test_learned_mixed_near.py runs stage by stage, and each
+#: operator is held against brute force in tests/llm.
 ORACLE_SQL = None
 
 
