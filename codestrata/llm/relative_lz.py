@@ -74,7 +74,7 @@ def repeated_runs(docs: DataFrame, text: str = "text", length: int = 20, gram: i
     # a word is in 1 + 2 * length / (windows an anchor is the smallest of) pieces on average
     buckets = spans.buckets_for(docs, text, copied=1 + 2 * length / (length - gram + 2))
     pieces = spans.exchange(docs, text, True, length, gram, True, buckets)
-    return spans.solved(pieces, lambda p: repeats(p, length))
+    return spans.solved(pieces, lambda p: repeats(p, length), True, buckets)
 
 
 def without_repeats(docs: DataFrame, text: str = "text", length: int = 20) -> DataFrame:

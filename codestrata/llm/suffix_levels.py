@@ -110,7 +110,7 @@ def shared_runs(docs: DataFrame, text: str = "text", length: int = 200, gram: in
     """``__id, __key, start, n``: runs of windows of ``length`` bytes that also start elsewhere."""
     buckets = spans.buckets_for(docs, text, copied=1 + 2 * length / (length - gram + 2))
     pieces = spans.exchange(docs, text, False, length, gram, False, buckets)
-    return spans.solved(pieces, lambda p: shared(p, length, batches))
+    return spans.solved(pieces, lambda p: shared(p, length, batches), False, buckets)
 
 
 def without_shared(docs: DataFrame, text: str = "text", length: int = 200, batches: int = 4) -> DataFrame:
