@@ -103,6 +103,13 @@ def _whole(v: Column) -> Column:
     return v.isNotNull() & finite & F.exists(v, lambda x: x != 0)
 
 
+def scaled(name: str) -> Column:
+    """A vector over its largest component, so that no square of very small or very large ones is lost.  The component stands in a
+    struct beside the vector, as it would be searched again for every other one."""
+    both = f"array(struct({name} AS x, array_max(transform({name}, c -> abs(c))) AS most))"
+    return F.expr(f"transform({both}, s -> transform(s.x, c -> c / s.most))[0]")
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
@@ -200,6 +207,7 @@ def nearest(
     pair = kept.join(classes.select(F.col("id").alias("candidate"), "ids", "v"), "candidate")
     pair = pair.join(wanted.select(F.col("id").alias("query"), F.col("v").alias("w")), "query")
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    pair = pair.withColumns({"v": scaled("v"), "w": scaled("w")})
     score = dot(F.col("v"), F.col("w")) / (F.sqrt(dot(F.col("v"), F.col("v"))) * F.sqrt(dot(F.col("w"), F.col("w"))))
     scored = pair.select("query", F.explode("ids").alias("vec_id"), score.alias("score"))
     order = [F.desc("score"), F.asc("vec_id")]
