@@ -118,8 +118,8 @@ def encoder(path: str) -> WordEncoder:
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, size: int, sample_rows: int, sample_ids: int) -> bytes:
-    """A zstandard dictionary of at most ``size`` bytes.  Trained on about ``sample_rows`` documents,
-    spread by hash, and of each on one run of at most ``sample_ids`` ids: that bounds what the driver gets.
+    """A zstandard dictionary of at most ``size`` bytes.  Trained on about ``sample_rows`` different texts (twice as many at
+    most), spread by hash, and of each on one run of at most ``sample_ids`` ids: that bounds what the driver gets.
     Too small a corpus for training gives its ids as they are; an empty one an empty dictionary."""
     import zstandard
 
@@ -136,8 +136,10 @@ def train_dictionary(docs: DataFrame, tokenizer: str, size: int, sample_rows: in
                 out.append(ids[at : at + n])
             yield pa.RecordBatch.from_pydict({"ids": pa.array(out, pa.binary())})
 
+    # copies of a text are chosen together: one of them stays
+    chosen = docs.select("text", F.xxhash64("text").alias("hash")).where((F.length("text") > 0) & (F.pmod("hash", F.lit(step)) == 0))
     found = (
-        docs.select("text").where((F.length("text") > 0) & (F.pmod(F.xxhash64("text"), F.lit(step)) == 0))
+        chosen.groupBy("hash").agg(F.first("text").alias("text")).orderBy("hash").limit(2 * sample_rows).select("text")
         .mapInArrow(runs, "ids binary").toArrow().column("ids").to_pylist()
     )
     samples = sorted(found)
