@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from codestrata.functions.text import empty_strings, extract_all, starts_with_any
 
 # The import forms of each language; <w> and <s> are the word and space classes.
+# JS_STATIC and GO_BLOCK say what is found; JS_STATIC_SCAN and GO_BLOCK_SCAN find it in one pass.
 PYTHON_IMPORT = r"^import[<s>]+([<w>.]+)"
 PYTHON_FROM = r"^from[<s>]+([.<w>]+)[<s>]+import"
 JS_STATIC = (
@@ -21,6 +22,12 @@ JAVA_IMPORT = r"^import[<s>]+([<w>.]+)[<s>]*;"
 GO_SINGLE = r"""^import[<s>]+"([^"]+)\""""
 GO_BLOCK = r"import[<s>]*\(([^)]+)\)"
 GO_PATH = r'"([^"]+)"'
+GO_BLOCK_SCAN = r"import[<s>]*\((?:([^)]++)\)|[^)]*+)"
+JS_STATIC_SCAN = (
+    r"""(?:import|export)(?=[<s>])(?:(?:[<s>][<w><s>{},*]+[<s>]from[<s>]+"""
+    r"""|(?:[<w><s>{},*]*(?:import|export))?[<s>]+(?:['"][^'"]++['"][<s>]+from[<s>]+)?)"""
+    r"""['"]([^'"]++)['"]|[<w><s>{},*]*+)"""
+)
 RUST_USE = r"^use[<s>]+([<w>:]+)"
 RUST_MOD = r"^(?:pub[<s>]+)?mod[<s>]+([<w>]+)[<s>]*;"
 RUBY_REQUIRE = r"""require(?:_relative)?[<s>]+['"]([^'"]+)['"]"""
@@ -40,10 +47,19 @@ def raw_python(content: Column) -> Column:
     )
 
 
+def _found(content: Column, scan: str) -> Column:
+    """What a scan found.  It also matches, with an empty group, the stretches it has done with."""
+    return F.filter(extract_all(content, scan), lambda x: x != "")
+
+
 def raw_js(content: Column) -> Column:
+    """``JS_STATIC`` looks from every keyword for the next character that is no name, space or bracket.  All
+    keywords before that character look for the same one, so the scan takes the whole stretch
+    from its first keyword on: an import if it ends in ``from`` or a keyword and a quoted text follows, and else
+    nothing.  Either way the search goes on behind it."""
     return F.array_distinct(
         F.concat(
-            extract_all(content, JS_STATIC),
+            _found(content, JS_STATIC_SCAN),
             extract_all(content, JS_REQUIRE),
             extract_all(content, JS_DYNAMIC),
         )
@@ -55,7 +71,7 @@ def raw_java(content: Column) -> Column:
 
 
 def raw_go(content: Column) -> Column:
-    blocks = F.transform(extract_all(content, GO_BLOCK), lambda b: extract_all(b, GO_PATH))
+    blocks = F.transform(_found(content, GO_BLOCK_SCAN), lambda b: extract_all(b, GO_PATH))
     return F.array_distinct(F.concat(extract_all(content, GO_SINGLE), F.flatten(blocks)))
 
 
