@@ -17,6 +17,8 @@ from codestrata.functions.times import parse_commit_time
 CORRUPT = "_corrupt_line"
 #: commits of one page of a landed commit response; orders pages before positions
 PAGE_STRIDE = 1_000_000
+#: what ends a line of a landed log: all that the Unicode line rules name
+LINE_ENDS = r"\r\n|[\n-\r\x1c-\x1e\x85\u2028\u2029]"
 
 
 def _json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -185,7 +187,7 @@ def read_commit_log(spark: SparkSession, path: str) -> DataFrame:
     text of one file; a file's log is at most 50 lines long by how it is taken."""
     logs = read_json_lines(spark, path, S.COMMIT_LOG)
     return parse_commit_log(
-        logs.select(*S.FILE, F.posexplode(F.split("log", "\n")).alias("ordinal", "value"))
+        logs.select(*S.FILE, F.posexplode(F.split("log", LINE_ENDS)).alias("ordinal", "value"))
     )
 
 

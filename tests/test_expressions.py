@@ -1,16 +1,19 @@
 """Paths, hashes, times, import extraction and README structure on single values."""
 
+import datetime as dt
 import posixpath
 import random
 import re
+import time
 import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
+from codestrata.functions import imports
 from codestrata.functions import paths as P
 from codestrata.functions import times as D
-from codestrata.functions.text import SPACE, WORD, git_blob_sha, strip
+from codestrata.functions.text import SPACE, WORD, extract_all, git_blob_sha, strip
 from codestrata.plans.parse import readme_rows, with_content_metrics, with_imports
 from codestrata.sources.landing import branch_or_head, repo_id_from_remote
 
@@ -159,6 +162,25 @@ def test_times(spark):
     )
 
 
+def test_times_of_every_iso_form(spark):
+    """Dates, times and offsets in all their forms, against the standard library."""
+    dates = ["2024-02-29", "20240229", "2024-W09-4", "2024W094", "2020-W53-7", "2021-W01", "2021W01", "2024-W53-1", "2021-W00-1", "2023-02-29", "2024-060"]
+    times = ["00", "23:59", "2359", "23:59:58", "235958", "23:59:58.5", "23:59:58,25", "235958.000001", "24:00", "12:60", "1"]
+    offsets = ["Z", "+00:00", "+02", "-0530", "+05:30", "-02:00:30", "+020030", "", "+2", "+02:"]
+    cases = {}
+    for text in (f"{d}T{t}{o}" for d in dates for t in times for o in offsets):
+        try:
+            moment = dt.datetime.fromisoformat(text)
+        except ValueError:
+            moment = None
+        known = moment is not None and moment.tzinfo is not None
+        cases[text] = (moment - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1) if known else None
+    got = dict(zip(cases, each(spark, list(cases), lambda v: F.unix_micros(D.parse_commit_time(v)))))
+    assert {k: (got[k], v) for k, v in cases.items() if got[k] != v} == {}
+    shown = each(spark, ["2024-02-29T10:00:00+02", "2024-02-29T10:00-0330", "2024-W09-4T10Z"], lambda v: D.iso_text(D.parse_commit_time(v), v))
+    assert shown == ["2024-02-29T10:00:00+02:00", "2024-02-29T10:00:00-03:30", "2024-02-29T10:00:00+00:00"]
+
+
 def test_identity(spark):
     check(
         spark,
@@ -278,3 +300,36 @@ def test_readme(spark):
         s = got[f"d{i}/README.md"]
         assert (s.headers, s.has_installation, s.has_api_docs, s.has_examples) == want, text
         assert s.length_chars == len(text)
+
+
+def test_import_scans_find_what_their_patterns_find(spark):
+    """The one-pass scans against the plain patterns on random texts."""
+    rnd = random.Random(7)
+    words = ["import", "export", "import ", "export ", " from ", "from", " ", "\n", " ", "'", '"', "'x'", '"./y"', "a", "é", "{", "}", ",", "*", ";", "(", ")", "import(", "\t", "''"]
+    weights = [4, 2, 6, 3, 6, 1, 5, 2, 1, 3, 2, 5, 3, 3, 1, 1, 1, 1, 1, 2, 1, 2, 2, 1, 1]
+    texts = ["".join(rnd.choices(words, weights, k=rnd.randrange(1, 30))) for _ in range(20_000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    static = extract_all(F.col("t"), imports.JS_STATIC), imports._found(F.col("t"), imports.JS_STATIC_SCAN)
+    block = extract_all(F.col("t"), imports.GO_BLOCK), imports._found(F.col("t"), imports.GO_BLOCK_SCAN)
+    got = rows.select(*[c.alias(f"c{i}") for i, c in enumerate([*static, *block])]).collect()
+    assert [r for r in got if r.c0 != r.c1 or r.c2 != r.c3] == []
+    assert sum(bool(r.c0) for r in got) > 3_000 and sum(bool(r.c2) for r in got) > 1_000
+
+
+def test_import_scans_are_linear(spark):
+    """A megabyte of keywords without an end, in every language, takes no longer than reading it several times."""
+    n = 1 << 20
+    texts = {
+        "javascript": ["import a\n", "import a, {b} from\n", "export from from ", "import 'a' from\n", "require('a' ", "import('a' ", "import  \n"],
+        "go": ["import (", "import \"a\n", "import( \"a\" "], "python": ["import \n", "from a \n", "from . "], "rust": ["pub mod a ", "\nuse \nmod a"],
+        "java": ["import a \n"], "ruby": ["require_relative  "],
+    }
+    cases = [(language, t * (n // len(t))) for language, some in texts.items() for t in some] + [("javascript", "import a" + " " * n), ("javascript", "import 'a'" + " " * n + "from")]
+    spark.createDataFrame([("javascript", "import a from 'b'")], "l string, t string").select(imports.raw_imports(F.col("t"), F.col("l"))).collect()
+    for language, text in cases:
+        rows = spark.createDataFrame([(language, text)], "l string, t string").cache()
+        rows.count()
+        start = time.perf_counter()
+        rows.select(F.size(imports.raw_imports(F.col("t"), F.col("l")))).collect()
+        assert time.perf_counter() - start < 2, (language, text[:20])
+        rows.unpersist()
