@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from codestrata.functions import constants as C
 from codestrata.functions.paths import import_base, is_path_import
 from codestrata.functions.text import contains_any
-from codestrata.operators.skew import HOT_ROWS, INLINE_LIMIT, collect_bounded, join_hot, row_counts
+from codestrata.operators.skew import HOT_ROWS, PART_ROWS, collect_parts, join_hot, list_parts, row_counts
 from codestrata.schemas import FILE, KEY
 from codestrata.session import materialize
 
@@ -64,9 +64,14 @@ def dependents(edges: DataFrame) -> DataFrame:
     return edges.select(*KEY, F.col("target").alias("path"), F.col("path").alias("dependent"))
 
 
-def dependent_lists(edges: DataFrame, limit: int = INLINE_LIMIT) -> DataFrame:
-    """Per target the number of dependents and, up to ``limit`` of them, the sorted list."""
-    return collect_bounded(dependents(edges), FILE, "dependent", "dependents", limit)
+def dependent_lists(edges: DataFrame, size: int = PART_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """Per target the number of dependents and the sorted list of the first ``size``; and the further parts of longer lists."""
+    return collect_parts(dependents(edges), FILE, "dependent", "dependents", size)
+
+
+def dependent_parts(edges: DataFrame, size: int = PART_ROWS) -> DataFrame:
+    """All dependents of every target as sorted lists of at most ``size``, each with its first and last name."""
+    return list_parts(dependents(edges), FILE, "dependent", size)
 
 
 def dependent_counts(edges: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from codestrata.functions import constants as C
 from codestrata.functions import paths as P
-from codestrata.operators.skew import first_rows, join_hot
+from codestrata.operators.skew import first_rows, join_hot, join_listed
 from codestrata.operators.structure import tree_order
 from codestrata.schemas import FILE, KEY
+from codestrata.session import materialize
 
 
 def with_skip_reason(tree: DataFrame) -> DataFrame:
@@ -62,6 +63,43 @@ def changed_files(parent: DataFrame, head: DataFrame, on: list[str]) -> DataFram
     return both.select(*on, kind.alias("change"))
 
 
+def directory_digests(tree: DataFrame, on: list[str]) -> DataFrame:
+    """``level, directory, n, digest`` of every directory of every tree (``on`` without the path), the root being level 0: a sum over
+    the files below it that does not depend on their order.  To be stored with the tree, once for each commit."""
+    key = [c for c in on if c != "path"]
+    levels = F.concat(F.array(F.lit("")), P.ancestor_prefixes(F.col("path")))
+    file = lambda seed: F.xxhash64(F.lit(seed), "path", "sha")
+    rows = tree.select(*key, F.posexplode(levels).alias("level", "directory"), file(1).alias("a"), file(2).alias("b"))
+    digest = F.struct(F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
+    return rows.groupBy(*key, "level", "directory").agg(F.count(F.lit(1)).alias("n"), digest.alias("digest"))
+
+
+def changed_files_by_digest(
+    parent: DataFrame, head: DataFrame, on: list[str], parent_digests: DataFrame, head_digests: DataFrame
+) -> DataFrame:
+    """:func:`changed_files`, comparing only what lies in directories that changed.  The digests are met level by level from the root, and
+    where two are equal, nothing below is looked at: rows compared follow the change and not the tree."""
+    key = [c for c in on if c != "path"]
+    at = [*key, "directory"]
+    deepest = max((d.agg(F.max("level")).first()[0] or 0 for d in (parent_digests, head_digests)), default=0)
+    above, touched = None, None
+    for level in range(deepest + 1):
+        old, new = (
+            d.where(F.col("level") == level).select(*at, F.struct("n", "digest").alias(name)) for d, name in ((parent_digests, "_old"), (head_digests, "_new"))
+        )
+        if above is not None:
+            up = F.regexp_replace("directory", "[^/]+/$", "")
+            old, new = (d.withColumn("_up", up).join(above, [*[F.col(c).eqNullSafe(F.col(f"_a_{c}")) for c in key], F.col("_up") == F.col("_a_directory")], "left_semi").drop("_up") for d in (old, new))
+        differ = materialize(old.join(new, at, "full").where(~F.col("_old").eqNullSafe(F.col("_new"))).select(*at), f"differ_{level}")
+        touched = differ if touched is None else touched.unionByName(differ)
+        above = differ.select(*[F.col(c).alias(f"_a_{c}") for c in at])
+        if differ.isEmpty():
+            break
+    here = F.regexp_replace("path", "[^/]*$", "").alias("directory")
+    inside = lambda tree: join_listed(tree.select(*on, "sha", here), touched, at, "left_semi").drop("directory")
+    return changed_files(inside(parent), inside(head), on)
+
+
 def collection_mode(heads: DataFrame, collected: DataFrame, forced: bool = False) -> DataFrame:
     """``incremental`` for repositories with an earlier artifact, else ``full``.  A head without
     a parent (``parent_sha`` null, where the column exists) is ``full`` as well."""

@@ -12,19 +12,21 @@ from codestrata.operators import resolve as R
 from codestrata.operators import selection as L
 from codestrata.operators import structure as S
 from codestrata.operators import validate as V
-from codestrata.operators.skew import BROADCAST_ROWS, join_hot
+from codestrata.operators.skew import PART_ROWS, join_hot, join_listed
 from codestrata.plans import facts as B
 from codestrata.plans.parse import parse_contents
-from codestrata.schemas import FILE, KEY
+from codestrata.schemas import FILE, KEY, PARTS
 from codestrata.session import materialize
+from codestrata.sources.stored import only_named
 
 
 class Collection:
-    """Result tables of one collection.  The long tables are always whole; lists inside the
-    records are null only where a list is too long for one value.  Repository records
-    are put together when they are first asked for."""
+    """Result tables of one collection.  Lists inside the records hold up to ``part_rows`` entries; where a list is longer, its
+    length stands beside it and ``parts`` goes on with it.  Repository records are put together when they are
+    first asked for."""
 
-    def __init__(self, snapshots, tree, parsed, fetched, edges, records, skipped, as_of, mode, run_mode):
+    def __init__(self, snapshots, tree, parsed, fetched, edges, records, skipped, as_of, mode, run_mode, more, part_rows):
+        self._more, self._part_rows = more, part_rows
         self._snapshots, self._tree, self._parsed, self._fetched = snapshots, tree, parsed, fetched
         self._skipped, self._as_of, self._run_mode = skipped, as_of, run_mode
         self._emptied = None
@@ -58,14 +60,29 @@ class Collection:
         counts = S.skip_reason_counts(skipped)
         return materialize(B.repo_entries(self._tree, self.files, counts, self.errors), "entries")
 
+    @cached_property
+    def _lists(self) -> tuple[DataFrame, DataFrame | None]:
+        return B.repo_lists(self.entries, self._part_rows)
+
     @cached_property
     def repos(self) -> DataFrame:
         """Repository records."""
         record = B.repo_facts(
-            self._snapshots, self._tree, self._parsed, self.files, self.entries, self._as_of
+            self._snapshots, self._tree, self._parsed, self.files, self.entries, self._lists[0], self._as_of
         )
         return materialize(record, "repos")
 
+    @cached_property
+    def parts(self) -> DataFrame:
+        """(key, path, kind, part, first, last, n, items): the lists' entries behind those in the records, in sorted parts of at
+        most ``part_rows``, numbered from 1.  ``path`` is null for lists of the repository record."""
+        found = self.entries.sparkSession.createDataFrame([], PARTS)
+        if self._more is not None:
+            found = found.unionByName(B.more_dependents(self._more))
+        if self._lists[1] is not None:
+            found = found.unionByName(self._lists[1])
+        return found
+
     @cached_property
     def attempted(self) -> DataFrame:
         return self._fetched.groupBy(*KEY).agg(F.count(F.lit(1)).alias("files_attempted"))
@@ -94,18 +111,6 @@ def select_files(
     return L.cap_files(chosen, max_files), skipped
 
 
-def restrict_contents(
-    contents: DataFrame, wanted: DataFrame, limit: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Contents of the wanted files, without ever shuffling content: a short list of names is
-    sent to every task, and with a long one all contents are parsed where they lie (the narrow
-    rows are matched later in any case)."""
-    names = materialize(wanted.select(*FILE).distinct(), "wanted")
-    if names.count() > limit:
-        return contents
-    return contents.join(F.broadcast(names), FILE, "left_semi")
-
-
 def collect_snapshots(
     snapshots: DataFrame,
     tree: DataFrame,
@@ -115,19 +120,24 @@ def collect_snapshots(
     mode: str = "local",
     targets: DataFrame | None = None,
     max_files: int | None = None,
+    part_rows: int = PART_ROWS,
 ) -> Collection:
     """``mode='api'``: resolution among the fetched files, own package unknown, empty files
     fail validation.  ``mode='local'``: resolution over the whole tree, own package known,
     empty files are skipped, histories hold at most 50 commits.  With ``targets`` (changed names)
     only those files are collected, in the context of the whole tree.  ``snapshots`` may carry
-    the ``mode`` to note on each run."""
+    the ``mode`` to note on each run.  ``tree``, ``contents`` and ``commits`` may be stored by bucket (see
+    :mod:`codestrata.sources.stored`): then only the buckets of wanted files are read."""
     if targets is not None:
-        readmes = S.first_readme(tree).withColumnRenamed("readme_path", "path")
-        wanted = targets.select(*FILE).unionByName(readmes.select(*FILE))
-        contents = restrict_contents(contents, wanted)
-    # content is read once, without a shuffle; everything below uses the narrow rows
-    parsed = materialize(parse_contents(contents), "parsed")
+        # the trees of the snapshots with a target only
+        tree = join_listed(tree, materialize(targets.select(*KEY).distinct(), "touched"), KEY, "left_semi")
+    # select first: contents of files that are skipped, capped or not changed are not parsed
     selected, skipped = select_files(tree, targets, max_files)
+    selected = materialize(selected.select(*FILE, "sha", "size"), "selected")
+    readmes = S.first_readme(tree).withColumnRenamed("readme_path", "path")
+    wanted = materialize(selected.select(*FILE).unionByName(readmes.select(*FILE)), "wanted")
+    # content is read once, without a shuffle; everything below uses the narrow rows
+    parsed = materialize(parse_contents(only_named(contents, wanted)), "parsed")
     fetched = materialize(B.classified(B.fetch(selected, parsed), tree, mode), "fetched")
     scope = R.resolution_scope(tree, fetched, mode)
     edges = materialize(R.resolve_imports(fetched, scope), "edges")
@@ -135,14 +145,15 @@ def collect_snapshots(
     newest = C.LOG_COMMITS_PER_FILE if mode == "local" else None
     if targets is not None:
         # few files: drop the other histories first (a full run joins only the aggregates)
-        commits = join_hot(commits, fetched.select(*FILE), FILE, "left_semi")
+        commits = join_hot(only_named(commits, wanted), selected.select(*FILE), FILE, "left_semi")
     horizon = H.commit_horizon(commits, as_of, newest=newest)
     activity = materialize(H.author_activity(horizon, as_of), "activity")
     history = H.file_history(activity, as_of)
-    records = materialize(B.file_facts(fetched, edges, history, as_of), "records")
+    dependents, more = R.dependent_lists(edges, part_rows)
+    records = materialize(B.file_facts(fetched, edges, dependents, history, as_of), "records")
     run_mode = "full" if targets is None else "incremental"
     return Collection(
-        snapshots, tree, parsed, fetched, edges, records, skipped, as_of, mode, run_mode
+        snapshots, tree, parsed, fetched, edges, records, skipped, as_of, mode, run_mode, more, part_rows
     )
 
 

@@ -11,21 +11,20 @@ from codestrata.operators import history as H
 from codestrata.operators import resolve as R
 from codestrata.operators import structure as S
 from codestrata.operators import validate as V
-from codestrata.operators.skew import collect_bounded, first_rows, join_hot, row_counts
+from codestrata.operators.skew import PART_ROWS, collect_parts, first_rows, join_listed
 from codestrata.schemas import FILE, KEY
+from codestrata.session import materialize
 
 
 def classified(fetched: DataFrame, tree: DataFrame, mode: str) -> DataFrame:
     """Adds ``internal`` and ``external``.  In ``local`` mode absolute imports of the
     repository's own package are internal; only Python rows need to know that package."""
-    own = F.lit(None).cast("string")
     if mode == "local":
-        # tree rows per repository are at least as many: no need to count the joined rows
-        counts = row_counts(tree, KEY)
-        fetched = join_hot(fetched, S.top_level_package(tree), KEY, "left", counts)
-        own = F.col("package")
+        # one short row a snapshot: files stay where they are while those are few
+        packages = materialize(S.top_level_package(tree), "packages")
+        fetched = join_listed(fetched, packages, KEY, "left")
     else:
-        fetched = fetched.withColumn("package", own)
+        fetched = fetched.withColumn("package", F.lit(None).cast("string"))
     parts = classify(F.col("imports_raw"), F.col("language"), F.col("package"))
     return fetched.withColumn("_c", parts).select(
         *[c for c in fetched.columns if c != "package"],
@@ -53,19 +52,19 @@ def fetch(selected: DataFrame, parsed: DataFrame) -> DataFrame:
 
 
 def file_facts(
-    fetched: DataFrame, edges: DataFrame, history: DataFrame, as_of: Column
+    fetched: DataFrame, edges: DataFrame, dependents: DataFrame, history: DataFrame, as_of: Column
 ) -> DataFrame:
     """The file record without its content (see :func:`with_content`), plus ``n_dependents``,
     ``content_bytes``, the source text of the latest commit time, and the first commit time that
     could not be read.
 
-    ``fetched`` carries ``internal``/``external``; ``edges`` come from the resolution;
-    ``history`` from :func:`codestrata.operators.history.file_history`.  All joins are on the
-    file, so no repository is a hot key."""
+    ``fetched`` carries ``internal``/``external``; ``edges`` come from the resolution, ``dependents`` from
+    :func:`codestrata.operators.resolve.dependent_lists`, ``history`` from
+    :func:`codestrata.operators.history.file_history`.  All joins are on the file, so no repository is a hot key."""
     joined = (
         R.attach_resolution(fetched, edges)
         .join(history, FILE, "left")
-        .join(R.dependent_lists(edges), FILE, "left")
+        .join(dependents, FILE, "left")
     )
     path = F.col("path")
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
@@ -87,7 +86,7 @@ def file_facts(
         "imports_internal",
         F.array_sort(F.array_distinct("external")).alias("imports_external"),
         "imports_unresolved",
-        F.when(n_dependents == 0, empty_strings()).otherwise(F.col("dependents")).alias("dependents"),
+        F.coalesce("dependents", empty_strings()).alias("dependents"),
         n_dependents.cast("bigint").alias("n_dependents"),
         text("most_recent_commit_sha"),
         "most_recent_commit_timestamp",
@@ -181,9 +180,13 @@ ENTRY_LISTS = [
 ENTRY_MAPS = ["language_distribution", "directory_structure", "skip_reasons"]
 
 
-def repo_lists(entries: DataFrame) -> DataFrame:
-    """Long entries -> one row per snapshot with every list and map, and their lengths."""
-    lists = collect_bounded(entries, [*KEY, "kind"], "entry", "entries")
+PART_COLUMNS = [*KEY, "path", "kind", "part", "first", "last", "n", "items"]
+
+
+def repo_lists(entries: DataFrame, size: int = PART_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """Long entries -> one row per snapshot with the lengths of all lists and maps and their first ``size`` entries; and
+    the further parts of longer ones, as :func:`more_entries`."""
+    lists, more = collect_parts(entries, [*KEY, "kind"], "entry", "entries", size)
     pick = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
     one_row = lists.groupBy(*KEY).agg(
         *[pick(k, "n_entries").alias(f"n_{k}") for k in ENTRY_LISTS + ENTRY_MAPS],
@@ -194,12 +197,28 @@ def repo_lists(entries: DataFrame) -> DataFrame:
     pairs = lambda k: F.map_from_entries(
         F.transform(k, lambda e: F.struct(e["value"], e["n"]))
     )
-    return one_row.select(
+    record = one_row.select(
         *KEY,
         *[f"n_{k}" for k in ENTRY_LISTS + ENTRY_MAPS],
         *[values(k).alias(k) for k in ENTRY_LISTS],
         *[pairs(k).alias(k) for k in ENTRY_MAPS],
     )
+    return record, None if more is None else more_entries(more)
+
+
+def more_entries(parts: DataFrame) -> DataFrame:
+    """Parts of repository lists as rows of the table of parts."""
+    items = F.transform("items", lambda e: F.struct(e["value"].alias("value"), e["n"].alias("n")))
+    return parts.select(
+        *KEY, F.lit(None).cast("string").alias("path"), "kind", "part", F.col("first.value").alias("first"),
+        F.col("last.value").alias("last"), "n", items.alias("items"),
+    )
+
+
+def more_dependents(parts: DataFrame) -> DataFrame:
+    """Parts of dependents' lists as rows of the table of parts."""
+    items = F.transform("items", lambda v: F.struct(v.alias("value"), F.lit(0).cast("bigint").alias("n")))
+    return parts.select(*KEY, "path", F.lit("dependents").alias("kind"), "part", "first", "last", "n", items.alias("items"))
 
 
 def repo_facts(
@@ -208,12 +227,13 @@ def repo_facts(
     parsed: DataFrame,
     files: DataFrame,
     entries: DataFrame,
+    lists: DataFrame,
     as_of: Column,
 ) -> DataFrame:
     """The repository record plus the true lengths ``n_*`` of its open-ended lists.
 
-    ``files`` are valid file records, ``entries`` come from :func:`repo_entries`.  Each part
-    is aggregated to one row per snapshot before it is joined."""
+    ``files`` are valid file records, ``entries`` come from :func:`repo_entries`, ``lists`` from :func:`repo_lists`.  Each
+    part is aggregated to one row per snapshot before it is joined."""
     file_totals = files.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("files_collected"),
         F.max("relative_depth").alias("max_directory_depth"),
@@ -234,13 +254,11 @@ def repo_facts(
         .join(readmes, [*KEY, "readme_path"], "left")
         .join(file_totals, KEY, "left")
         .join(skip_totals, KEY, "left")
-        .join(repo_lists(entries), KEY, "left")
+        .join(lists, KEY, "left")
     )
     number = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    # no entries: empty; entries but no value: too long for one value, see the long table
-    whole = lambda c, empty: F.when(F.col(f"n_{c}").isNull(), empty).otherwise(F.col(c)).alias(c)
-    listed = lambda c: whole(c, empty_strings())
-    mapped = lambda c: whole(c, F.create_map().cast("map<string,bigint>"))
+    listed = lambda c: F.coalesce(F.col(c), empty_strings()).alias(c)
+    mapped = lambda c: F.coalesce(F.col(c), F.create_map().cast("map<string,bigint>")).alias(c)
     record = joined.select(
         *KEY,
         "branch",

@@ -68,3 +68,9 @@ REPO_RECORD = struct(
     files_collected=LONG, files_skipped=LONG, skip_reasons=COUNTS, collection_errors=TEXTS,
     determined_by=TEXTS,
 )
+
+#: lists that are longer than a record holds, in parts
+PARTS = struct(
+    repo_id=TEXT, commit_sha=TEXT, path=TEXT, kind=TEXT, part=INT, first=TEXT, last=TEXT, n=LONG,
+    items=T.ArrayType(struct(value=TEXT, n=LONG)),
+)

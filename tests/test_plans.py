@@ -90,12 +90,13 @@ def test_each_step_of_a_collection(spark, monkeypatch):
     )
     assert result.repos.count() == 20
     assert set(steps) == {
-        "parsed", "fetched", "requests", "bases", "edges", "activity", "records", "entries", "repos"
+        "selected", "wanted", "parsed", "fetched", "requests", "bases", "edges", "activity", "records", "entries", "repos"
     }
     for name, plan in steps.items():
         assert [f for f in FORBIDDEN if f in plan] == [], name
         for columns in shuffled_columns(plan):
             assert not re.search(r"\b(text|content|raw_content)#", columns), (name, columns)
-    assert "Exchange" not in steps["parsed"]
+    # only the names' bits are summed and sent around beside the texts
+    assert "BroadcastHashJoin" in steps["parsed"] and "SortMergeJoin" not in steps["parsed"]
     # after the parse nobody reads the texts again
     assert all("text:string" not in p for n, p in steps.items() if n != "parsed")

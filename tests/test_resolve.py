@@ -1,8 +1,11 @@
 """Import resolution and dependents on small trees."""
 
+import random
+
 import pytest
 
 from codestrata.operators import resolve as R
+from codestrata.operators import selection
 
 TREE = [
     "lib/router.js", "lib/middleware/auth.js", "lib/middleware/logger.js", "lib/utils/index.js",
@@ -82,8 +85,9 @@ def test_file_lists(spark):
     misses = R.unresolved_imports(files, edges).orderBy("pos").collect()
     assert [(m.pos, getattr(m, "import")) for m in misses] == [(1, "./no"), (3, "./no")]
     # a file that imports itself is its own dependent; two spellings count twice
-    lists = {r.path: (r.n_dependents, r.dependents) for r in R.dependent_lists(edges).collect()}
-    assert lists == {"app.js": (1, ["app.js"]), "index.js": (2, ["app.js", "app.js"])}
+    lists, more = R.dependent_lists(edges)
+    lists = {r.path: (r.n_dependents, r.dependents) for r in lists.collect()}
+    assert more is None and lists == {"app.js": (1, ["app.js"]), "index.js": (2, ["app.js", "app.js"])}
 
 
 def test_no_imports(spark):
@@ -95,3 +99,36 @@ def test_scope(spark):
     tree, fetched = tree_df(spark, TREE), files_df(spark, [("app.js", ["./index"])])
     assert R.resolution_scope(tree, fetched, "local").count() == len(TREE)
     assert [r.path for r in R.resolution_scope(tree, fetched, "api").collect()] == ["app.js"]
+
+
+def test_changed_files_by_digest(spark, monkeypatch):
+    """Random pairs of trees: the rows of the plain comparison, from few of their rows."""
+    rnd = random.Random(9)
+    on, schema = ["repo_id", "path"], "repo_id string, path string, sha string"
+    parent = {(f"o/r{i % 3}", f"d{i % 7}/e{i % 11}/f{i}"): "s" for i in range(2_000)} | {("o/r0", "top"): "s"}
+    for n in (0, 1, 5):
+        head = dict(parent)
+        for name in rnd.sample(sorted(parent, key=str), n):
+            if rnd.random() < 0.4:
+                del head[name]
+            else:
+                head[name] = "t"
+        head |= {("o/r1", f"new{i}/g/h"): "u" for i in range(n)}
+        old, new = (spark.createDataFrame([(*k, s) for k, s in t.items()], schema) for t in (parent, head))
+        digests = [selection.directory_digests(t, on) for t in (old, new)]
+        looked = []
+        plain = selection.changed_files
+        monkeypatch.setattr(selection, "changed_files", lambda a, b, on: looked.append(a.count() + b.count()) or plain(a, b, on))
+        got = selection.changed_files_by_digest(old, new, on, *digests)
+        monkeypatch.undo()
+        assert sorted(map(str, got.collect())) == sorted(map(str, plain(old, new, on).collect()))
+        assert looked[0] <= n * 80
+
+
+def test_changed_files_by_digest_of_whole_trees(spark):
+    on, schema = ["repo_id", "path"], "repo_id string, path string, sha string"
+    some, none = spark.createDataFrame([("o/r", "a/b", "s"), ("o/r", "c", "s")], schema), spark.createDataFrame([], schema)
+    digests = {id(t): selection.directory_digests(t, on) for t in (some, none)}
+    for old, new, change in ((none, some, "added"), (some, none, "deleted")):
+        got = selection.changed_files_by_digest(old, new, on, digests[id(old)], digests[id(new)]).collect()
+        assert sorted((r.path, r.change) for r in got) == [("a/b", change), ("c", change)]
