@@ -32,9 +32,19 @@ def _as_text(schema) -> str:
     )
 
 
-def parse_record_json(rows: DataFrame, schema, column: str = "json") -> DataFrame:
-    """JSON texts -> typed records; times re-parsed, null times kept."""
-    parsed = rows.select(F.from_json(column, _as_text(schema), {"mode": "FAILFAST"}).alias("r"))
+def whole_json(text: Column, schema) -> Column:
+    """``text``, or an error if its keys are not exactly the fields of ``schema``."""
+    names = sorted(schema.fieldNames())
+    keys = F.array_sort(F.json_object_keys(text))
+    wrong = F.concat(F.lit("not the keys of the record: "), F.coalesce(F.array_join(keys, " "), F.lit("no object")))
+    return F.when(keys == F.array(*map(F.lit, names)), text).otherwise(F.raise_error(wrong).cast("string"))
+
+
+def parse_record_json(rows: DataFrame, schema, column: str = "json", strict: bool = False) -> DataFrame:
+    """JSON texts -> typed records; times re-parsed, null times kept.  ``strict`` refuses a text that lacks
+    a field or has another one."""
+    text = whole_json(F.col(column), schema) if strict else F.col(column)
+    parsed = rows.select(F.from_json(text, _as_text(schema), {"mode": "FAILFAST"}).alias("r"))
     return parsed.select(
         *[
             (
@@ -61,9 +71,13 @@ def write_json_artifacts(records: DataFrame, schema, path: str) -> None:
     )
 
 
-def read_json_artifacts(spark: SparkSession, path: str, schema) -> DataFrame:
-    lines = spark.read.schema("value string, repo_id string, commit_sha string").text(path)
-    return parse_record_json(lines, schema, "value")
+def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``value, repo_id, commit_sha``: the texts of :func:`write_json_artifacts`."""
+    return spark.read.schema("value string, repo_id string, commit_sha string").text(path)
+
+
+def read_json_artifacts(spark: SparkSession, path: str, schema, strict: bool = False) -> DataFrame:
+    return parse_record_json(read_json_lines(spark, path), schema, "value", strict)
 
 
 def load_run(records: DataFrame, repo_id: str, commit_sha: str) -> DataFrame:

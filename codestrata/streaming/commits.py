@@ -3,11 +3,12 @@
 Each trigger names a commit and its parent.  A micro-batch turns all its triggers into one set of
 target files and runs one collection over them.  Results are written under the batch's own
 partition, so a replayed batch overwrites itself; a commit that an earlier batch has
-collected is left out."""
+collected is left out.  If the collection fails, the batch's repositories are halved until those that fail stand alone: they
+are set aside with their error, and the others are collected."""
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +21,8 @@ from codestrata.operators.skew import join_listed
 from codestrata.plans.collection import Collection, collect_snapshots
 from codestrata.schemas import FILE, KEY
 from codestrata.session import materialize
+from codestrata.sources.stored import pruned
+from codestrata.streaming.newest import files_view, repos_view
 
 REPO_BUCKETS = 64
 FILE_BUCKETS = 16
@@ -79,6 +82,16 @@ def targets_of(heads: DataFrame, tree: DataFrame) -> tuple[DataFrame, DataFrame]
     return head_tree, head_tree.where("mode = 'full'").select(*FILE).unionByName(touched)
 
 
+def one_each(triggers: DataFrame) -> DataFrame:
+    """One trigger for each commit: of several the earliest, then the smallest parent and branch.  The same
+    one whenever a batch is played."""
+    others = [c for c in ("committed_at", "parent_sha", "branch") if c in triggers.columns]
+    rest = [c for c in triggers.columns if c not in KEY]
+    order = F.struct(*[F.col(c) for c in others], *[F.col(c) for c in rest if c not in others])
+    first = triggers.groupBy(*KEY).agg(F.min_by(F.struct(*rest), order).alias("_t"))
+    return first.select(*[F.col(c) if c in KEY else F.col(f"_t.{c}").alias(c) for c in triggers.columns])
+
+
 def collect_batch(
     triggers: DataFrame,
     tables: Tables,
@@ -87,11 +100,11 @@ def collect_batch(
     force_full: bool = False,
 ) -> Collection | None:
     """One collection over all commits of a batch, or None if no source file changed."""
-    heads = triggers.dropDuplicates(KEY)
+    heads = one_each(triggers)
     if earlier_runs is not None:
         heads = heads.join(earlier_runs.select(*KEY), KEY, "left_anti")
     heads = materialize(with_mode(heads, earlier_runs, force_full), "heads")
-    head_tree, targets = targets_of(heads, tables.tree)
+    head_tree, targets = targets_of(heads, pruned(tables.tree, heads))
     targets = materialize(targets, "targets")
     busy = heads.join(targets.select(*KEY).distinct(), KEY, "left_semi")
     newest = busy.agg(F.unix_micros(F.max("committed_at"))).first()[0]
@@ -104,13 +117,46 @@ def collect_batch(
     )
 
 
+#: what a batch stores of a collection; the run table goes last
+STORED = ["files", "repos", "edges", "entries", "errors", "rejects", "parts", "runs"]
+
+
+def collect_apart(
+    triggers: DataFrame, tables: Tables, earlier_runs: DataFrame | None, as_of: Column | None, force_full: bool
+) -> tuple[list[dict[str, DataFrame]], list[tuple[DataFrame, str]]]:
+    """Tables of the collections of a batch, written aside, and the triggers of the repositories that fail, with their error.
+    ``triggers`` is a stored table.  All in one collection if that works; else each half of the repositories, and so on: a few
+    that fail cost some collections each, however many others there are."""
+    try:
+        result = collect_batch(triggers, tables, earlier_runs, as_of, force_full)
+        if result is None:
+            return [], []
+        return [{name: materialize(getattr(result, name), name) for name in STORED}], []
+    except PySparkException as e:
+        names = triggers.select(F.xxhash64("repo_id").alias("h")).distinct()
+        middle, n = names.agg(F.percentile("h", 0.5), F.count(F.lit(1))).first()
+        if n < 2:
+            return [], [(triggers, str(e).split("JVM stacktrace")[0][:2000])]
+        parts = [triggers.where(F.xxhash64("repo_id") <= F.lit(middle)), triggers.where(F.xxhash64("repo_id") > F.lit(middle))]
+        halves = [collect_apart(p, tables, earlier_runs, as_of, force_full) for p in parts]
+        return sum([h[0] for h in halves], []), sum([h[1] for h in halves], [])
+
+
+def set_aside(triggers: DataFrame, error: str) -> DataFrame:
+    return triggers.withColumn("error", F.lit(error))
+
+
 def store_batch(result: Collection, heads: DataFrame, path: str, batch_id: int) -> None:
     """Writes the batch's partition of every table; records carry ``run_at``, the commit time."""
-    run_at = materialize(
-        heads.select(*KEY, F.col("committed_at").alias("run_at")).dropDuplicates(KEY), "run_at"
-    )
-    tables = {"files": result.files, "repos": result.repos, "edges": result.edges, "runs": result.runs}
-    for name, table in tables.items():
+    store_tables([{name: getattr(result, name) for name in STORED}], heads, path, batch_id)
+
+
+def store_tables(found: list[dict[str, DataFrame]], heads: DataFrame, path: str, batch_id: int) -> None:
+    run_at = materialize(one_each(heads).select(*KEY, F.col("committed_at").alias("run_at")), "run_at")
+    for name in STORED:
+        table = found[0][name]
+        for other in found[1:]:
+            table = table.unionByName(other[name])
         write_batch(join_listed(table, run_at, KEY, "left"), f"{path}/{name}", batch_id)
 
 
@@ -133,10 +179,12 @@ def start_collection_stream(
     latest_path: str | None = None,
     available_now: bool = True,
     force_full: bool = False,
+    view_path: str | None = None,
 ) -> StreamingQuery:
-    """Collects each arriving commit into the tables under ``path``; with ``latest_path``
-    the newest record of every file is kept there as well.  ``force_full`` collects whole trees
-    whatever changed."""
+    """Collects each arriving commit into the tables under ``path``; with ``latest_path`` the newest record of every file
+    is kept there as a table of its own, with ``view_path`` as a view that a batch adds only its change to (see
+    :mod:`codestrata.streaming.newest`), beside the newest repository records.  ``force_full`` collects whole trees whatever changed.
+    Triggers of repositories that fail are in ``set_aside``; landed again, they are tried again."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -147,14 +195,24 @@ def start_collection_stream(
         usable, unusable = L.split_heads(batch)
         if not unusable.isEmpty():  # a trigger without a commit stops nobody else's
             write_batch(unusable, f"{path}/rejected_triggers", batch_id)
-        result = collect_batch(usable, tables, done, as_of, force_full)
-        if result is None:
+        # a commit that stands here and not in the runs is under way, or was stopped
+        write_batch(one_each(usable).withColumn("status", F.lit("running")), f"{path}/started", batch_id)
+        found, failed = collect_apart(materialize(usable, "usable"), tables, done, as_of, force_full)
+        if failed:
+            rows = [set_aside(*f) for f in failed]
+            for other in rows[1:]:
+                rows[0] = rows[0].unionByName(other)
+            write_batch(rows[0], f"{path}/set_aside", batch_id)
+        if not found:
             return
         # the run table goes last: a run that stands there has all its records
-        store_batch(result, usable, path, batch_id)
+        store_tables(found, usable, path, batch_id)
+        written = lambda name: spark.read.parquet(f"{path}/{name}").where(F.col("batch_id") == batch_id).drop("batch_id")
         if latest_path is not None:
-            written = spark.read.parquet(f"{path}/files").where(F.col("batch_id") == batch_id)
-            upsert_latest(written.drop("batch_id"), latest_path)
+            upsert_latest(written("files"), latest_path)
+        if view_path is not None:
+            files_view(spark, view_path).append(written("files"), batch_id)
+            repos_view(spark, view_path).append(written("repos"), batch_id)
 
     writer = triggers.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -1,16 +1,23 @@
 """Whole collections on a small hand-made repository: both modes, incremental runs, streams."""
 
 import datetime as dt
+import functools
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from codestrata import schemas as S
 from codestrata.functions.times import instant
+from codestrata.operators import structure
 from codestrata.operators import validate as V
 from codestrata.operators.latest import latest_artifact_per_file, repo_dependents
 from codestrata.plans import collection as C
+from codestrata.session import materialize
+from codestrata.sources import stored
+from codestrata.sources.stored import only_named
 from codestrata.streaming import commits as T
+from codestrata.streaming import newest
 
 AS_OF = "2024-03-01T00:00:00Z"
 
@@ -185,11 +192,74 @@ def test_incremental(spark):
 
 def test_contents_are_restricted_without_a_shuffle(spark):
     _, _, contents, _ = tables(spark)
-    wanted = contents.where("path like 'lib/%'")
-    few = C.restrict_contents(contents, wanted)
-    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
-    assert few.count() == 2
-    assert C.restrict_contents(contents, wanted, limit=1) is contents
+    wanted = contents.where("path like 'lib/%'").select(*S.FILE)
+    few = only_named(contents, wanted)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert few.columns == contents.columns and sorted(map(str, few.collect())) == sorted(map(str, contents.where("path like 'lib/%'").collect()))
+
+
+def test_many_names_let_more_rows_pass_but_lose_none(spark, monkeypatch):
+    monkeypatch.setattr(stored, "NAME_BITS", 64)
+    rows = spark.range(2000).selectExpr("'o/r' as repo_id", "'c' as commit_sha", "concat('f', id) as path")
+    wanted = rows.where("substring(path, 2) % 100 = 3")
+    passed = only_named(rows, wanted)
+    assert wanted.join(passed, S.FILE, "left_anti").count() == 0 and 20 <= passed.count() < 2000
+
+
+def test_stored_contents_are_read_by_bucket(spark, tmp_path):
+    heads, tree, contents, commits = tables(spark)
+    stored.save_by_bucket(contents, f"{tmp_path}/contents", buckets=64)
+    stored.save_by_bucket(tree, f"{tmp_path}/tree", stored.REPO_NAME, 16)
+    kept = stored.read_by_bucket(spark, f"{tmp_path}/contents")
+    wanted = contents.where("path in ('pkg/util.py', 'lib/a.js')").select(*S.FILE)
+    few = only_named(kept, wanted)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    buckets = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan, re.S).group(1)
+    numbers = {r[0] for r in wanted.select(stored.bucket_of(stored.FILE_NAME, 64)).distinct().collect()}
+    assert len(numbers) == 2 and all(str(n) in buckets for n in numbers)
+    read = {r[0] for r in stored.pruned(kept, wanted).select(F.input_file_name()).collect()}
+    assert {int(re.search(r"bucket_of_64_repo_id_path=(\d+)", f).group(1)) for f in read} == numbers
+    assert sorted(r.path for r in few.collect()) == ["lib/a.js", "pkg/util.py"]
+    # a collection over stored tables gives the records of one over the plain ones
+    names = ["pkg/util.py", "gone.py", "README.md", "lib/a.js"]
+    changed = spark.createDataFrame([("o/r", "c1", p) for p in names], "repo_id string, commit_sha string, path string")
+    plain = C.incremental_collection(heads, tree, contents, commits, changed, instant(AS_OF))
+    other = C.incremental_collection(heads, stored.read_by_bucket(spark, f"{tmp_path}/tree").drop("bucket_of_16_repo_id"), kept, commits, changed, instant(AS_OF))
+    for name in ("files", "repos", "runs"):
+        assert sorted(map(str, getattr(plain, name).collect())) == sorted(map(str, getattr(other, name).collect())), name
+
+
+def test_selection_comes_before_the_parse(spark, monkeypatch):
+    """One file wanted: one text is parsed beside the README, and no file that is too large or skipped."""
+    parsed = {}
+    monkeypatch.setattr(C, "materialize", lambda df, name: parsed.setdefault(name, materialize(df, name)))
+    heads, tree, contents, commits = tables(spark)
+    result = C.full_collection(heads, tree, contents, commits, instant(AS_OF), "api", max_files=1)
+    assert result.files.count() == 1
+    assert sorted(r.path for r in parsed["parsed"].collect()) == sorted({result.files.first().file_path, structure.first_readme(tree).first().readme_path})
+
+
+def test_long_lists_go_on_in_parts(spark):
+    """With two entries a record every list beyond them is in the table of parts, in order and whole."""
+    heads, tree, contents, commits = tables(spark)
+    whole = C.full_collection(heads, tree, contents, commits, instant(AS_OF), "api")
+    cut = C.collect_snapshots(heads, tree, contents, commits, instant(AS_OF), "api", part_rows=2)
+    assert whole.parts.count() == 0
+    more = {}
+    for r in cut.parts.orderBy("part").collect():
+        assert r.n == len(r["items"]) <= 2 and (r["first"], r["last"]) == (r["items"][0].value, r["items"][-1].value)
+        more.setdefault((r.path, r.kind), []).extend(r["items"])
+    assert more
+    a, b = whole.repos.first().asDict(), cut.repos.first().asDict()
+    for kind in ("test_directories", "entry_point_candidates", "collection_errors", "most_active_files", "largest_files"):
+        assert b[kind] is not None and len(b[kind]) <= 2 and a[kind] == b[kind] + [x.value for x in more.get((None, kind), [])]
+    for kind in ("language_distribution", "directory_structure", "skip_reasons"):
+        assert len(b[kind]) <= 2 and a[kind] == b[kind] | {x.value: x.n for x in more.get((None, kind), [])}
+    one, two = by_path(whole.files), by_path(cut.files)
+    for path, r in one.items():
+        assert r.dependents == two[path].dependents + [x.value for x in more.get((path, "dependents"), [])]
+        assert r.n_dependents == two[path].n_dependents
 
 
 # stream -------------------------------------------------------------------------------------
@@ -253,6 +323,55 @@ def test_stream(spark, tmp_path):
     assert spark.read.parquet(f"{base}/latest").count() == len(latest)
 
 
+def test_a_failing_repository_is_set_aside(spark, tmp_path, monkeypatch):
+    """Four repositories in a batch, two of them with a text that cannot be parsed: the others are collected, and
+    a replay gives the same."""
+    repos = ["o/a", "o/b", "o/c", "o/d"]
+    parts = [tables(spark, {"a.py": "import os\nimport a\n", "README.md": "# x\n"}, f"c{i}", r) for i, r in enumerate(repos)]
+    tree, contents, commits = (functools.reduce(lambda x, y: x.unionByName(y), (p[i] for p in parts)) for i in (1, 2, 3))
+    parse = C.parse_contents
+
+    def stumbling(rows):
+        broken = F.when(F.col("repo_id").isin("o/b", "o/d"), F.raise_error(F.lit("unreadable"))).otherwise(F.col("content"))
+        return parse(rows.withColumn("content", broken.cast("string")))
+
+    monkeypatch.setattr(C, "parse_contents", stumbling)
+    landed = T.Tables(tree, contents, commits)
+    base = str(tmp_path)
+    land(spark, f"{base}/in", [(r, "main", f"c{i}", None, dt.datetime(2024, 3, 1)) for i, r in enumerate(repos)])
+
+    def run(check):
+        T.start_collection_stream(T.read_triggers(spark, f"{base}/in"), landed, f"{base}/out", f"{base}/{check}", as_of=instant(AS_OF), view_path=f"{base}/view").awaitTermination()
+        found = {name: T.read_or_none(spark, f"{base}/out/{name}") for name in (*T.STORED, "set_aside", "started")}
+        return {name: sorted(map(str, df.collect())) for name, df in found.items() if df is not None}
+
+    first = run("check")
+    read = lambda name: spark.read.parquet(f"{base}/out/{name}")
+    assert {r.repo_id for r in read("runs").collect()} == {"o/a", "o/c"}
+    aside = {r.repo_id: r.error for r in read("set_aside").collect()}
+    assert set(aside) == {"o/b", "o/d"} and all("unreadable" in e for e in aside.values())
+    # commits that were started and did not end: those set aside
+    open_ = read("started").join(read("runs").select("repo_id"), "repo_id", "left_anti")
+    assert {(r.repo_id, r.status) for r in open_.collect()} == {("o/b", "running"), ("o/d", "running")}
+    assert run("check-again") == first  # the same batch once more
+    view = newest.files_view(spark, f"{base}/view").read()
+    assert {(r.repo_id, r.file_path) for r in view.collect()} == {("o/a", "a.py"), ("o/c", "a.py")}
+    assert newest.repos_view(spark, f"{base}/view").read().count() == 2
+    # mended and landed again, they are collected
+    land(spark, f"{base}/in", [(r, "main", f"c{i}", None, dt.datetime(2024, 3, 1)) for i, r in enumerate(repos)])
+    monkeypatch.undo()
+    run("check-again")
+    assert {r.repo_id for r in read("runs").collect()} == set(repos)
+    assert newest.files_view(spark, f"{base}/view").read().count() == 4
+
+
+def test_of_two_triggers_of_a_commit_always_the_same_counts(spark):
+    rows = [("o/r", "main", "c", "p2", dt.datetime(2024, 3, 2)), ("o/r", "main", "c", "p1", dt.datetime(2024, 3, 1)), ("o/r", "x", "c", None, None)]
+    for order in (rows, rows[::-1]):
+        got = T.one_each(spark.createDataFrame(order, S.COMMIT_TRIGGER)).collect()
+        assert len(got) == 1 and got[0].branch == "x"
+
+
 def test_stream_result_equals_batch(spark):
     """One stream over a repository's first commit gives what the batch collection gives."""
     heads, tree, contents, commits = tables(spark)
