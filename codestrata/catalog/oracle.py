@@ -241,18 +241,47 @@ LEFT JOIN (SELECT repo_id, sum(n) AS n, string_agg(skip_reason || '=' || n, '|'
 }
 
 
+EMPTY_ERROR = "path || ': validation failed — hard: raw_content is empty — file content could not be fetched'"
+
+#: Parts that differ in API mode: whole histories, no own package, imports among the source files, and empty files fail.
+API_PARTS = {
+    "history": PARTS["history"].replace(" WHERE nth <= 50", ""),
+    "lines": f"SELECT * REPLACE (api_internal AS internal) FROM ({PARTS['lines']})",
+    "edges": PARTS["api_edges"],
+    "kept": "SELECT * FROM records WHERE char_count > 0",
+    "skips": "SELECT repo_id, skip_reason, count(*) AS n FROM flags WHERE skip_reason IS NOT NULL GROUP BY ALL",
+    "failures": f"SELECT repo_id, {EMPTY_ERROR} AS error FROM sources WHERE coalesce(content, '') = ''",
+    "repo_records": PARTS["repo_records"].replace(
+        "'' AS collection_errors",
+        "coalesce((SELECT string_agg(error, '|' ORDER BY error) FROM failures x WHERE x.repo_id = h.repo_id), '') AS collection_errors",
+    ),
+    "long_entries": """
+SELECT repo_id, 'language_distribution' AS kind, 0 AS position, language AS value, count(*) AS n FROM kept GROUP BY ALL
+UNION ALL SELECT repo_id, 'directory_structure', 0, directory, count(*) FROM prefixes GROUP BY ALL
+UNION ALL SELECT repo_id, 'skip_reasons', 0, skip_reason, n FROM skips
+UNION ALL SELECT repo_id, 'test_directories', 0, test_directory, 0 FROM test_dirs
+UNION ALL SELECT repo_id, 'entry_point_candidates', 0, file_path, 0 FROM kept WHERE is_entry_point_candidate
+UNION ALL SELECT repo_id, 'collection_errors', 0, error, 0 FROM failures
+UNION ALL SELECT * FROM (SELECT repo_id, 'most_active_files', row_number() OVER (PARTITION BY repo_id ORDER BY commit_frequency_30d DESC, file_path) AS nth,
+  file_path, 0 FROM kept) WHERE nth <= 5
+UNION ALL SELECT * FROM (SELECT repo_id, 'largest_files', row_number() OVER (PARTITION BY repo_id ORDER BY line_count DESC, file_path) AS nth,
+  file_path, 0 FROM kept) WHERE nth <= 5""",
+}
+
+
 def with_parts(sql: str, extra: dict[str, str] | None = None) -> str:
-    """``sql`` preceded by the parts it needs, in order."""
+    """``sql`` preceded by the parts it needs, each behind those that it needs itself."""
     parts = {**PARTS, **(extra or {})}
-    needed: set[str] = set()
+    needed: dict[str, bool] = {}  # in order; true once all that a part needs stands before it
 
     def visit(text: str) -> None:
         for name in parts:
             if name not in needed and re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", text):
-                needed.add(name)
+                needed[name] = False
                 visit(parts[name])
+                needed[name] = needed.pop(name) or True
 
     visit(sql)
     if not needed:
         return sql
-    return "WITH " + ",\n".join(f"{n} AS ({parts[n]})" for n in parts if n in needed) + "\n" + sql
+    return "WITH " + ",\n".join(f"{n} AS ({parts[n]})" for n in needed) + "\n" + sql

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from codestrata.catalog import fixtures as X
-from codestrata.catalog.oracle import fold
+from codestrata.catalog.oracle import API_PARTS, fold
 from codestrata.catalog.registry import plain, query
 from codestrata.functions import paths as P
 from codestrata.functions.times import instant
@@ -85,6 +85,14 @@ def dependent_counts(spark, sf):
     return R.dependent_counts(edges(spark, sf)[1]).drop("commit_sha")
 
 
+@query("""SELECT repo_id, path, part::INTEGER AS part, min(d) AS first, max(d) AS last, count(*) AS n, string_agg(d, '|' ORDER BY d) AS items
+  FROM (SELECT repo_id, target AS path, path AS d, (row_number() OVER (PARTITION BY repo_id, target ORDER BY path) - 1) // 3 AS part FROM edges)
+  GROUP BY ALL""")
+def file_dependents(spark, sf):
+    """All dependents of every file, in sorted parts of three."""
+    return plain(R.dependent_parts(edges(spark, sf)[1], 3).drop("commit_sha"))
+
+
 CHANGED = "lang IN ('es', 'de', 'fr')"
 
 
@@ -187,6 +195,39 @@ def commit_frequency(spark, sf):
     return H.commit_frequency(*recent(spark, sf)).drop("commit_sha")
 
 
+WHOLE_HISTORY = {"history": API_PARTS["history"]}
+
+
+def whole(spark, sf):
+    """What the API lists: every commit of the horizon."""
+    as_of = instant(X.AS_OF_30)
+    return H.commit_horizon(X.commits(spark, sf), as_of), as_of
+
+
+@query("SELECT repo_id, path, n90 AS commit_frequency_90d, n30 AS commit_frequency_30d FROM activity", extra=WHOLE_HISTORY)
+def commit_frequency_api(spark, sf):
+    return H.commit_frequency(*whole(spark, sf)).drop("commit_sha")
+
+
+@query("SELECT repo_id, sum(n30) AS commit_frequency_30d FROM activity GROUP BY ALL", extra=WHOLE_HISTORY)
+def repo_commit_frequency_api(spark, sf):
+    return S.repo_commit_frequency(H.commit_frequency(*whole(spark, sf))).drop("commit_sha")
+
+
+@query("SELECT repo_id, path, nth AS rank, author_name, n AS n_commits FROM authors WHERE nth <= 3", extra=WHOLE_HISTORY)
+def top_contributors_api(spark, sf):
+    return H.ranked_contributors(H.author_activity(*whole(spark, sf))).drop("commit_sha")
+
+
+@query("""SELECT repo_id, rank, path, n AS commit_frequency_30d FROM (SELECT repo_id, path, coalesce(n30, 0) AS n,
+  row_number() OVER (PARTITION BY repo_id ORDER BY coalesce(n30, 0) DESC, path) AS rank
+  FROM sources LEFT JOIN activity USING (repo_id, path)) WHERE rank <= 5""", extra=WHOLE_HISTORY)
+def most_active_files_api(spark, sf):
+    counts = H.commit_frequency(*whole(spark, sf))
+    files = sources(spark, sf).join(counts, FILE, "left").na.fill(0, ["commit_frequency_30d"])
+    return S.most_active_files(files).drop("commit_sha")
+
+
 @query("SELECT repo_id, sum(n30) AS commit_frequency_30d FROM activity GROUP BY ALL")
 def repo_commit_frequency(spark, sf):
     return S.repo_commit_frequency(H.commit_frequency(*recent(spark, sf))).drop("commit_sha")
@@ -223,7 +264,8 @@ def most_active_files(spark, sf):
     FROM sources)) WHERE rank <= 5""")
 def largest_files(spark, sf):
     lines = parse_contents(X.contents(spark, sf)).select(*FILE, "line_count")
-    return S.largest_files(sources(spark, sf).join(lines, FILE)).drop("commit_sha")
+    files = sources(spark, sf).join(lines, FILE, "left").na.fill(0, ["line_count"])
+    return S.largest_files(files).drop("commit_sha")
 
 
 @query("""SELECT repo_id, path AS file_path, arg_max(sha, event_id) AS sha, max(event_id) AS run_at FROM commits GROUP BY ALL""")

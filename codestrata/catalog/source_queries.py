@@ -2,6 +2,7 @@
 back; tests do the same through files."""
 
 import hashlib
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from codestrata.functions.text import git_blob_sha
 from codestrata.operators import history as H
 from codestrata.operators import selection as L
 from codestrata.plans.parse import with_content_metrics
+from codestrata.session import materialize, workspace
 from codestrata.sources import landing as D
 from codestrata.sources.artifacts import load_run
 
@@ -151,17 +153,30 @@ def snapshot_head(spark, sf):
     )
 
 
+def two_trees(spark, sf):
+    rows = X.tree(spark, sf, "lang")
+    edited = F.when(F.col("lang") == "fr", F.sha1("sha")).otherwise(F.col("sha"))
+    return rows.where("lang <> 'es'"), rows.where("lang <> 'de'").withColumn("sha", edited)
+
+
 @query("""SELECT repo_id, path, CASE lang WHEN 'es' THEN 'added' WHEN 'de' THEN 'deleted' ELSE 'modified' END AS change
   FROM files WHERE lang IN ('es', 'de', 'fr')""")
 def changed_files(spark, sf):
     """Spanish files are new, German ones gone, French ones edited."""
-    rows = X.tree(spark, sf, "lang")
-    edited = F.when(F.col("lang") == "fr", F.sha1("sha")).otherwise(F.col("sha"))
-    parent = rows.where("lang <> 'es'")
-    head = rows.where("lang <> 'de'").withColumn("sha", edited)
+    parent, head = two_trees(spark, sf)
     return L.changed_files(parent, head, ["repo_id", "path"])
 
 
+@query("""SELECT repo_id, path, CASE lang WHEN 'es' THEN 'added' WHEN 'de' THEN 'deleted' ELSE 'modified' END AS change
+  FROM files WHERE lang IN ('es', 'de', 'fr')""")
+def changed_files_by_digest(spark, sf):
+    """The same through digests of directories, stored for both trees."""
+    on = ["repo_id", "path"]
+    trees = two_trees(spark, sf)
+    digests = [materialize(L.directory_digests(t, on), "digests") for t in trees]
+    return L.changed_files_by_digest(*trees, on, *digests)
+
+
 URLS = """CASE lang WHEN 'en' THEN 'git@host.example:org/' || source || '.git'
   WHEN 'fr' THEN 'https://host.example/org/' || source
   WHEN 'de' THEN 'https://host.example/org/my.' || source ELSE '' END"""
@@ -184,9 +199,12 @@ def branch_or_head(spark, sf):
 
 @query("SELECT repo_id, commit_sha, path, sha FROM files WHERE repo_id = 'org/src3'")
 def load_artifacts(spark, sf):
-    """One run by repository and seven characters of its commit."""
+    """One run by repository and seven characters of its commit, from rows stored by both."""
+    folder = f"{workspace(spark)}/codestrata/artifacts-{uuid.uuid4().hex}"
+    X.tree(spark, sf).write.partitionBy(*S.KEY).parquet(folder)
+    stored = spark.read.schema("path string, sha string, size long, repo_id string, commit_sha string").parquet(folder)
     sha = hashlib.sha1(b"head:org/src3").hexdigest()
-    return load_run(X.tree(spark, sf), "org/src3", sha[:7]).select(
+    return load_run(stored, "org/src3", sha[:7]).select(
         "repo_id", "commit_sha", "path", "sha"
     )
 

@@ -11,6 +11,7 @@ from codestrata.catalog import fixtures as X
 from codestrata.catalog.registry import plain, query
 from codestrata.functions.times import instant
 from codestrata.streaming.commits import Tables, read_triggers, start_collection_stream
+from codestrata.streaming.newest import files_view, repos_view
 from codestrata.session import workspace
 
 FIRST, SECOND = "first", "second"
@@ -47,7 +48,7 @@ def land_triggers(spark, sf, folder):
     rows(SECOND, FIRST, "2024-02-10T00:00:00Z").write.mode("append").json(folder)
 
 
-def run_stream(spark, sf, files_per_batch=None, latest=False):
+def run_stream(spark, sf, files_per_batch=None, latest=False, view=False):
     base = f"{workspace(spark)}/codestrata/stream-{uuid.uuid4().hex}"
     land_triggers(spark, sf, f"{base}/triggers")
     stream = start_collection_stream(
@@ -57,6 +58,7 @@ def run_stream(spark, sf, files_per_batch=None, latest=False):
         f"{base}/checkpoint",
         as_of=instant(X.AS_OF_30),
         latest_path=f"{base}/latest" if latest else None,
+        view_path=f"{base}/view" if view else None,
     )
     stream.awaitTermination()
     return base
@@ -92,3 +94,25 @@ def stream_latest_snapshot(spark, sf):
             "repo_id", "file_path", "blob_sha", "line_count", "imports_raw", "commit_sha"
         )
     )
+
+
+@query("""SELECT repo_id, file_path, blob_sha, line_count, imports_raw,
+    CASE WHEN lang IN ('es', 'fr') THEN 'second' ELSE 'first' END AS commit_sha
+  FROM kept JOIN (SELECT repo_id, path AS file_path, lang FROM files) USING (repo_id, file_path)""")
+def stream_newest_view(spark, sf):
+    """As `stream_latest_snapshot`, with one commit of every repository in a batch, from a view over deltas that is merged once."""
+    base = run_stream(spark, sf, files_per_batch=1, view=True)
+    files_view(spark, f"{base}/view").compact()
+    return plain(
+        files_view(spark, f"{base}/view").read().select(
+            "repo_id", "file_path", "blob_sha", "line_count", "imports_raw", "commit_sha"
+        )
+    )
+
+
+@query("""SELECT repo_id, CASE WHEN bool_or(lang IN ('es', 'de', 'fr') AND coalesce(skip_reason, 'too_large') = 'too_large') THEN 'second' ELSE 'first' END AS commit_sha
+  FROM flags GROUP BY repo_id""")
+def stream_newest_header(spark, sf):
+    """The newest repository record of each repository, from the same kind of view."""
+    base = run_stream(spark, sf, files_per_batch=1, view=True)
+    return repos_view(spark, f"{base}/view").read().select("repo_id", "commit_sha")
