@@ -59,13 +59,14 @@ def byte_letters() -> list[str]:
 
 
 class WordEncoder(dict):
-    """Word -> serialized ids, kept up to ``limit`` entries; `encode` gives those of a text."""
+    """Word -> serialized ids; `encode` gives those of a text.  At most ``limit`` words are kept, in two halves: when the newer one is
+    full it becomes the older one, from which words still in use come back at once."""
 
-    def __init__(self, path: str, limit: int = 700_000):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.limit = limit
+        self.limit, self.older = limit, {}
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -85,10 +86,13 @@ class WordEncoder(dict):
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        letters = self.letters
-        spelt = "".join([letters[b] for b in word.encode()])
-        ids = np.array([t.id for t in self.model.tokenize(spelt)], self.dtype).tobytes()
-        if len(self) >= self.limit:
+        ids = self.older.get(word)
+        if ids is None:
+            letters = self.letters
+            spelt = "".join([letters[b] for b in word.encode()])
+            ids = np.array([t.id for t in self.model.tokenize(spelt)], self.dtype).tobytes()
+        if len(self) >= self.limit // 2:
+            self.older = dict(self)
             self.clear()
         self[word] = ids
         return ids
