@@ -74,8 +74,8 @@ def smallest(values: np.ndarray, width: int) -> np.ndarray:
 
 @dataclass
 class Pieces:
-    """Of a chunk: the anchor's hash, the text's id and key, the first window (unit in the text), the number of windows, and
-    whether the piece occurs more than once.  ``text`` cuts one out."""
+    """Of a chunk: the anchor's hash, the text's id and key, the first window (unit in the text), the number of windows, where the
+    piece's bytes are, and at which of its units the anchor is."""
 
     anchor: np.ndarray
     ids: np.ndarray
@@ -89,6 +89,7 @@ class Pieces:
     at: np.ndarray
     numbers: np.ndarray
     length: int
+    offset: np.ndarray
 
     def windows(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """All windows of some pieces: the piece, the place in it, and two hashes of the window's units."""
@@ -143,7 +144,7 @@ def cut(texts: list[tuple[int, int, int, bytes]], words: bool, length: int, gram
     begin, end = (word_start[a], word_end[stop - 1]) if words else (a, stop)
     return Pieces(
         grams[place[new]], np.array([t[0] for t in texts], np.int64)[doc], np.array([t[1] for t in texts], np.int64)[doc],
-        a - first[doc] + np.array([t[2] for t in texts], np.int64)[doc], count, begin, end, over_bytes.of(begin, end), data, a, numbers, length,
+        a - first[doc] + np.array([t[2] for t in texts], np.int64)[doc], count, begin, end, over_bytes.of(begin, end), data, a, numbers, length, place[new] - a,
     )
 
 
@@ -173,7 +174,10 @@ def chunks(rows: Iterable[tuple[int, int, bytes]], words: bool, length: int) ->
         yield held
 
 
-PACKED = "bucket int, n int, anchor binary, ids binary, keys binary, start binary, count binary, many binary, sizes binary, texts binary, settled binary"
+PACKED = (
+    "bucket int, n int, anchor binary, ids binary, keys binary, start binary, count binary, offset binary, many binary, sizes binary, "
+    "texts binary, settled binary"
+)
 SPANS = "__id long, __key long, start long, n long"
 
 
@@ -183,7 +187,7 @@ def packed(parts: list[tuple[Pieces, np.ndarray, np.ndarray]], buckets: int, set
 
     squeeze = zstandard.ZstdCompressor(level=7).compress
     texts = [np.array([p.data[b:e] for b, e in zip(p.begin[i].tolist(), p.end[i].tolist())], object) for p, i, _ in parts]
-    columns = {c: np.concatenate([getattr(p, c)[i] for p, i, _ in parts]) for c in ("anchor", "ids", "keys", "start", "count")}
+    columns = {c: np.concatenate([getattr(p, c)[i] for p, i, _ in parts]) for c in ("anchor", "ids", "keys", "start", "count", "offset")}
     columns["many"] = np.concatenate([m for _, _, m in parts])
     text = np.concatenate(texts)
     bucket = ((columns["anchor"] >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64)
@@ -192,7 +196,7 @@ def packed(parts: list[tuple[Pieces, np.ndarray, np.ndarray]], buckets: int, set
     for at, to in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)]):
         own = order[at:to]
         mine = text[own].tolist()
-        kinds = {"anchor": "<u8", "ids": "<i8", "keys": "<i8", "start": "<u4", "count": "<u4", "many": "u1"}
+        kinds = {"anchor": "<u8", "ids": "<i8", "keys": "<i8", "start": "<u4", "count": "<u4", "offset": "<u4", "many": "u1"}
         row = {"bucket": pa.array([int(bucket[own[0]])], pa.int32()), "n": pa.array([len(own)], pa.int32())}
         row |= {c: [squeeze(columns[c][own].astype(kind).tobytes())] for c, kind in kinds.items()}
         row["sizes"] = [squeeze(np.array([len(t) for t in mine], "<u4").tobytes())]
@@ -215,7 +219,7 @@ def packed_windows(parts: list[tuple[np.ndarray, ...]], buckets: int, settled: b
     for at, to in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)]):
         own = order[at:to]
         row = {c: [squeeze(x[own].astype(kind).tobytes())] for (c, kind), x in zip(names.items(), columns)}
-        row |= {"bucket": pa.array([buckets + int(bucket[own[0]])], pa.int32()), "n": pa.array([len(own)], pa.int32()), "count": [b""], "sizes": [b""], "settled": [settled]}
+        row |= {"bucket": pa.array([buckets + int(bucket[own[0]])], pa.int32()), "n": pa.array([len(own)], pa.int32()), "count": [b""], "offset": [b""], "sizes": [b""], "settled": [settled]}
         settled = b""
         yield pa.RecordBatch.from_pydict({name.split(" ")[0]: row[name.split(" ")[0]] for name in PACKED.split(", ")})
 
@@ -242,7 +246,7 @@ def unpacked(table: pa.Table) -> dict[str, np.ndarray]:
     import zstandard
 
     restore = zstandard.ZstdDecompressor().decompress
-    kinds = {"anchor": "<u8", "ids": "<i8", "keys": "<i8", "start": "<u4", "count": "<u4", "many": "u1", "sizes": "<u4"}
+    kinds = {"anchor": "<u8", "ids": "<i8", "keys": "<i8", "start": "<u4", "count": "<u4", "offset": "<u4", "many": "u1", "sizes": "<u4"}
     out = {c: np.concatenate([np.frombuffer(restore(v.as_py()), kind) for v in table.column(c)]) for c, kind in kinds.items()}
     texts = b"".join([restore(v.as_py()) for v in table.column("texts")])
     ends = np.cumsum(out["sizes"].astype(np.int64))

@@ -1,16 +1,19 @@
 """Suffix-array dedup with a logarithmic index family (operator 6).
 
-Texts come in batches.  A batch gets a sparse suffix array: the suffixes at its anchors (see `spans`) in order, each
-with the stretch of bytes around the anchor whose windows it stands for.  It is merge-scanned against itself and against each existing level of the
-index: suffixes of one anchor are neighbours there, and the stretches around them give the long matches, on both sides.  Then it becomes
-a level of its own, and levels that hold equally many batches merge.  Anchors are dealt to buckets, each with its own index family, so levels are
-bounded and every bucket is a task of its own.
+Texts come in batches.  A batch gets a sparse suffix array: the suffixes at its anchors (see `spans`), by anchor and then by the bytes that follow,
+each in its piece, the stretch of bytes around the anchor whose windows it stands for.  The array is scanned by itself and merged
+with each existing level of the index: neighbours' common prefixes tell how far two suffixes agree, the bytes before the anchors how far they agree to the
+other side, and both together which windows of the two pieces are the same.  Then the batch becomes a level of its own, and levels that hold equally
+many batches merge.  Anchors are dealt to buckets, each with its own index family, so levels are bounded and every bucket is a task of its own.
+
+Where very many different pieces share an anchor (`CROWD`), the scan would meet all pairs of them; there the windows are looked up by their bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from heapq import merge
 
 import numpy as np
 import pyarrow as pa
@@ -20,19 +23,49 @@ from codestrata.llm import spans
 from codestrata.llm.common import Scratch
 
 
+#: Pieces of one anchor that are scanned pair by pair at most.
+CROWD = 48
+
+
+def agreeing(a: bytes, b: bytes) -> int:
+    """Length of the common beginning."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while low < high - 1:
+        middle = (low + high) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle
+    return low
+
+
+def agreeing_end(a: bytes, b: bytes) -> int:
+    """Length of the common end."""
+    n = min(len(a), len(b))
+    return agreeing(a[len(a) - n :][::-1], b[len(b) - n :][::-1])
+
+
 class Level:
-    """Pieces in suffix order: by anchor, then by what follows it."""
+    """Suffixes of some batches in order, by anchor: the numbers of their pieces."""
+
+    def __init__(self, groups: dict[int, list[int]], batches: int = 1):
+        self.groups, self.batches = groups, batches
 
-    def __init__(self, pieces: dict[str, np.ndarray], rows: np.ndarray, batches: int = 1):
-        self.rows = rows[np.argsort(pieces["anchor"][rows], kind="stable")]
-        self.anchor = pieces["anchor"][self.rows]
-        self.batches = batches
-        self.at = np.flatnonzero(np.concatenate([[True], self.anchor[1:] != self.anchor[:-1]])) if len(rows) else np.zeros(0, np.int64)
-        self.keys = self.anchor[self.at]
-        self.to = np.append(self.at[1:], len(rows))
+    @classmethod
+    def of(cls, rows: np.ndarray, anchors: np.ndarray, suffix: Callable[[int], bytes]) -> Level:
+        order = rows[np.argsort(anchors[rows], kind="stable")]
+        cuts = np.flatnonzero(np.concatenate([[True], np.diff(anchors[order]) != 0, [True]]))
+        keys = anchors[order[cuts[:-1]]].tolist()
+        order = order.tolist()
+        return cls({key: sorted(order[a:b], key=suffix) if b - a > 1 else order[a:b] for key, a, b in zip(keys, cuts.tolist(), cuts[1:].tolist())})
 
-    def group(self, key_index: int) -> list[int]:
-        return self.rows[self.at[key_index] : self.to[key_index]].tolist()
+    def merged(self, other: Level, suffix: Callable[[int], bytes]) -> Level:
+        groups = self.groups | other.groups
+        for key in self.groups.keys() & other.groups.keys():
+            groups[key] = list(merge(self.groups[key], other.groups[key], key=suffix))
+        return Level(groups, self.batches + other.batches)
 
 
 class Family:
@@ -42,19 +75,45 @@ class Family:
         self.p, self.length, self.levels = pieces, length, []
         self.whole = pieces["many"].astype(bool).copy()
         self.windows: dict[int, set[int]] = {}
+        self.runs: dict[int, list[tuple[int, int]]] = {}
+        self.text, self.offset, self.count = pieces["text"], pieces["offset"].tolist(), pieces["count"].tolist()
+
+    def suffix(self, i: int) -> bytes:
+        return self.text[i][self.offset[i] :]
 
     def add(self, rows: np.ndarray) -> None:
-        new = Level(self.p, rows)
-        for key in np.flatnonzero(new.to - new.at > 1).tolist():
-            self.match(new.group(key), [])
+        new = Level.of(rows, self.p["anchor"], self.suffix)
+        for group in new.groups.values():
+            if len(group) > 1:
+                self.scan(group, set(group))
         for old in self.levels:
-            _, a, b = np.intersect1d(new.keys, old.keys, assume_unique=True, return_indices=True)
-            for i, j in zip(a.tolist(), b.tolist()):
-                self.match(new.group(i), old.group(j))
+            for key in new.groups.keys() & old.groups.keys():
+                fresh = new.groups[key]
+                self.scan(list(merge(old.groups[key], fresh, key=self.suffix)), set(fresh))
         self.levels.append(new)
         while len(self.levels) > 1 and self.levels[-1].batches == self.levels[-2].batches:
             last, before = self.levels.pop(), self.levels.pop()
-            self.levels.append(Level(self.p, np.concatenate([before.rows, last.rows]), last.batches + before.batches))
+            self.levels.append(before.merged(last, self.suffix))
+
+    def scan(self, order: list[int], fresh: set[int]) -> None:
+        """Marks what the suffixes of one anchor share, ``order`` being sorted; of two, one is ``fresh``."""
+        if len(order) > CROWD:
+            self.match([i for i in order if i in fresh], [i for i in order if i not in fresh])
+            return
+        common = [agreeing(self.suffix(a), self.suffix(b)) for a, b in zip(order, order[1:])]
+        for at, i in enumerate(order):
+            ahead, least = 1 << 62, self.length - self.offset[i]
+            for to in range(at + 1, len(order)):
+                ahead = min(ahead, common[to - 1])
+                if ahead < least:
+                    break
+                j = order[to]
+                if (i in fresh or j in fresh) and not (self.whole[i] and self.whole[j]) and self.place(i) != self.place(j):
+                    back = agreeing_end(self.text[i][: self.offset[i]], self.text[j][: self.offset[j]])
+                    for k in (i, j):
+                        first, last = max(0, self.offset[k] - back), min(self.count[k] - 1, self.offset[k] + ahead - self.length)
+                        if first <= last:
+                            self.runs.setdefault(k, []).append((first, last))
 
     def place(self, i: int) -> tuple[int, int, int]:
         return int(self.p["ids"][i]), int(self.p["keys"][i]), int(self.p["start"][i])
@@ -86,14 +145,20 @@ class Family:
 
     def marked(self) -> Iterator[tuple[int, int, int]]:
         for i in np.flatnonzero(self.whole).tolist():
-            yield i, 0, int(self.p["count"][i])
-        for i, found in self.windows.items():
-            if self.whole[i] or not found:
+            yield i, 0, self.count[i]
+        for i in self.windows.keys() | self.runs.keys():
+            if self.whole[i]:
                 continue
-            at = np.array(sorted(found))
-            new = np.flatnonzero(np.concatenate([[True], np.diff(at) > 1]))
-            for first, n in zip(at[new].tolist(), np.diff(np.append(new, len(at))).tolist()):
-                yield i, first, n
+            runs = [*self.runs.get(i, ()), *((at, at) for at in self.windows.get(i, ()))]
+            end = first = -1
+            for a, b in sorted(runs):
+                if a > end + 1 or first < 0:
+                    if first >= 0:
+                        yield i, first, end - first + 1
+                    first, end = a, b
+                end = max(end, b)
+            if first >= 0:
+                yield i, first, end - first + 1
 
 
 def shared(p: dict[str, np.ndarray], length: int, batches: int) -> Iterator[tuple[int, int, int]]:

@@ -53,3 +53,25 @@ def test_no_group_holds_the_pieces_of_a_line(spark, words, length, gram):
     loose = groups.filter(pa.compute.greater_equal(groups["bucket"], 16))
     sizes = loose.group_by("bucket").aggregate([("n", "sum")])["n_sum"].to_pylist()
     assert len(sizes) == 16 and max(sizes) < 3 * min(sizes)
+
+
+@pytest.mark.parametrize("crowd", [0, 2, 48])
+def test_suffix_scans_and_lookups_agree(spark, crowd, monkeypatch):
+    """Common prefixes and ends of sorted suffixes mark what looking up every window does."""
+    rows = REPEATED + with_line(40) + [(3000 + i, "ab" * (100 + i) + "cd" * (150 - i), "a") for i in range(20)]
+    monkeypatch.setattr(suffix_levels, "CROWD", 0)
+    plain = found(suffix_levels.without_shared, spark, rows)
+    monkeypatch.setattr(suffix_levels, "CROWD", crowd)
+    assert found(suffix_levels.without_shared, spark, rows) == plain
+    for batches in (1, 7):
+        again = suffix_levels.without_shared(documents(spark, rows), batches=batches).collect()
+        assert sorted((tuple(r)[:4] for r in again), key=str) == plain
+
+
+def test_common_beginnings_and_ends():
+    rnd = random.Random(1)
+    for _ in range(2000):
+        a, b = (bytes(rnd.choices(b"ab", weights=(9, 1), k=rnd.randrange(12))) for _ in range(2))
+        n = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        assert suffix_levels.agreeing(a, b) == n
+        assert suffix_levels.agreeing_end(a[::-1], b[::-1]) == n
