@@ -207,8 +207,8 @@ class Mix:
         counts = np.array([r.n * r["__passes"] + r.more for r in rows], np.int64)
         return [r[SOURCE] for r in rows], split(counts, self.shards, np.random.default_rng(self.seed))
 
-    def copies(self) -> DataFrame:
-        """Every taken copy: the row in one column, its source, key and size, and its shard and place there."""
+    def rows(self) -> DataFrame:
+        """The mix: every taken copy as a row of ``docs``' columns with its shard and its place there."""
         names, counts = self.quotas()
         bounds = [(n, [int(c) for c in np.cumsum(row)]) for n, row in zip(names, counts)]
         split_at = self.docs.sparkSession.createDataFrame(
@@ -226,25 +226,26 @@ class Mix:
         copies = copies.withColumn("__index", index)
         shard = F.expr("size(filter(__bounds, b -> b <= __index))")
         position = F.xxhash64(F.lit(self.seed + 2), DRAW, "__copy")
-        return copies.select(ROW, "doc_id", "source", SOURCE, KEY, SIZE, shard.alias("__shard"), position.alias("__position"))
-
-    def rows(self) -> DataFrame:
-        """The mix: every taken copy as a row of ``docs``' columns with its shard and its place there."""
-        return self.copies().select(f"{ROW}.*", F.col("__shard").alias(self.shard), F.col("__position").alias(self.position))
+        return copies.select(f"{ROW}.*", shard.alias(self.shard), position.alias(self.position))
 
     def written(self) -> DataFrame:
-        """The mix with every shard's rows together and in their order, written and read again."""
-        dealt = self.copies().repartition(self.shards, "__shard").sortWithinPartitions("__shard", "__position")
+        """The mix with every shard's rows together and in their order, written and read again; a column more tells rows of one id
+        apart without their text."""
+        rows = self.rows()
+        self.key = free_name(KEY, rows)
+        dealt = rows.withColumn(self.key, text_key()).repartition(self.shards, self.shard).sortWithinPartitions(self.shard, self.position)
         return self.scratch.keep(dealt, "mix", "zstd")
 
     def counted(self) -> DataFrame:
-        """The columns of :meth:`report`, ``taken`` being counted in the written mix: the words of all copies there."""
+        """The columns of :meth:`report`, ``taken`` being counted in the written mix: the copies there, and the words of each."""
         keys = [SOURCE, "source", "doc_id", KEY]
-        mix = self.written().select(*keys, SIZE)
-        given = self.sized.select(*keys, SIZE, F.lit(1).alias("__rows"), F.lit(0).cast("long").alias("__words"))
-        both = given.unionByName(mix.select(*keys, F.lit(0).cast("long").alias(SIZE), F.lit(0).alias("__rows"), F.col(SIZE).alias("__words")))
-        units = both.groupBy(*keys).agg(F.max(SIZE).alias("size"), F.sum("__rows").alias("__rows"), F.sum("__words").alias("__words"))
+        mix = self.written()
+        source = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias(SOURCE)
+        given = self.sized.select(*keys, SIZE, F.lit(1).alias("__rows"), F.lit(0).alias("__copies"))
+        mix = mix.select(source, "source", "doc_id", F.col(self.key).alias(KEY), F.lit(0).cast("long").alias(SIZE), F.lit(0).alias("__rows"), F.lit(1).alias("__copies"))
+        both = given.unionByName(mix)
+        units = both.groupBy(*keys).agg(F.max(SIZE).alias("size"), F.sum("__rows").alias("__rows"), F.sum("__copies").alias("__copies"))
         # rows equal in id, source and text are one unit, and all taken equally often
         rows = units.withColumn("__row", F.explode(F.sequence(F.lit(1).cast("long"), "__rows")))
-        taken = F.expr("__words div __rows")
+        taken = F.expr("size * (__copies div __rows)")
         return rows.join(F.broadcast(self.plan), SOURCE).select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
