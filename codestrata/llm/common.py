@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,16 +50,26 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Arrow batches of few rows, so that long texts cannot fill a Python worker; workers started from
-    now on find this package where the driver has it (else ship it with ``--py-files``)."""
+def small_batches(spark: SparkSession, rows: int = 500, size: int = 4 << 20) -> None:
+    """Arrow batches of few rows and bytes, so that long texts and packed rows cannot fill a Python worker or Spark's buffers for it;
+    workers started from now on find this package where the driver has it (else ship it with ``--py-files``)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
 
 
+def give_back() -> None:
+    """Hands memory that a worker has freed back to the system: workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def free_name(name: str, df: DataFrame) -> str:
     """``name``, or with further underscores in front if ``df`` has such a column."""
     taken = {c.lower() for c in df.columns}

@@ -168,7 +168,7 @@ def nearest(
     def packed(rows: DataFrame, block: int) -> tuple[DataFrame, int]:
         """``rows`` in full blocks, whatever tasks they came from."""
         parts = -(-rows.count() // block) or 1
-        small_batches(spark, block)
+        small_batches(spark, block, 256 << 20)
         return rows.select("id", "v").repartition(parts), parts
 
     rows, strips = packed(classes, code_block)
@@ -196,7 +196,7 @@ def nearest(
                     yield from out()
         yield from out()
 
-    small_batches(spark, 8)  # rows are whole blocks now
+    small_batches(spark, 8, 256 << 20)  # rows are whole blocks now
     everywhere = blocks.withColumn("strip", F.explode(F.sequence(F.lit(0), F.lit(strips - 1))))
     pairs = codes.hint("merge").join(everywhere, ["dim", "strip"]).select("dim", "ids", "codes", "scale", "vectors", "block", "qids", "q", "qvectors")
     found = scratch.keep(pairs.mapInArrow(search, FOUND), "found")

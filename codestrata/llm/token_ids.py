@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codestrata.llm.common import shuffle_partitions, small_batches
+from codestrata.llm.common import give_back, shuffle_partitions, small_batches
 
 BLOCKS = (
     "part int, seq int, before long, dictionary string, doc_ids array<long>, n_tokens array<long>, "
@@ -118,6 +118,7 @@ class WordEncoder(dict):
 def encoder(path: str) -> WordEncoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
+        give_back()  # what reading the vocabulary took
     return _ENCODERS[path]
 
 
@@ -197,6 +198,7 @@ def write_ids(
                     ids, counts, offsets, pieces = [], [], [0], []
         if ids:
             yield block()
+        give_back()
 
     (
         docs.repartitionByRange(partitions or shuffle_partitions(spark), "doc_id")

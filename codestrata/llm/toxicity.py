@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codestrata.llm.common import small_batches
+from codestrata.llm.common import give_back, small_batches
 from codestrata.llm.ordinal import Ordinal, Rows, fit, number
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -124,5 +124,6 @@ def without_toxic(docs: DataFrame, model: Ordinal, reject_at: float = 0.25) -> D
         for batch in batches:
             tails = [mine.tails(features(words(t))) for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array([(t[0] if t else float(mine.constant > 0)) < reject_at for t in tails], pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(passing, docs.schema)
