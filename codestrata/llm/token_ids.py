@@ -62,7 +62,7 @@ class WordEncoder(dict):
     """Word -> serialized ids; `encode` gives those of a text.  At most ``limit`` words are kept, in two halves: when the newer one is
     full it becomes the older one, from which words still in use come back at once."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 500_000):
         from tokenizers import Tokenizer
 
         super().__init__()
