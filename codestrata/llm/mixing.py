@@ -228,13 +228,17 @@ class Mix:
         position = F.xxhash64(F.lit(self.seed + 2), DRAW, "__copy")
         return copies.select(f"{ROW}.*", shard.alias(self.shard), position.alias(self.position))
 
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with every shard in a partition of its own and in its order.  By a hash of the shard's number several large shards
+        would share a partition, and others stay empty."""
+        return rows.repartitionById(self.shards, self.shard).sortWithinPartitions(self.position)
+
     def written(self) -> DataFrame:
         """The mix with every shard's rows together and in their order, written and read again; a column more tells rows of one id
         apart without their text."""
         rows = self.rows()
         self.key = free_name(KEY, rows)
-        dealt = rows.withColumn(self.key, text_key()).repartition(self.shards, self.shard).sortWithinPartitions(self.shard, self.position)
-        return self.scratch.keep(dealt, "mix", "zstd")
+        return self.scratch.keep(self.dealt(rows.withColumn(self.key, text_key())), "mix", "zstd")
 
     def counted(self) -> DataFrame:
         """The columns of :meth:`report`, ``taken`` being counted in the written mix: the copies there, and the words of each."""

@@ -36,8 +36,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of the sources: each document as often as it is taken, dealt to shards and shuffled in them."""
     mix = Mix(docs)
-    rows = mix.rows().repartition(mix.shards, mix.shard).sortWithinPartitions(mix.shard, mix.position)
-    return rows.drop(mix.shard, mix.position)
+    return mix.dealt(mix.rows()).drop(mix.shard, mix.position)
 
 
 def stored(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

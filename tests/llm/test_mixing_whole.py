@@ -69,3 +69,13 @@ def test_counted_copies(spark):
     mix = mixing.Mix(documents(spark, rows), block_words=100, shards=4)
     assert sorted(map(str, mix.counted().collect())) == sorted(map(str, mix.report().collect()))
     assert mixing.Mix(documents(spark, rows).where("false")).counted().count() == 0
+
+
+def test_every_shard_has_a_partition(spark):
+    rows = [(i, "w " * (5 + i % 9), "a") for i in range(2_000)]
+    mix = mixing.Mix(documents(spark, rows), block_words=50, shards=12)
+    placed = mix.dealt(mix.rows()).select(F.spark_partition_id().alias("at"), "__shard", "__position").collect()
+    assert {(r["at"], r["__shard"]) for r in placed} == {(i, i) for i in range(12)}
+    for i in range(12):
+        own = [r["__position"] for r in placed if r["at"] == i]
+        assert own == sorted(own)
