@@ -10,6 +10,7 @@ from codestrata.functions import constants as C
 from codestrata.functions.times import days_between, minus_days
 from codestrata.operators.skew import first_rows
 from codestrata.schemas import FILE
+from codestrata.session import unsent
 
 
 def commit_order() -> Column:
@@ -95,7 +96,7 @@ def file_history(activity: DataFrame, as_of: Column) -> DataFrame:
         F.sum("n_recent").alias("commit_frequency_30d"),
         F.min("unreadable").alias("unreadable"),
     )
-    return totals.join(top_contributors(activity), FILE, "left").select(
+    return totals.join(unsent(top_contributors(activity)), FILE, "left").select(
         *FILE,
         F.col("latest.sha").alias("most_recent_commit_sha"),
         F.col("latest.committed_at").alias("most_recent_commit_timestamp"),

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codestrata.operators.skew import first_rows
+from codestrata.session import unsent
 
 
 def latest_artifact_per_file(records: DataFrame, deleted: DataFrame | None = None) -> DataFrame:
@@ -22,7 +23,7 @@ def latest_edges(edges: DataFrame, newest: DataFrame) -> DataFrame:
     """Import edges of the newest record of each file: the edges of a whole repository, put
     together from several runs."""
     current = newest.select("repo_id", "commit_sha", F.col("file_path").alias("path"))
-    return edges.join(current, ["repo_id", "commit_sha", "path"], "left_semi")
+    return edges.join(unsent(current), ["repo_id", "commit_sha", "path"], "left_semi")
 
 
 def repo_dependents(edges: DataFrame, newest: DataFrame) -> DataFrame:

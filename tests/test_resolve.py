@@ -101,6 +101,16 @@ def test_scope(spark):
     assert [r.path for r in R.resolution_scope(tree, fetched, "api").collect()] == ["app.js"]
 
 
+def test_growing_tables_do_not_pass_through_the_driver(spark):
+    """However small they look: their compressed size says little of what the driver would hold."""
+    tree, files = tree_df(spark, TREE), files_df(spark, [("app.js", ["./index"]), ("web/x.js", ["./a"])])
+    fetched = R.resolution_scope(tree, files, "api")
+    edges = R.resolve_imports(files, tree)
+    for made in (fetched, edges, R.attach_resolution(files, edges), R.unresolved_imports(files, edges)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_changed_files_by_digest(spark, monkeypatch):
     """Random pairs of trees: the rows of the plain comparison, from few of their rows."""
     rnd = random.Random(9)
