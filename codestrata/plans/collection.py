@@ -144,8 +144,10 @@ def collect_snapshots(
 
     newest = C.LOG_COMMITS_PER_FILE if mode == "local" else None
     if targets is not None:
-        # few files: drop the other histories first (a full run joins only the aggregates)
-        commits = join_hot(only_named(commits, wanted), selected.select(*FILE), FILE, "left_semi")
+        # few files: drop the other histories first (a full run joins only the aggregates).  Written, as their files are
+        # counted before they are joined, and what makes the commits would be done for both
+        named = materialize(only_named(commits, wanted), "commits")
+        commits = join_hot(named, selected.select(*FILE), FILE, "left_semi")
     horizon = H.commit_horizon(commits, as_of, newest=newest)
     activity = materialize(H.author_activity(horizon, as_of), "activity")
     history = H.file_history(activity, as_of)

@@ -402,3 +402,14 @@ def test_batch_without_changes_is_a_no_op(spark):
     triggers = heads.withColumn("parent_sha", F.lit("c0"))
     known = spark.createDataFrame([("o/r", "c0")], "repo_id string, commit_sha string")
     assert T.collect_batch(triggers, T.Tables(same, contents, commits), known) is None
+
+
+def test_wanted_commits_are_made_once(spark, monkeypatch):
+    """They are counted by file and then joined: both read what was written, and nothing makes the commits a second time."""
+    heads, tree, contents, commits = tables(spark)
+    lefts, join = [], C.join_hot
+    monkeypatch.setattr(C, "join_hot", lambda left, *a, **k: lefts.append(left) or join(left, *a, **k))
+    changed = tree.where("path in ('pkg/util.py', 'lib/a.js')").select(*S.FILE)
+    found = C.incremental_collection(heads, tree, contents, commits, changed, instant(AS_OF))
+    assert len(lefts) == 1 and all("/commits-" in f for f in lefts[0].inputFiles()) and lefts[0].inputFiles()
+    assert found.files.count() == 2
